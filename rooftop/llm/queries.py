@@ -1,11 +1,13 @@
 """The operators' queries and their SQL."""
 
-from rooftop.llm import exact, media, mix, shard, urls
+from rooftop.llm import bpe, exact, extract, media, mix, shard, urls
 
 QUERIES = {
     "op1_media": media.op1_media,
     "op3_url_filter": urls.op3_url_filter,
     "op5_kd_shards": shard.op5_kd_shards,
+    "op6_bpe": bpe.op6_bpe,
+    "op7_extract": extract.op7_extract,
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op10_mix": mix.op10_mix,
 }
