@@ -1,6 +1,6 @@
 """The operators' queries and their SQL."""
 
-from rooftop.llm import bpe, exact, extract, media, mix, shard, urls
+from rooftop.llm import bpe, exact, extract, langid, media, mix, shard, urls
 
 QUERIES = {
     "op1_media": media.op1_media,
@@ -9,6 +9,7 @@ QUERIES = {
     "op6_bpe": bpe.op6_bpe,
     "op7_extract": extract.op7_extract,
     "op8_exact_dedup": exact.op8_exact_dedup,
+    "op9_langid": langid.op9_langid,
     "op10_mix": mix.op10_mix,
 }
 SQL = {"op3_url_filter": urls.OP3_SQL, "op8_exact_dedup": exact.OP8_SQL}
