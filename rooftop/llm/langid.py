@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from rooftop.llm import common
 
@@ -203,9 +204,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             extra = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array([lang != UNKNOWN and s >= m.least for lang, s in zip(langs, scores, strict=True)], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*names, "lang_pred", "score", "accepted"])
 
-    schema = docs.schema
-    for name, kind in (("lang_pred", "string"), ("score", "double"), ("accepted", "boolean")):
-        schema = schema.add(name, kind)
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("accepted", BooleanType())])
     return docs.mapInArrow(run, schema)
 
 

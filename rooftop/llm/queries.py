@@ -1,9 +1,10 @@
 """The operators' queries and their SQL."""
 
-from rooftop.llm import bpe, exact, extract, langid, media, mix, shard, urls
+from rooftop.llm import bpe, exact, extract, langid, media, mix, near, shard, urls
 
 QUERIES = {
     "op1_media": media.op1_media,
+    "op2_near_dedup": near.op2_near_dedup,
     "op3_url_filter": urls.op3_url_filter,
     "op5_kd_shards": shard.op5_kd_shards,
     "op6_bpe": bpe.op6_bpe,
