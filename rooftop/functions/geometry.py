@@ -73,12 +73,18 @@ def box(shapes: Column) -> dict[str, Column]:
 
 def centroid(shapes: Column) -> dict[str, Column]:
     """cx, cy of the area; null where the area is 0."""
-    whole, out = area(shapes), {}
-    for name, v in (("cx", "x"), ("cy", "y")):
-        moment = lambda r, v=v: _over_edges(r, lambda p, q, o: (p[v] - o[v] + q[v] - o[v]) * ((p["x"] - o["x"]) * (q["y"] - o["y"]) - (q["x"] - o["x"]) * (p["y"] - o["y"])) / 6)
-        of_ring = lambda r, v=v, m=moment: F.signum(signed_area(r)) * m(r) + F.abs(signed_area(r)) * F.get(r, F.lit(0))[v]
-        out[name] = F.try_divide(F.aggregate(shapes, F.lit(0.0), lambda a, s, f=of_ring: a + _first_and_holes(s, f)), F.when(whole != 0, whole))
-    return out
+    whole = area(shapes)
+
+    def along(v: str) -> Column:
+        def moment(p: Column, q: Column, o: Column) -> Column:
+            return (p[v] - o[v] + q[v] - o[v]) * ((p["x"] - o["x"]) * (q["y"] - o["y"]) - (q["x"] - o["x"]) * (p["y"] - o["y"])) / 6
+
+        def of_ring(r: Column) -> Column:
+            return F.signum(signed_area(r)) * _over_edges(r, moment) + F.abs(signed_area(r)) * F.get(r, F.lit(0))[v]
+
+        return F.try_divide(F.aggregate(shapes, F.lit(0.0), lambda a, s: a + _first_and_holes(s, of_ring)), F.when(whole != 0, whole))
+
+    return {"cx": along("x"), "cy": along("y")}
 
 
 def wrong_orientation(shapes: Column) -> Column:

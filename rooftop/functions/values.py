@@ -44,9 +44,9 @@ def array_weighted_mean(values: Column, weights: Column) -> Column:
     Pairs with a null, and weights that aren't above 0, are left out; null if no pair is left.
     """
     n = F.least(F.size(values), F.size(weights))
-    pairs = F.filter(F.slice(F.arrays_zip(values.alias("v"), weights.alias("w")), 1, F.greatest(n, F.lit(0))), lambda p: p.getField("0").isNotNull() & (p.getField("1") > 0))
-    add = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p.getField("0") * p.getField("1"))
-    return F.when(F.size(pairs) > 0, add / F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p.getField("1")))
+    pairs = F.filter(F.slice(F.arrays_zip(values.alias("v"), weights.alias("w")), 1, F.greatest(n, F.lit(0))), lambda p: p["v"].isNotNull() & (p["w"] > 0))
+    add = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["v"] * p["w"])
+    return F.when(F.size(pairs) > 0, add / F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["w"]))
 
 
 def mapped(key: Column, values: dict, default) -> Column:

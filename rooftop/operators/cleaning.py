@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rooftop import config
 from rooftop.functions.values import flag, outside
 from rooftop.operators import spatial, statistics
+from rooftop.session import written
 
 A_COLUMNS = ["area_sq_m", "gkh_floor_count_min", "gkh_floor_count_max"]
 B_COLUMNS = ["height", "stairs", "avg_floor_height"]
@@ -115,10 +116,7 @@ def clean_a(a: DataFrame, settings: config.Settings) -> DataFrame:
 
 def clean_b(b: DataFrame, settings: config.Settings) -> DataFrame:
     """All flags and cleaned features of the height survey; the order of the steps matters. Needs row_idx, cx, cy."""
-    b = physical_flags(b, B_COLUMNS, settings.bounds)
-    for c in B_COLUMNS:
-        b = statistics.with_iqr_flag(b, c, settings.iqr_k)
-    b = statistics.with_zscore(height_for_lisa(needs_review(b)))
-    b = spatial.with_lisa(b, settings)
+    b = written(statistics.with_iqr_flags(physical_flags(b, B_COLUMNS, settings.bounds), B_COLUMNS, settings.iqr_k), "fences")
+    b = spatial.with_lisa(statistics.with_zscore(height_for_lisa(needs_review(b))), settings)
     b = domain_cap(height_clean_final(review_groups(b)), settings.city)
     return clean_by_flags(clean_by_flags(b, "stairs", "stairs_clean"), "avg_floor_height", "avg_floor_height_clean")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rooftop import config
 from rooftop.functions.values import flag
+from rooftop.session import written
 
 #: Values that permutations are drawn from: all up to this many, a sample by hash beyond.
 POOL = 65_536
@@ -76,6 +77,7 @@ def local_moran(points: DataFrame, radius: float) -> DataFrame:
     subset = points.where(~F.col("is_island") & F.col("height_z").isNotNull()).select("row_idx", "cx", "cy", "height_z")
     mean = subset.agg(F.avg("height_z").alias("mean"))
     subset = subset.crossJoin(F.broadcast(mean)).select("row_idx", "cx", "cy", (F.col("height_z") - F.col("mean")).alias("z"))
+    subset = written(subset, "moran")
     scale = subset.agg(F.sum(F.col("z") * F.col("z")).alias("ss"), F.count(F.lit(1)).alias("n"))
     lags = radius_pairs(subset, radius, ["z"]).groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.avg("other_z").alias("lag"))
     out = subset.select("row_idx", "z").join(lags.withColumnRenamed("id", "row_idx"), "row_idx", "left").crossJoin(F.broadcast(scale))
@@ -124,8 +126,8 @@ def permutation_p(moran: DataFrame, permutations: int = 999, seed: int = 42) ->
 
 def with_lisa(points: DataFrame, settings: config.Settings) -> DataFrame:
     """Adds is_island, lisa_I, lisa_p, lisa_quad and lisa_flag: a high value among low ones, p below the limit."""
-    points = with_islands(points, settings.lisa_radius)
-    rated = permutation_p(local_moran(points, settings.lisa_radius), settings.permutations, settings.seed)
+    points = written(with_islands(written(points, "points"), settings.lisa_radius), "islands")
+    rated = permutation_p(written(local_moran(points, settings.lisa_radius), "lags"), settings.permutations, settings.seed)
     out = points.join(rated.select("row_idx", "lisa_I", "lisa_p", "lisa_quad"), "row_idx", "left")
     return out.withColumn("lisa_flag", flag((F.col("lisa_p") < settings.lisa_p) & (F.col("lisa_quad") == 4)))
 

@@ -40,27 +40,32 @@ def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
     return found.select(*[(F.col(f"l{i}") + (F.col(f"h{i}") - F.col(f"l{i}")) * F.col(f"f{i}")).alias(f"q{i}") for i in range(len(shares))])
 
 
-def with_quantiles(df: DataFrame, column: str, names: dict[str, float]) -> DataFrame:
-    """Adds one column for each name: a quantile of column, the same in all rows."""
-    one = quantiles(df, column, list(names.values()))
-    return df.crossJoin(F.broadcast(one.toDF(*names)))
-
-
-def with_rank_pct(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Adds the rank of column's value divided by the number of values; ties share their mean rank, nulls have none."""
-    ranks = value_ranks(df, column)
-    share = ((F.col("before") + (F.col("c") + 1) / 2) / F.col("n")).alias(name)
-    return df.join(ranks.select(F.col("v").alias("__v"), share), F.col(column).cast("double") == F.col("__v"), "left").drop("__v")
-
-
-def with_iqr_flag(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
-    """Adds quartiles, range, fences and column_iqr_bad; a table without the column is returned as it is."""
-    if column not in df.columns:
-        return df
-    q1, q3, iqr, low, high, bad = (f"{column}_{x}" for x in ("q1", "q3", "iqr", "lower_fence", "upper_fence", "iqr_bad"))
-    df = with_quantiles(df, column, {q1: 0.25, q3: 0.75}).withColumn(iqr, F.col(q3) - F.col(q1))
-    df = df.withColumns({low: F.col(q1) - k * F.col(iqr), high: F.col(q3) + k * F.col(iqr)})
-    return df.withColumn(bad, flag((F.col(column) < F.col(low)) | (F.col(column) > F.col(high))))
+def with_quantiles(df: DataFrame, names: dict[str, tuple[str, float]]) -> DataFrame:
+    """Adds for each name a column's quantile, the same in all rows. All are found from df as it comes."""
+    out = df
+    for column in dict.fromkeys(c for c, _ in names.values()):
+        mine = {n: p for n, (c, p) in names.items() if c == column}
+        out = out.crossJoin(F.broadcast(quantiles(df, column, list(mine.values())).toDF(*mine)))
+    return out
+
+
+def with_rank_pct(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Adds for each column: name the rank of its value divided by the number of values; ties share their mean rank, nulls have none."""
+    out = df
+    for column, name in names.items():
+        ranks = value_ranks(df, column)
+        share = ((F.col("before") + (F.col("c") + 1) / 2) / F.col("n")).alias(name)
+        out = out.join(ranks.select(F.col("v").alias("__v"), share), F.col(column).cast("double") == F.col("__v"), "left").drop("__v")
+    return out
+
+
+def with_iqr_flags(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
+    """Adds quartiles, range, fences and X_iqr_bad of each column that is there."""
+    columns = [c for c in columns if c in df.columns]
+    df = with_quantiles(df, {f"{c}_{q}": (c, p) for c in columns for q, p in (("q1", 0.25), ("q3", 0.75))})
+    df = df.withColumns({f"{c}_iqr": F.col(f"{c}_q3") - F.col(f"{c}_q1") for c in columns})
+    df = df.withColumns({f"{c}_{n}": f for c in columns for n, f in (("lower_fence", F.col(f"{c}_q1") - k * F.col(f"{c}_iqr")), ("upper_fence", F.col(f"{c}_q3") + k * F.col(f"{c}_iqr")))})
+    return df.withColumns({f"{c}_iqr_bad": flag((F.col(c) < F.col(f"{c}_lower_fence")) | (F.col(c) > F.col(f"{c}_upper_fence"))) for c in columns})
 
 
 def with_zscore(df: DataFrame, value: str = "height", clean: str = "height_clean_for_lisa") -> DataFrame:

@@ -156,9 +156,7 @@ class Chain:
 def _lisa_stand_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The survey with flags; every seventh row stands for one that local autocorrelation marks."""
     _, b = buildings(spark, sf_dir)
-    b = cleaning.physical_flags(b, cleaning.B_COLUMNS)
-    for c in cleaning.B_COLUMNS:
-        b = statistics.with_iqr_flag(b, c)
+    b = statistics.with_iqr_flags(cleaning.physical_flags(b, cleaning.B_COLUMNS), cleaning.B_COLUMNS)
     b = b.withColumn("lisa_flag", F.col("row_idx") % 7 == 0)
     return cleaning.domain_cap(cleaning.height_clean_final(cleaning.review_groups(cleaning.needs_review(b))))
 
@@ -260,7 +258,7 @@ def physical_flags_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("with f as (select quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.75) as q3 from events) select event_id, round(q1, 6) as value_q1, round(q3, 6) as value_q3, round(q3 - q1, 6) as value_iqr, coalesce(value < q1 - 1.5*(q3 - q1) or value > q3 + 1.5*(q3 - q1), false) as value_iqr_bad from events, f")
 def iqr_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return statistics.with_iqr_flag(table(spark, sf_dir, "events"), "value").select("event_id", *_r("value_q1", "value_q3", "value_iqr"), "value_iqr_bad")
+    return statistics.with_iqr_flags(table(spark, sf_dir, "events"), ["value"]).select("event_id", *_r("value_q1", "value_q3", "value_iqr"), "value_iqr_bad")
 
 
 @query(f"{FLAGGED}, c as (select *, case when not height_p and not height_i then height end as clean from fl), m as (select avg(clean) as mean, stddev_samp(clean) as std from c) select row_idx, round(clean, 6) as height_clean_for_lisa, round(mean, 6) as height_mean_for_lisa, round(std, 6) as height_std_for_lisa, round((height - mean)/nullif(std, 0), 6) as height_z from c, m")
@@ -361,7 +359,7 @@ def islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _zscored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.with_islands(statistics.with_zscore(cleaning.height_for_lisa(_lisa_stand_in(spark, sf_dir))), 200.0)
+    return written(spatial.with_islands(written(statistics.with_zscore(cleaning.height_for_lisa(_lisa_stand_in(spark, sf_dir))), "scored"), 200.0), "islands")
 
 
 @query(
@@ -389,7 +387,7 @@ def radius_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select o_orderkey, round({_rank('o_totalprice')}, 9) as rank_pct from orders")
 def rank_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return statistics.with_rank_pct(table(spark, sf_dir, "orders"), "o_totalprice", "rank_pct").select("o_orderkey", F.round("rank_pct", 9).alias("rank_pct"))
+    return statistics.with_rank_pct(table(spark, sf_dir, "orders"), {"o_totalprice": "rank_pct"}).select("o_orderkey", F.round("rank_pct", 9).alias("rank_pct"))
 
 
 @query("select round(quantile_cont(l_extendedprice, 0.1), 6) as p10, round(quantile_cont(l_extendedprice, 0.5), 6) as p50, round(quantile_cont(l_extendedprice, 0.9), 6) as p90 from lineitem")
@@ -515,7 +513,7 @@ def wkt_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sources
-@query(f"{FIX} select row_idx - 1 as place, height, stairs, number, district, x0, y0 + h as y1 from bld_b order by row_idx")
+@query(f"{FIX} select row_idx as place, height, stairs, number, district, x0, y0 + h as y1 from bld_b order by row_idx")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/csv-{sf_dir.rstrip('/').rsplit('/', 1)[-1]}"
     b = with_wkt(buildings(spark, sf_dir)[1], "geometry").select("row_idx", "geometry", "height", "stairs", "avg_floor_height", "number", "district", "type")
