@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from rooftop.llm import common
 from rooftop.llm.mix import n_words
-from rooftop.llm.words import bodies, hashed, mix
+from rooftop.llm.words import bodies, grouped, hashed, mix
 
 #: Longest n-gram, factor of a step back, and the least count of an n-gram of two words or more that isn't backed off.
 ORDER, ALPHA, LEAST = 3, 0.4, 2
 #: Text bytes of a chunk. At 100 TB take some 1 GB (and executors to match): blocks are chunks times buckets.
-CHUNK_BYTES = 20 << 20
+CHUNK_BYTES = 14 << 20
 
 _PLACE = mix(np.arange(101, 101 + 8, dtype=np.uint64)) | np.uint64(1)
 _BLOCKS = "bucket int, ngram int, chunk int, keys binary, counts binary"
@@ -77,7 +77,9 @@ def _texts(rows: pa.Table) -> list[bytes]:
 
 def ngrams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray]:
     """For n = 1 to order: the hash of the n-gram that ends at each word, 0 where a text has fewer before; where texts begin."""
-    words, at = hashed(texts)
+    some = [hashed(group) for group in grouped(texts)]
+    words = np.concatenate([w for w, _ in some]) if some else np.zeros(0, np.uint64)
+    at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(a) for _, a in some]))]) if some else np.zeros(1, np.int64)
     if not len(words):
         return [words] * order, at
     place = np.arange(len(words)) - np.repeat(at[:-1], np.diff(at))
