@@ -58,5 +58,7 @@ select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, sha256(t
 
 def stage_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that exact_duplicates keeps, with their columns as they are."""
-    gone = exact_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return common.without_ids(docs, gone)
+    mark = common.mark()
+    out = common.without_ids(docs, exact_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+    common.release(spark, mark, out)
+    return out

@@ -134,7 +134,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     extra = taken.groupBy("row").agg(F.array_sort(F.collect_list("part")).alias("extra"))
     out = rows.join(extra, "row", "left")
     more = F.aggregate(F.coalesce("extra", F.array().cast("array<struct<from:bigint,to:bigint>>")), F.lit(0).cast("long"), lambda acc, x: acc + x["to"] - x["from"])
-    return out.withColumn("taken", (F.col("passes") * F.col("size") + more).cast("long")), slot
+    out = out.withColumns({"taken": (F.col("passes") * F.col("size") + more).cast("long"), "source": F.when(~F.col("none"), F.col("source"))})
+    return out, slot
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,21 +147,31 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as the mix takes them: a row for each whole pass, and one with the words of the last, partial pass.
 
     The columns are those of documents. The partial row has the taken words, joined by one space. A document with no
-    words, and one of which nothing is taken, gives no row.
+    words, and one of which nothing is taken, gives no row. Texts are shuffled once, to meet what is taken of them.
     """
+    mark = common.mark()
     rows, _ = mixed(docs)
-    rows = common.written(rows.select("doc_id", "crc", "size", "passes", "extra").where("size > 0 and taken > 0"), "taken")
-    # Rows that repeat an id and a text differ in their place alone: number them on both sides.
-    copy = Window.partitionBy("doc_id", "crc").orderBy("size")
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "crc").orderBy("passes", F.to_json("extra"))))
+    what = F.struct("passes", "extra")
+    plans = common.written(rows.where("size > 0").groupBy("doc_id", "source", "crc").agg(F.sort_array(F.collect_list(F.struct("start", what.alias("what")))).alias("plans")), "plans")
+    common.release(spark, mark, plans)
     crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    full = docs.withColumn("crc", crc).withColumn("size", F.length("text"))
-    full = full.withColumn("copy", F.row_number().over(copy)).drop("size")
-    full = full.join(rows.select("doc_id", "crc", "copy", "passes", "extra"), (full["doc_id"].eqNullSafe(rows["doc_id"])) & (full["crc"] == rows["crc"]) & (full["copy"] == rows["copy"])).select(full["*"], "passes", "extra")
+    keyed = docs.withColumn("__crc", crc)
+    same = keyed["doc_id"].eqNullSafe(plans["doc_id"]) & keyed["source"].eqNullSafe(plans["source"]) & (keyed["__crc"] == plans["crc"])
+    full = keyed.join(plans.hint("shuffle_hash"), same).select(*[keyed[c] for c in docs.columns], "plans")
+    # Rows that repeat an id, a source and a text are alike: the first stands for all and takes what they take.
+    lone, many = full.where(F.size("plans") == 1), full.where(F.size("plans") > 1)
+    full = lone.unionByName(many.dropDuplicates(["doc_id", "source", "text"]))
     words = F.filter(F.split("text", common.BLANKS + "+"), lambda w: w != "")
-    piece = F.array_join(F.flatten(F.transform("extra", lambda p: F.slice(F.col("words"), (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))), " ")
-    whole = full.where("passes > 0").select("*", F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("go"))
-    part = full.where("extra is not null").withColumn("words", words).withColumn("text", piece)
+    full = full.withColumn("__words", F.when(F.exists("plans", lambda p: p["what"]["extra"].isNotNull()), words))
+    whole = F.struct(F.col("text").alias("text"), F.lit(True).alias("all"))
+
+    def taken(p: Column) -> Column:
+        pieces = F.transform(p["what"]["extra"], lambda e: F.array_join(F.slice(F.col("__words"), (e["from"] + 1).cast("int"), (e["to"] - e["from"]).cast("int")), " "))
+        part = F.when(p["what"]["extra"].isNotNull(), F.array(F.struct(F.array_join(pieces, " ").alias("text"), F.lit(False).alias("all"))))
+        return F.concat(F.array_repeat(whole, p["what"]["passes"]), F.coalesce(part, F.array().cast("array<struct<text:string,all:boolean>>")))
+
+    out = full.withColumn("__made", F.explode(F.flatten(F.transform("plans", taken))))
+    made = {"text": F.col("__made.text")}
     if "n_chars" in docs.columns:
-        part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.select(*docs.columns).unionByName(part.select(*docs.columns))
+        made["n_chars"] = F.when(F.col("__made.all"), F.col("n_chars")).otherwise(F.length("__made.text").cast(docs.schema["n_chars"].dataType))
+    return out.withColumns(made).select(*docs.columns)

@@ -57,7 +57,8 @@ def host_reputation(pages: DataFrame, labels: DataFrame, suffixes: list[str] = S
     """host, pages, labelled, bad, bound: the lower posterior bound of each host's rate of bad pages.
 
     A labelled page is bad with quality 0 or toxic 1. Rates shrink from host to registered domain to suffix to all
-    pages through beta-binomial priors, whose strengths are moment estimates over the data.
+    pages through beta-binomial priors, whose strengths are moment estimates over the data. A parent's rate is that of its
+    other children.
     """
     outcome = (
         labels.where("quality is not null or toxic is not null")
@@ -71,12 +72,13 @@ def host_reputation(pages: DataFrame, labels: DataFrame, suffixes: list[str] = S
     tops = hosts.groupBy("suffix").agg(F.sum("n").alias("sn"), F.sum("k").alias("sk"))
     every = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
     p0 = (every.k + 1.0) / (every.n + 2.0)
+    # A parent's rate leaves the child's own pages out, so that they count once.
     m = 1 / _rho(tops.withColumn("p", F.lit(p0)), "sk", "sn", "p") - 1
-    tops = tops.select("suffix", ((F.col("sk") + m * p0) / (F.col("sn") + m)).alias("ps"))
-    domains = common.written(domains.join(tops, "suffix"), "domains")
+    parent = (F.col("sk") - F.col("dk") + m * p0) / (F.col("sn") - F.col("dn") + m)
+    domains = common.written(domains.join(tops, "suffix").withColumn("ps", parent), "domains")
     m = 1 / _rho(domains, "dk", "dn", "ps") - 1
-    domains = domains.select("suffix", "domain", ((F.col("dk") + m * F.col("ps")) / (F.col("dn") + m)).alias("pd"))
-    hosts = common.written(hosts.join(domains, ["suffix", "domain"]), "rated")
+    parent = (F.col("dk") - F.col("k") + m * F.col("ps")) / (F.col("dn") - F.col("n") + m)
+    hosts = common.written(hosts.join(domains, ["suffix", "domain"]).withColumn("pd", parent), "rated")
     m = 1 / _rho(hosts, "k", "n", "pd") - 1
     a, b = F.col("k") + m * F.col("pd"), F.col("n") - F.col("k") + m * (1 - F.col("pd"))
     sd = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
@@ -118,11 +120,9 @@ t as (select suffix, sum(n) as n, sum(k) as k from h group by suffix),
 d as (select suffix, domain, sum(n) as n, sum(k) as k from h group by suffix, domain),
 a as (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) as p from h),
 rt as (select least(greatest(coalesce((sum((k - n * p) * (k - n * p)) - sum(n * p * (1 - p))) / nullif(sum(n * (n - 1) * p * (1 - p)), 0), 0), {RHO_MIN}), {RHO_MAX}) as rho from t, a),
-tp as (select suffix, (k + (1 / rho - 1) * p) / (n + 1 / rho - 1) as p from t, a, rt),
-dp as (select d.*, tp.p as parent from d join tp using (suffix)),
+dp as (select d.*, (t.k - d.k + (1 / rho - 1) * p) / (t.n - d.n + 1 / rho - 1) as parent from d join t using (suffix), a, rt),
 rd as (select least(greatest(coalesce((sum((k - n * parent) * (k - n * parent)) - sum(n * parent * (1 - parent))) / nullif(sum(n * (n - 1) * parent * (1 - parent)), 0), 0), {RHO_MIN}), {RHO_MAX}) as rho from dp),
-dq as (select suffix, domain, (k + (1 / rho - 1) * parent) / (n + 1 / rho - 1) as p from dp, rd),
-hp as (select h.*, dq.p from h join dq using (suffix, domain)),
+hp as (select h.*, (dp.k - h.k + (1 / rho - 1) * parent) / (dp.n - h.n + 1 / rho - 1) as p from h join dp using (suffix, domain), rd),
 rh as (select least(greatest(coalesce((sum((k - n * p) * (k - n * p)) - sum(n * p * (1 - p))) / nullif(sum(n * (n - 1) * p * (1 - p)), 0), 0), {RHO_MIN}), {RHO_MAX}) as rho from hp),
 ab as (select host, k + (1 / rho - 1) * p as a, n - k + (1 / rho - 1) * (1 - p) as b from hp, rh),
 v as (select host, a / (a + b) - {Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as bound from ab)
