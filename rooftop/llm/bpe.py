@@ -133,7 +133,8 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def read_ranks(spark: SparkSession, path: str) -> bytes:
-    """The rank file's content, read through Spark: its size is that of a vocabulary."""
+    """The rank file's content, read through Spark: its size is that of a vocabulary. Bounds the session's Arrow batches."""
+    common.small_batches(spark)
     return "\n".join(r.value for r in spark.read.text(path if "://" in path else f"file://{path}").collect()).encode()
 
 

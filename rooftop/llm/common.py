@@ -17,6 +17,17 @@ BROADCAST_ROWS = 200_000
 BLANKS = r"[\x20\x09-\x0D]"
 
 
+#: Rows of an Arrow batch at most: texts are long, and a batch is held by the JVM and by the worker, with what it makes of it.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches for operators that hand whole texts or shingle sets to Python workers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -53,11 +64,31 @@ def _remove(spark: SparkSession, root: str) -> None:
         return
 
 
+_tables: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes a frame to the shared folder and reads it back: cuts the lineage, and survives lost executors."""
     at = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    _tables.append(at)
+    out = df.sparkSession.read.schema(df.schema).parquet(at)
+    out.scratch = [at]
+    return out
+
+
+def mark() -> int:
+    """A point in the list of scratch tables, for release."""
+    return len(_tables)
+
+
+def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Removes the scratch tables written since a mark, but for those of the frames to keep."""
+    kept = {at for df in keep for at in getattr(df, "scratch", [])}
+    for at in [at for at in _tables[since:] if at not in kept]:
+        _tables.remove(at)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def hot_left_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
@@ -77,7 +108,9 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFra
     """Rows of docs whose key is not in ids. ids is written and counted; a short list is broadcast, a long one is joined by shuffle."""
     ids = written(ids.select(key).distinct(), "ids")
     side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    return docs.join(side, key, "left_anti").select(*docs.columns)
+    out = docs.join(side, key, "left_anti").select(*docs.columns)
+    out.scratch = ids.scratch
+    return out
 
 
 def bucketed_offsets(rows: DataFrame, group: str, bucket: str, weight: Column) -> DataFrame:

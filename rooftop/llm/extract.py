@@ -179,6 +179,7 @@ def extract(pages: DataFrame) -> DataFrame:
     A null or empty page has an empty text; a null url belongs to the empty host. Repeated pages are extracted each;
     columns other than page_id, url and html are ignored. Texts are whole.
     """
+    common.small_batches(pages.sparkSession)
     pages = pages.select("page_id", "url", "html", host_and_path(F.col("url"))[0].alias("host"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

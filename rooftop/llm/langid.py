@@ -192,6 +192,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     Null texts and texts without letters get und and score 0 and aren't accepted, nor are texts whose score is below
     the calibrated least. Whole texts are read; no other column is.
     """
+    common.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c not in ("lang_pred", "score", "accepted")]
     docs = docs.select(*names)

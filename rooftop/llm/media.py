@@ -120,6 +120,8 @@ def store(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str = "t
     as empty; repeated rows share a member.
     """
 
+    common.small_batches(docs.sparkSession)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards, known = _Shards(root), {}
         for batch in batches:

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rooftop.llm import common
@@ -18,11 +18,19 @@ SHINGLE, PERCENT = 5, 85
 COLLECTIONS, HALF = 16, 4
 #: One-bit sketches of the minimum hashes of a link differ in more bits with a probability under 1e-6.
 MOST_BITS = 19
+#: Bits of the long sketches, and the most that differ for a link but for a probability under 1e-6.
+LONG_BITS, MOST_LONG = 1024, 122
+#: Documents that share a rare shingle and are compared in one task; larger lists are dealt as pairs of blocks.
+LIST_ROWS = 1000
+#: Rows of one task's lists.
+GROUP_ROWS = 20_000
 #: Columns of shingles that are hashed together.
 _BLOCK = 4096
 
 _FIXED = mix(np.arange(1, 2 * COLLECTIONS * HALF + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _XOR, _ODD = _FIXED[: COLLECTIONS * HALF, None], (_FIXED[COLLECTIONS * HALF :, None] | np.uint64(1))
+_LONG = mix(np.arange(10**6, 10**6 + 2 * LONG_BITS, dtype=np.uint64))
+_LONG_XOR, _LONG_ODD = _LONG[:LONG_BITS, None], (_LONG[LONG_BITS:, None] | np.uint64(1))
 _PLACE = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 _FIRST, _SECOND = np.triu_indices(COLLECTIONS, 1)
 _SALT = mix(np.arange(1, len(_FIRST) + 1, dtype=np.uint64))
@@ -44,14 +52,19 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
             yield words[:0]
 
 
-def _minima(shingles: np.ndarray) -> np.ndarray:
-    low = None
-    for i in range(0, len(shingles), _BLOCK):
-        part = ((shingles[None, i : i + _BLOCK] ^ _XOR) * _ODD).min(axis=1)
+def _minima(shingles: np.ndarray, xor: np.ndarray = _XOR, odd: np.ndarray = _ODD) -> np.ndarray:
+    low, step = None, _BLOCK * COLLECTIONS * HALF // len(xor)
+    for i in range(0, len(shingles), step):
+        part = ((shingles[None, i : i + step] ^ xor) * odd).min(axis=1)
         low = part if low is None else np.minimum(low, part)
     return mix(low)
 
 
+def long_sketch(shingles: np.ndarray) -> bytes:
+    """One bit of each of LONG_BITS minimum hashes."""
+    return np.packbits((_minima(shingles, _LONG_XOR, _LONG_ODD) & np.uint64(1)).astype(np.uint8)).tobytes()
+
+
 def signature(shingles: np.ndarray) -> tuple[int, int, int, list[int]]:
     """Two 64-bit digests of a set, its one-bit sketch, and the hashes of its collections."""
     low = _minima(shingles)
@@ -81,8 +94,7 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = whole.slice(at, 2000)
             halves = batch.column(0).flatten().to_numpy().view(np.uint64).reshape(-1, COLLECTIONS)
             keys = mix(halves[:, _FIRST] * np.uint64(0x9E3779B97F4A7C15) + mix(halves[:, _SECOND] + _SALT))
-            rest = [pa.array(np.repeat(batch.column(i).to_numpy(), len(_FIRST))) for i in (1, 2, 3)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), *rest], ["key", "rep", "n", "sketch"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), len(_FIRST)))], ["key", "rep"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,6 +103,42 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.large_binary()).cast(pa.binary())], ["rep", "shingles"])
 
 
+def _singly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of a set."""
+    for whole in batches:
+        for at in range(0, len(whole), 200):
+            batch = whole.slice(at, 200)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+            sizes = [len(x) for x in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes).astype(np.int64))], ["shingle", "rep", "n"])
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bits = [long_sketch(np.frombuffer(x.as_buffer(), np.uint64)) for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["rep", "bits"])
+
+
+def _lists(rows: pa.Table) -> pa.Table:
+    """Pairs of documents of one list (shingle, i, j) that may be linked: sizes, components and long sketches allow it."""
+    rows = rows.sort_by([("shingle", "ascending"), ("i", "ascending"), ("j", "ascending")])
+    shingle, i, j, own, rep, n, comp = (rows.column(c).to_numpy() for c in ("shingle", "i", "j", "own", "rep", "n", "comp"))
+    bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(rows), -1)
+    new = np.flatnonzero((np.diff(shingle, prepend=shingle[0] ^ 1) != 0) | (np.diff(i, prepend=-1) != 0) | (np.diff(j, prepend=-1) != 0)).tolist() + [len(rows)]
+    out = [np.zeros((0, 2), np.int64)]
+    for a, b in zip(new, new[1:], strict=False):
+        for x in range(a, b - 1):
+            y = np.arange(x + 1, b)
+            y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= PERCENT * np.maximum(n[y], n[x]))]
+            if i[x] != j[x]:  # within a block the pair of the block with itself compares
+                y = y[own[y] != own[x]]
+            if len(y):
+                y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1) <= MOST_LONG]
+                out.append(np.stack([np.minimum(rep[y], rep[x]), np.maximum(rep[y], rep[x])], axis=1))
+    pairs = np.unique(np.concatenate(out), axis=0)
+    return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = []
@@ -107,15 +155,48 @@ def _alike(a: str, b: str) -> F.Column:
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))) <= MOST_BITS)
 
 
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """rep, shingles (sorted 64-bit hashes) of the documents with these ids (doc_id, distinct). docs: doc_id, text."""
+    side = F.broadcast(ids) if ids.count() <= common.BROADCAST_ROWS else ids
+    return common.written(docs.join(side, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "rep long, shingles binary"), "sets")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs a, b whose full shingle sets are alike enough. docs: doc_id, text."""
-    ids = common.written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
-    side = F.broadcast(ids) if ids.count() <= common.BROADCAST_ROWS else ids
-    sets = common.written(docs.join(side, "doc_id", "left_semi").select("doc_id", F.col("text")).mapInArrow(_sets, "rep long, shingles binary"), "sets")
+    sets = full_sets(docs, common.written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends"))
     rows = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
     return common.written(rows.select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long"), "links")
 
 
+def _by_shingle(docs: DataFrame, some: DataFrame) -> DataFrame:
+    """Pairs a, b among some (rep, n, sketch, comp) that can be linked across components, found by prefixes of their sets.
+
+    Shingles are put in order, the rarest among these documents first. Two linked sets of n shingles or more share one
+    of the first n - ceil(PERCENT % of n) + 1 of each, so only these rows meet. A set with more shingles of its own
+    than that is linked with nothing and leaves at once. The documents of a shingle are compared by long sketches in
+    the task that holds their list, and only pairs that may be linked are given out; long lists are dealt as pairs of
+    blocks.
+    """
+    sets = full_sets(docs, some.select(F.col("rep").alias("doc_id")))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = sets.select("rep", "shingles").mapInArrow(_singly, "shingle long, rep long, n long").repartition(parts, "shingle")
+    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("lo"), F.max("n").alias("hi")).where("df > 1").select("shingle", "df")
+    rows = common.written(rows.join(counts, "shingle"), "shingles")
+    free = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1  # places in the prefix
+    known = rows.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("m")).select("rep", (free - (F.col("n") - F.col("m"))).alias("left")).where("left > 0")
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "shingle"))
+    first = rows.join(known, "rep").withColumn("place", place).where(F.col("place") <= F.col("left")).select("shingle", "rep", "df")
+    bits = common.written(sets.select("rep", "shingles").mapInArrow(_sketched, "rep long, bits binary"), "long")
+    blocks = F.ceil(F.col("df") / LIST_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    first = first.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    first = first.select("shingle", "rep", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    first = common.written(first.join(some.select("rep", "n", "comp").join(bits, "rep"), "rep"), "lists")
+    groups = max(1, first.count() // GROUP_ROWS)
+    lists = first.withColumn("g", F.pmod(F.xxhash64("shingle", "i", "j"), F.lit(groups)))
+    return lists.groupBy("g").applyInArrow(lambda t: _lists(t), "a long, b long").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """v, label of every end of a link a, b: the smallest id that it reaches.
 
@@ -138,24 +219,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_shingles, component_id, kept of every document.
 
     Equal sets collapse first. Sets that share a table's key are candidates. In each table's bucket the member that
-    shares most keys is compared with all others; then only members that are still in different components are
-    compared, so a bucket of copies costs its size, not its square, and no pair that could join two components is
-    left out. Sizes and sketches rule pairs out before their full sets are compared.
+    shares most keys is compared with all others, so a bucket of copies costs its size, not its square. Members of
+    buckets that are still in different components then meet by rare shingles, which leaves out no pair that could join
+    two components. Sizes and sketches rule pairs out before their full sets are compared.
 
     Null and empty texts and texts without words have no shingles and no links. Rows that share an id are one
     document; a null id is linked with nothing. Other columns are ignored; an empty table gives no rows.
     """
+    common.small_batches(docs.sparkSession)
+    mark = common.mark()
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = common.written(docs.mapInArrow(_sign, _SIGNED), "signed")
     total = signed.count()
     reps = signed.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("sketch").alias("sketch"), F.first("halves").alias("halves"))
     reps = common.written(reps, "reps")
-    keys = reps.select("halves", "rep", "n", "sketch").mapInArrow(_tables, "key long, rep long, n long, sketch long")
-    shared = common.written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "shared")
-    side = F.broadcast(shared) if shared.count() <= common.BROADCAST_ROWS else shared
-    members = common.written(keys.join(side, "key"), "members")
+    facts = reps.select("rep", "n", "sketch")
+    # Keys are shuffled once: the counts and the members of a bucket are found in the same partitions.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = reps.select("halves", "rep").mapInArrow(_tables, "key long, rep long").repartition(parts, "key")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("lo")).where("c > 1").select("key", "c")
+    members = common.written(keys.join(shared, "key"), "members")
     degree = members.groupBy("rep").agg(F.sum(F.col("c") - 1).alias("degree"))
-    members = common.written(members.join(degree, "rep"), "members")
+    members = common.written(members.join(degree.join(facts, "rep"), "rep"), "members")
     centre = members.groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("r"), "n", "sketch")).alias("x")).select("key", (-F.col("x.r")).alias("rep"), "x.n", "x.sketch")
     star = members.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("m.rep") != F.col("c.rep")) & _alike("m", "c"))
     star = common.written(star.select(F.least("m.rep", "c.rep").alias("a"), F.greatest("m.rep", "c.rep").alias("b")).distinct(), "star")
@@ -165,14 +250,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Members of the buckets that still hold several components.
     placed = common.written(members.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", "sketch", F.coalesce("label", "rep").alias("comp")), "placed")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    placed = common.written(placed.join(mixed, "key", "left_semi"), "mixed")
-    rest = placed.alias("p").join(placed.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.rep") < F.col("q.rep")) & (F.col("p.comp") != F.col("q.comp")) & _alike("p", "q"))
-    rest = rest.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    some = common.written(placed.join(mixed, "key", "left_semi").select("rep", "n", "sketch", "comp").distinct(), "mixed")
+    rest = _by_shingle(docs, some).join(star, ["a", "b"], "left_anti")
     more = confirmed(docs, common.written(rest, "rest"))
     if more.limit(1).count():
         labels = components(links.union(more))
     classes = reps.select("d1", "d2", "n", "rep", "size").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
     classes = common.written(classes.select("d1", "d2", "n", "size", F.coalesce("label", "rep").alias("component")), "classes")
+    common.release(docs.sparkSession, mark, signed, classes)
     out = common.hot_left_join(signed.select("doc_id", "n", "d1", "d2"), classes, ["d1", "d2", "n"], "size", total)
     found = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"), found.eqNullSafe(F.col("doc_id")).alias("kept"))
@@ -184,4 +269,7 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that near_duplicates keeps, with their columns as they are."""
-    return common.without_ids(docs, near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+    mark = common.mark()
+    out = common.without_ids(docs, near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+    common.release(spark, mark, out)
+    return out
