@@ -109,12 +109,13 @@ def permutation_p(moran: DataFrame, permutations: int = 999, seed: int = 42) ->
                     out.append(None)
                     continue
                 rng = np.random.default_rng([seed, int(r.row_idx)])
+                picks = np.sort(rng.integers(0, len(others), (permutations, k)), axis=1)
                 if k * 4 > len(others):
                     picks = np.argsort(rng.random((permutations, len(others))), axis=1)[:, :k]
-                else:
-                    picks = rng.integers(0, len(others), (permutations, k))
-                    while (again := (np.diff(np.sort(picks, axis=1), axis=1) == 0).any(axis=1)).any():
-                        picks[again] = rng.integers(0, len(others), (int(again.sum()), k))
+                else:  # draw again what came twice, until nothing does
+                    while (again := np.diff(picks, axis=1, prepend=-1) == 0).any():
+                        picks[again] = rng.integers(0, len(others), int(again.sum()))
+                        picks.sort(axis=1)
                 lags = others[picks].mean(axis=1)
                 larger = int((r.z * lags >= r.z * r.lag).sum())
                 out.append((min(larger, permutations - larger) + 1) / (permutations + 1))
