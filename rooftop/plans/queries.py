@@ -16,7 +16,7 @@ from rooftop.sources import geojson, tables
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 #: Trees of the models in the queries on learning.
-FEW = config.Settings(trees=10, folds=3)
+FEW = config.Settings(trees=5, folds=2)
 
 
 def query(sql: str | None = None):
@@ -444,7 +444,7 @@ def _to_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ml_cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = learning.shape_features(_to_learn(spark, sf_dir)).where("height_final > 0")
-    return learning.spatial_cv(train, config.Settings(trees=10, folds=3, group_cell=400.0))
+    return learning.spatial_cv(train, config.Settings(trees=5, folds=2, group_cell=400.0))
 
 
 @query()
