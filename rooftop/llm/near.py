@@ -19,7 +19,7 @@ COLLECTIONS, HALF = 16, 4
 #: One-bit sketches of the minimum hashes of a link differ in more bits with a probability under 1e-6.
 MOST_BITS = 19
 #: Bits of the long sketches, and the most that differ for a link but for a probability under 1e-6.
-LONG_BITS, MOST_LONG = 1024, 122
+LONG_BITS, MOST_LONG = 2048, 212
 #: Documents that share a rare shingle and are compared in one task; larger lists are dealt as pairs of blocks.
 LIST_ROWS = 1000
 #: Rows of one task's lists.
