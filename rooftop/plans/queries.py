@@ -15,8 +15,6 @@ from rooftop.sources import geojson, tables
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-#: Trees of the models in the queries on learning.
-FEW = config.Settings(trees=5, folds=2)
 
 
 def query(sql: str | None = None):
@@ -444,12 +442,12 @@ def _to_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ml_cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = learning.shape_features(_to_learn(spark, sf_dir)).where("height_final > 0")
-    return learning.spatial_cv(train, config.Settings(trees=5, folds=2, group_cell=400.0))
+    return learning.spatial_cv(train, config.Settings(group_cell=400.0))
 
 
 @query()
 def ml_fill_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, _ = learning.fill_heights(_to_learn(spark, sf_dir), FEW)
+    df, _ = learning.fill_heights(_to_learn(spark, sf_dir), config.Settings())
     return df.select("component_id", "height_final", "height_ml", "height_final_full", "height_source_full")
 
 

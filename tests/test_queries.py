@@ -37,3 +37,23 @@ def test_query_equals_sql(spark, name):
 def test_contract_names():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(queries.SQL) <= set(contract.oracle_sql())
+
+
+def test_learning_queries_run_the_operators_settings(monkeypatch):
+    class Stop(Exception):
+        pass
+
+    seen = []
+
+    def stop(df, settings):
+        seen.append((settings.trees, settings.folds))
+        raise Stop
+
+    monkeypatch.setattr(queries, "_to_learn", lambda *_: None)
+    monkeypatch.setattr(queries.learning, "shape_features", lambda df: type("Rows", (), {"where": lambda self, _: df})())
+    for name in ("spatial_cv", "fill_heights"):
+        monkeypatch.setattr(queries.learning, name, stop)
+    for name in ("ml_cv_summary", "ml_fill_heights"):
+        with pytest.raises(Stop):
+            queries.QUERIES[name](None, DATA)
+    assert seen == [(300, 5)] * 2
