@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rooftop import config
 from rooftop.functions.values import flag
-from rooftop.session import written
+from rooftop.operators.statistics import numbered
+from rooftop.session import shared_dir, written
 
-#: Values that permutations are drawn from: all up to this many, a sample by hash beyond.
-POOL = 65_536
+#: Rows whose z a task holds at a time, numbers it draws at a time, and rows it rates at a time.
+BLOCK, DRAWS, SLICE = 1 << 22, 1 << 22, 1000
 
 
 def _cells(low: Column, high: Column, size: float) -> Column:
@@ -87,42 +91,69 @@ def local_moran(points: DataFrame, radius: float) -> DataFrame:
     return out.select("row_idx", "z", F.coalesce("k", F.lit(0)).alias("k"), "lag", i.alias("lisa_I"), F.when(F.col("lag").isNotNull(), quad).alias("lisa_quad"))
 
 
-def permutation_p(moran: DataFrame, permutations: int = 999, seed: int = 42) -> DataFrame:
+def _picks(rng: np.random.Generator, permutations: int, k: int, m: int) -> Iterator[np.ndarray]:
+    """Neighbourhoods: in each row k distinct numbers below m; at most about DRAWS numbers at a time."""
+    dense = k * 4 > m
+    part = max(1, DRAWS // (m if dense else k))
+    for n in [part] * (permutations // part) + [permutations % part] * (permutations % part > 0):
+        picks = np.sort(rng.integers(0, m, (n, k)), axis=1)
+        if dense:
+            yield np.argsort(rng.random((n, m)), axis=1)[:, :k]
+            continue
+        while (again := np.diff(picks, axis=1, prepend=-1) == 0).any():  # draw again what came twice, until nothing does
+            picks[again] = rng.integers(0, m, int(again.sum()))
+            picks.sort(axis=1)
+        yield picks
+
+
+def permutation_p(moran: DataFrame, permutations: int = 999, seed: int = 42, block: int = BLOCK) -> DataFrame:
     """Adds lisa_p: the share of random neighbourhoods as extreme as the lag, a generator seeded by each row's id.
 
-    Neighbourhoods are drawn without replacement from the other rows' z: from all of them up to POOL rows, beyond
-    from the POOL rows whose hashed ids are least, so what is sent to the executors is bounded.
+    Neighbourhoods are drawn without replacement from all other rows' z. Rows are numbered by id and their z written
+    to the shared folder in blocks; a task holds one block at a time and repeats its rows' draws for each, so its
+    memory is bounded at every size.
     """
-    pool = moran.orderBy(F.xxhash64("row_idx"), "row_idx").limit(POOL).select("row_idx", "z").toPandas().sort_values("row_idx")
-    ids, zs = pool["row_idx"].to_numpy(), pool["z"].to_numpy()
-    shared = moran.sparkSession.sparkContext.broadcast((ids, zs))
+    placed = written(numbered(moran, "row_idx", "__place"), "placed")
+    total, at = placed.count(), f"{shared_dir(moran.sparkSession)}/tables/z-{uuid.uuid4().hex}"
+    placed.select("__place", "z", F.floor(F.col("__place") / block).alias("block")).repartition("block").write.partitionBy("block").parquet(at)
+
+    def values(low: int) -> np.ndarray:
+        files, root = fs.FileSystem.from_uri(at if "://" in at or at.startswith("file:") else f"file://{at}")
+        part = pq.read_table(f"{root}/block={low // block}", columns=["__place", "z"], filesystem=files, partitioning=None)
+        z = np.empty(len(part))
+        z[part.column("__place").to_numpy() - low] = part.column("z").to_numpy()
+        return z
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, zs = shared.value
-        for rows in batches:
-            out = []
-            for r in rows.itertuples():
-                k = int(r.k)
-                at = np.searchsorted(ids, r.row_idx)
-                others = np.delete(zs, at) if at < len(ids) and ids[at] == r.row_idx else zs
-                if not k or k > len(others):
-                    out.append(None)
-                    continue
-                rng = np.random.default_rng([seed, int(r.row_idx)])
-                picks = np.sort(rng.integers(0, len(others), (permutations, k)), axis=1)
-                if k * 4 > len(others):
-                    picks = np.argsort(rng.random((permutations, len(others))), axis=1)[:, :k]
-                else:  # draw again what came twice, until nothing does
-                    while (again := np.diff(picks, axis=1, prepend=-1) == 0).any():
-                        picks[again] = rng.integers(0, len(others), int(again.sum()))
-                        picks.sort(axis=1)
-                lags = others[picks].mean(axis=1)
-                larger = int((r.z * lags >= r.z * r.lag).sum())
-                out.append((min(larger, permutations - larger) + 1) / (permutations + 1))
-            yield rows.assign(lisa_p=pd.Series(out, index=rows.index, dtype="float64"))
-
-    schema = moran.schema.simpleString()[len("struct<") : -1].replace(":", " ") + ", lisa_p double"
-    return moran.mapInPandas(draw, schema).withColumn("lisa_p", F.nanvl("lisa_p", F.lit(None)))
+        held = None
+        for whole in batches:
+            for start in range(0, len(whole), SLICE):
+                rows = whole.iloc[start : start + SLICE]
+                sums = np.zeros((len(rows), permutations))
+                for low in range(0, total, block):
+                    if held is None or total > block:
+                        held = values(low)
+                    for i, r in enumerate(rows.itertuples(index=False, name=None)):
+                        r = dict(zip(rows.columns, r, strict=True))
+                        if not r["k"]:
+                            continue
+                        rng, done = np.random.default_rng([seed, int(r["row_idx"])]), 0
+                        for picks in _picks(rng, permutations, int(r["k"]), total - 1):
+                            picks += picks >= r["__place"]  # the others without the row itself
+                            if total > block:
+                                inside = (picks >= low) & (picks < low + len(held))
+                                sums[i, done : done + len(picks)] += np.where(inside, held[np.where(inside, picks - low, 0)], 0.0).sum(axis=1)
+                            else:
+                                sums[i, done : done + len(picks)] = held[picks].sum(axis=1)
+                            done += len(picks)
+                k, z, lag = (rows[c].to_numpy(dtype="float64") for c in ("k", "z", "lag"))
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    larger = (z[:, None] * (sums / k[:, None]) >= (z * lag)[:, None]).sum(axis=1)
+                p = (np.minimum(larger, permutations - larger) + 1) / (permutations + 1)
+                yield rows.assign(lisa_p=np.where(k > 0, p, np.nan))
+
+    schema = placed.schema.simpleString()[len("struct<") : -1].replace(":", " ") + ", lisa_p double"
+    return placed.mapInPandas(draw, schema).withColumn("lisa_p", F.nanvl("lisa_p", F.lit(None))).drop("__place")
 
 
 def with_lisa(points: DataFrame, settings: config.Settings) -> DataFrame:

@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +114,34 @@ def test_permutations_are_seeded_and_spread(spark):
     assert all(0 < p <= 0.51 for p in first.values()) and len(set(first.values())) > 20
 
 
+def _brute_p(rows, at, permutations, seed=42):
+    i, z, k, lag = rows[at]
+    others, rng = np.array([r[1] for r in rows if r[0] != i]), np.random.default_rng([seed, i])
+    picks = np.sort(rng.integers(0, len(others), (permutations, k)), axis=1)
+    if k * 4 > len(others):
+        picks = np.argsort(rng.random((permutations, len(others))), axis=1)[:, :k]
+    else:
+        while (again := np.diff(picks, axis=1, prepend=-1) == 0).any():
+            picks[again] = rng.integers(0, len(others), int(again.sum()))
+            picks.sort(axis=1)
+    lags = others[picks].mean(axis=1)
+    larger = int((z * lags >= z * lag).sum())
+    return (min(larger, permutations - larger) + 1) / (permutations + 1)
+
+
+@pytest.mark.parametrize("block", [spatial.BLOCK, 30_000])
+def test_permutations_draw_from_all_rows(spark, block):
+    rnd = random.Random(4)
+    rated = {5: 7, 40_001: 40, 69_999: 300, 60_000: 68_000}  # neighbours of the rows that have any
+    rows = [(i, rnd.gauss(0, 1), rated.get(i, 0), rnd.gauss(0, 0.2) if i in rated else None) for i in range(70_000)]
+    df = spark.createDataFrame(rows, "row_idx long, z double, k long, lag double").repartition(3)
+    out = spatial.permutation_p(df, 19, block=block)
+    assert out.columns == [*df.columns, "lisa_p"]
+    got = {r.row_idx: r.lisa_p for r in out.collect()}
+    assert len(got) == len(rows) and all((p is None) == (i not in rated) for i, p in got.items())
+    assert {i: got[i] for i in rated} == {i: _brute_p(rows, i, 19) for i in rated}
+
+
 def test_duplicates_keep_the_first_row(spark):
     df = spark.createDataFrame([(3, "a", None), (1, "a", None), (2, "a", "x"), (0, None, None), (5, None, None)], "row_idx long, id string, v string")
     assert sorted(r.row_idx for r in tables.drop_duplicates(df, []).collect()) == [0, 1, 2]
