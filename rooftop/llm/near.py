@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -12,14 +14,14 @@ from pyspark.sql import functions as F
 from rooftop.llm import common
 from rooftop.llm.words import bodies, grouped, hashed, mix
 
-#: Words of a shingle; a link needs 100 * common shingles >= PERCENT * all shingles of the two.
-SHINGLE, PERCENT = 5, 85
-#: Collections of HALF minimum hashes; each pair of collections is a table, so a table's key has 2 * HALF hashes.
-COLLECTIONS, HALF = 16, 4
-#: One-bit sketches of the minimum hashes of a link differ in more bits with a probability under 1e-6.
-MOST_BITS = 19
-#: Bits of the long sketches, and the most that differ for a link but for a probability under 1e-6.
-LONG_BITS, MOST_LONG = 2048, 212
+#: Words of a shingle.
+SHINGLE = 5
+#: Minimum hashes of a collection; each pair of collections is a table, so a table's key has 2 * HALF hashes.
+HALF = 4
+#: Bits of the one-bit sketches of minimum hashes, short and long.
+BITS, LONG_BITS = 64, 2048
+#: Probabilities that a pair at the threshold shares no table, and that its short or long sketches rule it out.
+MISS, RULED_OUT = 2e-4, (1e-8, 1e-6)
 #: Documents that share a rare shingle and are compared in one task; larger lists are dealt as pairs of blocks.
 LIST_ROWS = 1000
 #: Rows of one task's lists.
@@ -27,13 +29,47 @@ GROUP_ROWS = 20_000
 #: Columns of shingles that are hashed together.
 _BLOCK = 4096
 
-_FIXED = mix(np.arange(1, 2 * COLLECTIONS * HALF + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-_XOR, _ODD = _FIXED[: COLLECTIONS * HALF, None], (_FIXED[COLLECTIONS * HALF :, None] | np.uint64(1))
+
+class Limits(NamedTuple):
+    """What follows from a similarity: a link needs 100 * common shingles >= percent * all shingles of the two."""
+
+    percent: int
+    collections: int
+    most_bits: int
+    most_long: int
+
+
+def _most(bits: int, rate: float, under: float) -> int:
+    """The least number that a binomial count exceeds with a probability below under."""
+    left, chance = 1.0, (1 - rate) ** bits
+    for m in range(bits):
+        left -= chance
+        if left < under:
+            return m
+        chance *= (bits - m) / (m + 1) * rate / (1 - rate)
+    return bits
+
+
+@cache
+def limits(percent: int) -> Limits:
+    if not 0 < percent <= 100:
+        raise ValueError("a similarity is a per cent above 0, at most 100")
+    same, n = (percent / 100) ** HALF, BITS // HALF
+    while (1 - same) ** n + n * same * (1 - same) ** (n - 1) > MISS:
+        n += 1
+    return Limits(percent, n, *(_most(bits, (1 - percent / 100) / 2, under) for bits, under in zip((BITS, LONG_BITS), RULED_OUT, strict=True)))
+
+
+@cache
+def _hashes(collections: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What the minimum hashes are taken with, and the factors of a collection's."""
+    fixed = mix(np.arange(1, 2 * collections * HALF + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+    return fixed[: collections * HALF, None], fixed[collections * HALF :, None] | np.uint64(1), fixed[:HALF]
+
+
 _LONG = mix(np.arange(10**6, 10**6 + 2 * LONG_BITS, dtype=np.uint64))
 _LONG_XOR, _LONG_ODD = _LONG[:LONG_BITS, None], (_LONG[LONG_BITS:, None] | np.uint64(1))
 _PLACE = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
-_FIRST, _SECOND = np.triu_indices(COLLECTIONS, 1)
-_SALT = mix(np.arange(1, len(_FIRST) + 1, dtype=np.uint64))
 
 
 def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -52,8 +88,8 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
             yield words[:0]
 
 
-def _minima(shingles: np.ndarray, xor: np.ndarray = _XOR, odd: np.ndarray = _ODD) -> np.ndarray:
-    low, step = None, _BLOCK * COLLECTIONS * HALF // len(xor)
+def _minima(shingles: np.ndarray, xor: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    low, step = None, _BLOCK * BITS // len(xor)
     for i in range(0, len(shingles), step):
         part = ((shingles[None, i : i + step] ^ xor) * odd).min(axis=1)
         low = part if low is None else np.minimum(low, part)
@@ -65,11 +101,12 @@ def long_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits((_minima(shingles, _LONG_XOR, _LONG_ODD) & np.uint64(1)).astype(np.uint8)).tobytes()
 
 
-def signature(shingles: np.ndarray) -> tuple[int, int, int, list[int]]:
+def signature(shingles: np.ndarray, collections: int) -> tuple[int, int, int, list[int]]:
     """Two 64-bit digests of a set, its one-bit sketch, and the hashes of its collections."""
-    low = _minima(shingles)
-    halves = mix((low.reshape(COLLECTIONS, HALF) * _FIXED[:HALF]).sum(axis=1, dtype=np.uint64))
-    sketch = np.packbits((low & np.uint64(1)).astype(np.uint8)).view(np.int64)[0]
+    xor, odd, factors = _hashes(collections)
+    low = _minima(shingles, xor, odd)
+    halves = mix((low.reshape(collections, HALF) * factors).sum(axis=1, dtype=np.uint64))
+    sketch = np.packbits((low[:BITS] & np.uint64(1)).astype(np.uint8)).view(np.int64)[0]
     digest = mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64), mix(shingles * np.uint64(0xDA942042E4DD58B5)).sum(dtype=np.uint64)
     return int(digest[0].astype(np.int64)), int(digest[1].astype(np.int64)), int(sketch), halves.view(np.int64).tolist()
 
@@ -77,24 +114,26 @@ def signature(shingles: np.ndarray) -> tuple[int, int, int, list[int]]:
 _SIGNED = "doc_id long, n long, d1 long, d2 long, sketch long, halves array<long>"
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], collections: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for group in grouped(bodies(batch.column(1))):
             for s in shingle_sets(group):
-                out.append((len(s), *signature(s)) if len(s) else (0, 0, 0, 0, None))
+                out.append((len(s), *signature(s, collections)) if len(s) else (0, 0, 0, 0, None))
         kinds = (*[pa.int64()] * 4, pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]], ["doc_id", "n", "d1", "d2", "sketch", "halves"])
 
 
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tables(batches: Iterator[pa.RecordBatch], collections: int) -> Iterator[pa.RecordBatch]:
     """A row for each pair of collections: the key formed from their two hashes."""
+    first, second = np.triu_indices(collections, 1)
+    salt = mix(np.arange(1, len(first) + 1, dtype=np.uint64))
     for whole in batches:
         for at in range(0, len(whole), 2000):
             batch = whole.slice(at, 2000)
-            halves = batch.column(0).flatten().to_numpy().view(np.uint64).reshape(-1, COLLECTIONS)
-            keys = mix(halves[:, _FIRST] * np.uint64(0x9E3779B97F4A7C15) + mix(halves[:, _SECOND] + _SALT))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), len(_FIRST)))], ["key", "rep"])
+            halves = batch.column(0).flatten().to_numpy().view(np.uint64).reshape(-1, collections)
+            keys = mix(halves[:, first] * np.uint64(0x9E3779B97F4A7C15) + mix(halves[:, second] + salt))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), len(first)))], ["key", "rep"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +158,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["rep", "bits"])
 
 
-def _lists(rows: pa.Table) -> pa.Table:
+def _lists(rows: pa.Table, given: Limits) -> pa.Table:
     """Pairs of documents of one list (shingle, i, j) that may be linked: sizes, components and long sketches allow it."""
     rows = rows.sort_by([("shingle", "ascending"), ("i", "ascending"), ("j", "ascending")])
     shingle, i, j, own, rep, n, comp = (rows.column(c).to_numpy() for c in ("shingle", "i", "j", "own", "rep", "n", "comp"))
@@ -129,30 +168,30 @@ def _lists(rows: pa.Table) -> pa.Table:
     for a, b in zip(new, new[1:], strict=False):
         for x in range(a, b - 1):
             y = np.arange(x + 1, b)
-            y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= PERCENT * np.maximum(n[y], n[x]))]
+            y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= given.percent * np.maximum(n[y], n[x]))]
             if i[x] != j[x]:  # within a block the pair of the block with itself compares
                 y = y[own[y] != own[x]]
             if len(y):
-                y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1) <= MOST_LONG]
+                y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1) <= given.most_long]
                 out.append(np.stack([np.minimum(rep[y], rep[x]), np.maximum(rep[y], rep[x])], axis=1))
     pairs = np.unique(np.concatenate(out), axis=0)
     return pa.table([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = []
         for x, y in zip(batch.column(2), batch.column(3), strict=True):
             x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
             both = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            ok.append(100 * both >= percent * (len(x) + len(y) - both))
         yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
-def _alike(a: str, b: str) -> F.Column:
+def _alike(a: str, b: str, given: Limits) -> F.Column:
     """Sizes that a link can have, and sketches near enough."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))) <= MOST_BITS)
+    return (100 * F.least(n, m) >= given.percent * F.greatest(n, m)) & (F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))) <= given.most_bits)
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -161,18 +200,18 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return common.written(docs.join(side, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "rep long, shingles binary"), "sets")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b whose full shingle sets are alike enough. docs: doc_id, text."""
     sets = full_sets(docs, common.written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends"))
     rows = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
-    return common.written(rows.select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long"), "links")
+    return common.written(rows.select("a", "b", "x", "y").mapInArrow(lambda x: _confirm(x, percent), "a long, b long"), "links")
 
 
-def _by_shingle(docs: DataFrame, some: DataFrame) -> DataFrame:
+def _by_shingle(docs: DataFrame, some: DataFrame, given: Limits) -> DataFrame:
     """Pairs a, b among some (rep, n, sketch, comp) that can be linked across components, found by prefixes of their sets.
 
     Shingles are put in order, the rarest among these documents first. Two linked sets of n shingles or more share one
-    of the first n - ceil(PERCENT % of n) + 1 of each, so only these rows meet. A set with more shingles of its own
+    of the first n - ceil(percent % of n) + 1 of each, so only these rows meet. A set with more shingles of its own
     than that is linked with nothing and leaves at once. The documents of a shingle are compared by long sketches in
     the task that holds their list, and only pairs that may be linked are given out; long lists are dealt as pairs of
     blocks.
@@ -182,7 +221,7 @@ def _by_shingle(docs: DataFrame, some: DataFrame) -> DataFrame:
     rows = sets.select("rep", "shingles").mapInArrow(_singly, "shingle long, rep long, n long").repartition(parts, "shingle")
     counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("lo"), F.max("n").alias("hi")).where("df > 1").select("shingle", "df")
     rows = common.written(rows.join(counts, "shingle"), "shingles")
-    free = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1  # places in the prefix
+    free = F.col("n") - F.ceil(F.col("n") * given.percent / 100) + 1  # places in the prefix
     known = rows.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("m")).select("rep", (free - (F.col("n") - F.col("m"))).alias("left")).where("left > 0")
     place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "shingle"))
     first = rows.join(known, "rep").withColumn("place", place).where(F.col("place") <= F.col("left")).select("shingle", "rep", "df")
@@ -194,7 +233,7 @@ def _by_shingle(docs: DataFrame, some: DataFrame) -> DataFrame:
     first = common.written(first.join(some.select("rep", "n", "comp").join(bits, "rep"), "rep"), "lists")
     groups = max(1, first.count() // GROUP_ROWS)
     lists = first.withColumn("g", F.pmod(F.xxhash64("shingle", "i", "j"), F.lit(groups)))
-    return lists.groupBy("g").applyInArrow(lambda t: _lists(t), "a long, b long").distinct()
+    return lists.groupBy("g").applyInArrow(lambda t: _lists(t, given), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -215,8 +254,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document; linked are sets with a similarity of percent or more.
 
     Equal sets collapse first. Sets that share a table's key are candidates. In each table's bucket the member that
     shares most keys is compared with all others, so a bucket of copies costs its size, not its square. Members of
@@ -226,33 +265,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts and texts without words have no shingles and no links. Rows that share an id are one
     document; a null id is linked with nothing. Other columns are ignored; an empty table gives no rows.
     """
+    given = limits(percent)
     common.small_batches(docs.sparkSession)
     mark = common.mark()
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = common.written(docs.mapInArrow(_sign, _SIGNED), "signed")
+    signed = common.written(docs.mapInArrow(lambda x: _sign(x, given.collections), _SIGNED), "signed")
     total = signed.count()
     reps = signed.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("sketch").alias("sketch"), F.first("halves").alias("halves"))
     reps = common.written(reps, "reps")
     facts = reps.select("rep", "n", "sketch")
     # Keys are shuffled once: the counts and the members of a bucket are found in the same partitions.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = reps.select("halves", "rep").mapInArrow(_tables, "key long, rep long").repartition(parts, "key")
+    keys = reps.select("halves", "rep").mapInArrow(lambda x: _tables(x, given.collections), "key long, rep long").repartition(parts, "key")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("lo")).where("c > 1").select("key", "c")
     members = common.written(keys.join(shared, "key"), "members")
     degree = members.groupBy("rep").agg(F.sum(F.col("c") - 1).alias("degree"))
     members = common.written(members.join(degree.join(facts, "rep"), "rep"), "members")
     centre = members.groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("r"), "n", "sketch")).alias("x")).select("key", (-F.col("x.r")).alias("rep"), "x.n", "x.sketch")
-    star = members.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("m.rep") != F.col("c.rep")) & _alike("m", "c"))
+    star = members.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("m.rep") != F.col("c.rep")) & _alike("m", "c", given))
     star = common.written(star.select(F.least("m.rep", "c.rep").alias("a"), F.greatest("m.rep", "c.rep").alias("b")).distinct(), "star")
-    links = confirmed(docs, star)
+    links = confirmed(docs, star, percent)
     labels = components(links)
 
     # Members of the buckets that still hold several components.
     placed = common.written(members.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", "sketch", F.coalesce("label", "rep").alias("comp")), "placed")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     some = common.written(placed.join(mixed, "key", "left_semi").select("rep", "n", "sketch", "comp").distinct(), "mixed")
-    rest = _by_shingle(docs, some).join(star, ["a", "b"], "left_anti")
-    more = confirmed(docs, common.written(rest, "rest"))
+    rest = _by_shingle(docs, some, given).join(star, ["a", "b"], "left_anti")
+    more = confirmed(docs, common.written(rest, "rest"), percent)
     if more.limit(1).count():
         labels = components(links.union(more))
     classes = reps.select("d1", "d2", "n", "rep", "size").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
@@ -264,11 +304,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.table(spark, sf_dir, "documents"))
+    return near_duplicates(common.table(spark, sf_dir, "documents"), percent=85)
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that near_duplicates keeps, with their columns as they are."""
+    """Documents that near_duplicates keeps at a similarity of 80 per cent, with their columns as they are."""
     mark = common.mark()
     out = common.without_ids(docs, near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
     common.release(spark, mark, out)

@@ -117,6 +117,20 @@ def test_near_duplicates_that_only_chain(spark):
     assert got == {i: c for i, (_, c, _) in brute_near(rows).items()}
 
 
+def test_the_near_stage_links_from_80_per_cent(spark):
+    rnd, rows = random.Random(7), []
+    for n in range(40, 72):  # a word changed in the middle leaves n - 9 of n + 1 shingles in common
+        w = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+        rows += [(2 * n, " ".join(w), "x"), (2 * n + 1, " ".join([*w[:20], "changed", *w[21:]]), "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    links = lambda percent: {2 * n + 1 for n in range(40, 72) if 100 * (n - 9) >= percent * (n + 1)}
+    out = near.stage_near_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    assert {r[0] for r in rows} - {r.doc_id for r in out.collect()} == links(80)
+    assert {r.doc_id for r in near.near_duplicates(docs, percent=85).collect() if not r.kept} == links(85)
+    assert near.limits(85).collections == 16 and near.limits(80).collections == 22
+
+
 def test_words_and_shingles_of_odd_texts():
     texts = [b"", b" ", b"A b", "É x".encode(), b"a\x0bb\x0cc", b"q" * 3000]
     from rooftop.llm.words import hashed
