@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from rooftop import config
 from rooftop.functions.values import flag
 from rooftop.operators.statistics import numbered
-from rooftop.session import shared_dir, written
+from rooftop.session import scratch_path, written
 
 #: Rows whose z a task holds at a time, numbers it draws at a time, and rows it rates at a time.
 BLOCK, DRAWS, SLICE = 1 << 22, 1 << 22, 1000
@@ -114,7 +113,7 @@ def permutation_p(moran: DataFrame, permutations: int = 999, seed: int = 42, blo
     memory is bounded at every size.
     """
     placed = written(numbered(moran, "row_idx", "__place"), "placed")
-    total, at = placed.count(), f"{shared_dir(moran.sparkSession)}/tables/z-{uuid.uuid4().hex}"
+    total, at = placed.count(), scratch_path(moran.sparkSession, "z")
     placed.select("__place", "z", F.floor(F.col("__place") / block).alias("block")).repartition("block").write.partitionBy("block").parquet(at)
 
     def values(low: int) -> np.ndarray:

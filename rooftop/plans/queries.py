@@ -10,7 +10,7 @@ from rooftop.functions import geometry, shapes, text
 from rooftop.functions.values import array_mean, array_weighted_mean
 from rooftop.operators import cleaning, heights, learning, matching, risk, serving, spatial, statistics, topology
 from rooftop.plans.fixtures import BLD_A, BLD_B, buildings, table, with_wkt
-from rooftop.session import shared_dir, written
+from rooftop.session import scratch_path, written
 from rooftop.sources import geojson, tables
 
 QUERIES: dict = {}
@@ -513,7 +513,7 @@ def wkt_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- sources
 @query(f"{FIX} select row_idx as place, height, stairs, number, district, x0, y0 + h as y1 from bld_b order by row_idx")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/csv-{sf_dir.rstrip('/').rsplit('/', 1)[-1]}"
+    path = scratch_path(spark, "csv")
     b = with_wkt(buildings(spark, sf_dir)[1], "geometry").select("row_idx", "geometry", "height", "stairs", "avg_floor_height", "number", "district", "type")
     tables.save_csv(b.orderBy("row_idx").drop("row_idx").coalesce(1), path)
     df = tables.load_b(spark, path)
@@ -523,7 +523,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{FIX} select row_idx, height, district from bld_b")
 def geojson_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/geojson-{sf_dir.rstrip('/').rsplit('/', 1)[-1]}"
+    path = scratch_path(spark, "geojson")
     geojson.save_geojson(with_wkt(buildings(spark, sf_dir)[1], "geometry").select("row_idx", "height", "district", "geometry"), path)
     return geojson.read_geojson(spark, path, "row_idx: bigint, height: double, district: string")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -12,15 +13,41 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a temporary folder where it is unset, which only a local session may do."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="rooftop-")
         spark.conf.set("spark.checkpoint.dir", at)
+        spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
+_roots: dict[str, str] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a scratch table in the shared folder; all of an application's are removed when its driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _roots:
+        _roots[app] = root = f"{shared_dir(spark)}/rooftop-{uuid.uuid4().hex}"
+        atexit.register(remove, spark, root, True)
+    return f"{_roots[app]}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, at: str, at_exit: bool = False) -> None:
+    """Deletes a path; when the driver ends the session may have ended before."""
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:
+        if not at_exit:
+            raise
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes a frame as Parquet to the shared folder and reads it again: a cut in the lineage that outlives executors."""
-    at = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    at = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(at)
+    out = df.sparkSession.read.schema(df.schema).parquet(at)
+    out.scratch = [at]
+    return out
