@@ -23,7 +23,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 SPACES = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Word ends that the pattern splits off after an apostrophe, in its order.
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
-#: Distinct words whose ids a worker keeps; beyond it the table starts anew. Characters that are split at once.
+#: Distinct words whose ids a task keeps; beyond it the table starts anew. Characters that are split at once.
 KEPT, CHARS = 400_000, 1 << 20
 LETTER, NUMBER, SPACE = 1, 2, 3
 
@@ -166,18 +166,6 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids.split(b" "))) if ids else b""
 
 
-_codecs: dict[bytes, Codec] = {}
-
-
-def _codec(content: bytes) -> Codec:
-    """One codec a worker and vocabulary: words stay known from task to task."""
-    key = hashlib.sha256(content).digest()
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(content)
-    return _codecs[key]
-
-
 def _grouped(texts: list[str]) -> Iterator[list[str]]:
     """Texts in turn, in lists of about CHARS characters."""
     group, n = [], 0
@@ -200,12 +188,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     content = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content.value)
+        codec = Codec(content.value)
         for batch in batches:
             ids = [[int(i) for i in e.split()] for group in _grouped(_texts(batch)) for e in codec.encode(group)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(common.tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -213,12 +201,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     content = encoded.sparkSession.sparkContext.broadcast(read_ranks(encoded.sparkSession, path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content.value)
+        codec = Codec(content.value)
         for batch in batches:
             body = [codec.decode(b" ".join(b"%d" % i for i in ids or [])) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(body, pa.binary())], ["doc_id", "body"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, body binary")
+    return encoded.select("doc_id", "ids").mapInArrow(common.tidy(run), "doc_id long, body binary")
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,7 +214,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     content = docs.sparkSession.sparkContext.broadcast(read_ranks(docs.sparkSession, path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content.value)
+        codec = Codec(content.value)
         for batch in batches:
             counts, coded, decoded = [], [], []
             for group in _grouped(_texts(batch)):
@@ -236,7 +224,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                     decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(common.tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

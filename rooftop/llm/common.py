@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+import ctypes
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rooftop import session
+from rooftop.llm import words
+from rooftop.session import scratch_path  # noqa: F401  the operators' path for files of their own
+
 #: A key with over 1/HOT_SHARE of all rows is hot; fewer than HOT_SHARE keys can be, so a table of them may be broadcast.
 HOT_SHARE = 1000
 #: A table of at most so many narrow rows, counted before, is broadcast; larger ones are joined by shuffle.
@@ -32,48 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in a local session without it a temporary one."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="rooftop-")
-        spark.conf.set("spark.checkpoint.dir", at)
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-_roots: dict[int, str] = {}
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for a scratch table; all of a session's are removed when the driver ends."""
-    if id(spark) not in _roots:
-        _roots[id(spark)] = root = f"{shared_dir(spark)}/rooftop-{uuid.uuid4().hex}"
-        atexit.register(_remove, spark, root)
-    return f"{_roots[id(spark)]}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def _remove(spark: SparkSession, root: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(root)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # noqa: BLE001  the session has ended before
-        return
-
-
 _tables: list[str] = []
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes a frame to the shared folder and reads it back: cuts the lineage, and survives lost executors."""
-    at = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(at)
-    _tables.append(at)
-    out = df.sparkSession.read.schema(df.schema).parquet(at)
-    out.scratch = [at]
+    """session.written, listed for release."""
+    out = session.written(df, name)
+    _tables.extend(out.scratch)
     return out
 
 
@@ -87,8 +56,7 @@ def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
     kept = {at for df in keep for at in getattr(df, "scratch", [])}
     for at in [at for at in _tables[since:] if at not in kept]:
         _tables.remove(at)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        session.remove(spark, at)
 
 
 def hot_left_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
@@ -104,19 +72,62 @@ def hot_left_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: st
     return near.unionByName(rest)
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of docs whose key is not in ids. ids is written and counted; a short list is broadcast, a long one is joined by shuffle."""
-    ids = written(ids.select(key).distinct(), "ids")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    out = docs.join(side, key, "left_anti").select(*docs.columns)
-    out.scratch = ids.scratch
+def content(text_col: str = "text") -> Column:
+    """128 bits that stand for a text among the rows of one id; null is a content of its own."""
+    return F.when(F.col(text_col).isNull(), F.lit(b"")).otherwise(F.unhex(F.md5(F.encode(F.col(text_col), "UTF-8"))))
+
+
+def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of docs, their columns as they are, by decided: doc_id, content, kept, a row for each row that is decided on.
+
+    A row whose id and content aren't listed stays; a listed one that isn't kept goes. Of kept rows that are alike in
+    id and content one stays. Ids may be null or repeat: the decision is by row. Only what changes something is
+    joined: the list is broadcast if its count allows, else texts are shuffled once.
+    """
+    listed = decided.groupBy(F.col("doc_id").alias("__id"), F.col("content").alias("__content")).agg(F.max("kept").alias("__kept"), (F.count(F.lit(1)) > 1).alias("__many"))
+    listed = written(listed.where(~F.col("__kept") | F.col("__many")), "decided")
+    side = F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(id_col).cast("long").alias("__key"), content(text_col).alias("__body"))
+    rows = rows.join(side, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__body") == F.col("__content")), "left")
+    many = listed.where(F.col("__kept")).limit(1).count()
+    alone = rows.where(F.col("__kept").isNull())
+    if many:
+        alone = alone.unionByName(rows.where(F.col("__kept")).dropDuplicates(["__key", "__body"]))
+    out = alone.select("__row.*")
+    out.scratch = listed.scratch
     return out
 
 
-def bucketed_offsets(rows: DataFrame, group: str, bucket: str, weight: Column) -> DataFrame:
-    """For each (group, bucket): the sum of weight in the group's earlier buckets."""
-    from pyspark.sql import Window
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A worker's function that gives freed memory back to the system when its task ends: workers live from task to task."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    words.forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def bucketed_offsets(rows: DataFrame, group: list[str], bucket: str, weight: Column) -> DataFrame:
+    """For each group and bucket: the sum of weight in the group's earlier buckets."""
+    sums = rows.groupBy(*group, bucket).agg(F.sum(weight).alias("own"))
+    before = F.sum("own").over(Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
+    return sums.select(*group, bucket, F.coalesce(before, F.lit(0)).cast("long").alias("before"))
+
 
-    sums = rows.groupBy(group, bucket).agg(F.sum(weight).alias("own"))
-    before = F.sum("own").over(Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
-    return sums.select(group, bucket, F.coalesce(before, F.lit(0)).cast("long").alias("before"))
+def placed(df: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Adds 0, 1, 2... in the order of the columns by, ranges of which are numbered in parallel; no row's place is shared."""
+    dealt = written(df.repartitionByRange(*by).withColumn("__p", F.spark_partition_id()), "ranges")
+    number = F.row_number().over(Window.partitionBy("__p").orderBy(*by))
+    offsets = bucketed_offsets(dealt, [], "__p", F.lit(1))  # a row for each partition
+    return dealt.join(F.broadcast(offsets), "__p").withColumn(name, (F.col("before") + number - 1).cast("long")).drop("__p", "before")

@@ -192,7 +192,7 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = [main_text(page.as_py(), path) for page, path in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    counted = pages.select("host", "html").mapInArrow(vote, "host string, path string, vote long").groupBy("host", "path").agg(F.sum("vote").alias("vote"), F.count(F.lit(1)).alias("pages"))
+    counted = pages.select("host", "html").mapInArrow(common.tidy(vote), "host string, path string, vote long").groupBy("host", "path").agg(F.sum("vote").alias("vote"), F.count(F.lit(1)).alias("pages"))
     winners = counted.groupBy("host").agg(F.max(F.struct("vote", "path")).alias("best"), F.sum("pages").alias("pages"))
     winners = common.written(winners.select("host", F.col("best.path").alias("path"), "pages"), "winners")
     total = winners.agg(F.count(F.lit(1)).alias("hosts"), F.coalesce(F.sum("pages"), F.lit(0)).alias("pages")).first()
@@ -200,7 +200,7 @@ def extract(pages: DataFrame) -> DataFrame:
         joined = pages.join(F.broadcast(winners), "host", "left")
     else:
         joined = common.hot_left_join(pages, winners, ["host"], "pages", total.pages)
-    return joined.select(F.col("page_id").cast("long"), "url", "html", "path").mapInArrow(read, "page_id long, url string, text string, n_chars long")
+    return joined.select(F.col("page_id").cast("long"), "url", "html", "path").mapInArrow(common.tidy(read), "page_id long, url string, text string, n_chars long")
 
 
 def op7_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -206,7 +206,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*names, "lang_pred", "score", "accepted"])
 
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("accepted", BooleanType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.tidy(run), schema)
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,13 +31,25 @@ def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
 
 
-@lru_cache(maxsize=8)
-def _powers(n: int, base: int) -> np.ndarray:
+def _multiplied(n: int, base: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
+_usual = lru_cache(maxsize=2)(_multiplied)
+
+
+def _powers(n: int, base: int) -> np.ndarray:
+    """base to the powers from 0 to n - 1. Those for a chunk of usual size are kept until forget."""
+    return _usual(2 * CHUNK, base)[:n] if n <= 2 * CHUNK else _multiplied(n, base)
+
+
+def forget() -> None:
+    """Frees what a worker keeps between chunks."""
+    _usual.cache_clear()
+
+
 def bodies(texts: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text; of a null none."""
     for text in texts:
@@ -51,9 +63,8 @@ def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     blank = _BLANK[data]
     start = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
     end = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
-    size = 1 << max(20, (len(data) + 1).bit_length())
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_values()[data] * _powers(size, _ODD)[: len(data)])])
-    words = mix((sums[end] - sums[start]) * _powers(size, _INVERSE)[start] + (end - start).astype(np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_values()[data] * _powers(len(data), _ODD))])
+    words = mix((sums[end] - sums[start]) * _powers(len(data), _INVERSE)[start] + (end - start).astype(np.uint64))
     return words, np.searchsorted(start, begins + 1)
 
 
