@@ -111,17 +111,17 @@ def signature(shingles: np.ndarray, collections: int) -> tuple[int, int, int, li
     return int(digest[0].astype(np.int64)), int(digest[1].astype(np.int64)), int(sketch), halves.view(np.int64).tolist()
 
 
-_SIGNED = "doc_id long, n long, d1 long, d2 long, sketch long, halves array<long>"
+_SIGNED = "doc_id long, content binary, n long, d1 long, d2 long, sketch long, halves array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch], collections: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for group in grouped(bodies(batch.column(1))):
+        for group in grouped(bodies(batch.column(2))):
             for s in shingle_sets(group):
                 out.append((len(s), *signature(s, collections)) if len(s) else (0, 0, 0, 0, None))
         kinds = (*[pa.int64()] * 4, pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]], ["doc_id", "n", "d1", "d2", "sketch", "halves"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]], ["doc_id", "content", "n", "d1", "d2", "sketch", "halves"])
 
 
 def _tables(batches: Iterator[pa.RecordBatch], collections: int) -> Iterator[pa.RecordBatch]:
@@ -194,21 +194,32 @@ def _alike(a: str, b: str, given: Limits) -> F.Column:
     return (100 * F.least(n, m) >= given.percent * F.greatest(n, m)) & (F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))) <= given.most_bits)
 
 
-def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """rep, shingles (sorted 64-bit hashes) of the documents with these ids (doc_id, distinct). docs: doc_id, text."""
-    side = F.broadcast(ids) if ids.count() <= common.BROADCAST_ROWS else ids
-    return common.written(docs.join(side, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "rep long, shingles binary"), "sets")
+def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """rep, shingles (sorted 64-bit hashes) of the texts that reps (rep, doc_id, content) name. docs: doc_id, content, text."""
+    reps = reps.select("rep", F.col("doc_id").alias("__id"), F.col("content").alias("__content"))
+    n = reps.count()
+    side = F.broadcast(reps) if n <= common.BROADCAST_ROWS else reps
+    rows = docs.join(side, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("content") == F.col("__content")))
+    sets = common.written(rows.select("rep", "text").mapInArrow(common.tidy(_sets), "rep long, shingles binary"), "sets")
+    # Rows that repeat an id and its text come more than once.
+    return sets if sets.count() == n else common.written(sets.dropDuplicates(["rep"]), "sets")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose full shingle sets are alike enough. docs: doc_id, text."""
-    sets = full_sets(docs, common.written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends"))
+def confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b of reps whose full shingle sets are alike enough."""
+    ends = common.written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ends")
+    sets = full_sets(docs, common.written(reps.select("rep", "doc_id", "content").join(_small(ends), "rep"), "ends"))
     rows = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
-    return common.written(rows.select("a", "b", "x", "y").mapInArrow(lambda x: _confirm(x, percent), "a long, b long"), "links")
+    return common.written(rows.select("a", "b", "x", "y").mapInArrow(common.tidy(lambda x: _confirm(x, percent)), "a long, b long"), "links")
 
 
-def _by_shingle(docs: DataFrame, some: DataFrame, given: Limits) -> DataFrame:
-    """Pairs a, b among some (rep, n, sketch, comp) that can be linked across components, found by prefixes of their sets.
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if its count allows."""
+    return F.broadcast(df) if df.count() <= common.BROADCAST_ROWS else df
+
+
+def _by_shingle(docs: DataFrame, reps: DataFrame, some: DataFrame, given: Limits) -> DataFrame:
+    """Pairs a, b among some (rep, n, comp) that can be linked across components, found by prefixes of their sets.
 
     Shingles are put in order, the rarest among these documents first. Two linked sets of n shingles or more share one
     of the first n - ceil(percent % of n) + 1 of each, so only these rows meet. A set with more shingles of its own
@@ -216,16 +227,16 @@ def _by_shingle(docs: DataFrame, some: DataFrame, given: Limits) -> DataFrame:
     the task that holds their list, and only pairs that may be linked are given out; long lists are dealt as pairs of
     blocks.
     """
-    sets = full_sets(docs, some.select(F.col("rep").alias("doc_id")))
+    sets = full_sets(docs, common.written(reps.select("rep", "doc_id", "content").join(_small(some.select("rep")), "rep"), "ends"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = sets.select("rep", "shingles").mapInArrow(_singly, "shingle long, rep long, n long").repartition(parts, "shingle")
+    rows = sets.select("rep", "shingles").mapInArrow(common.tidy(_singly), "shingle long, rep long, n long").repartition(parts, "shingle")
     counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("lo"), F.max("n").alias("hi")).where("df > 1").select("shingle", "df")
     rows = common.written(rows.join(counts, "shingle"), "shingles")
     free = F.col("n") - F.ceil(F.col("n") * given.percent / 100) + 1  # places in the prefix
     known = rows.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("m")).select("rep", (free - (F.col("n") - F.col("m"))).alias("left")).where("left > 0")
     place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "shingle"))
     first = rows.join(known, "rep").withColumn("place", place).where(F.col("place") <= F.col("left")).select("shingle", "rep", "df")
-    bits = common.written(sets.select("rep", "shingles").mapInArrow(_sketched, "rep long, bits binary"), "long")
+    bits = common.written(sets.select("rep", "shingles").mapInArrow(common.tidy(_sketched), "rep long, bits binary"), "long")
     blocks = F.ceil(F.col("df") / LIST_ROWS).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     first = first.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
@@ -254,53 +265,75 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document; linked are sets with a similarity of percent or more.
-
-    Equal sets collapse first. Sets that share a table's key are candidates. In each table's bucket the member that
-    shares most keys is compared with all others, so a bucket of copies costs its size, not its square. Members of
-    buckets that are still in different components then meet by rare shingles, which leaves out no pair that could join
-    two components. Sizes and sketches rule pairs out before their full sets are compared.
+def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(signed, classes): doc_id, content, n, d1, d2 of every row; d1, d2, n, size, doc_id, content of every set of shingles.
 
-    Null and empty texts and texts without words have no shingles and no links. Rows that share an id are one
-    document; a null id is linked with nothing. Other columns are ignored; an empty table gives no rows.
+    A class's doc_id and content are those of its component's first row: the smallest id, null last, then the least
+    content. docs: doc_id, content, text.
     """
     given = limits(percent)
-    common.small_batches(docs.sparkSession)
-    mark = common.mark()
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = common.written(docs.mapInArrow(lambda x: _sign(x, given.collections), _SIGNED), "signed")
-    total = signed.count()
-    reps = signed.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("sketch").alias("sketch"), F.first("halves").alias("halves"))
-    reps = common.written(reps, "reps")
+    signed = common.written(docs.mapInArrow(common.tidy(lambda x: _sign(x, given.collections)), _SIGNED), "signed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content", "sketch", "halves")).alias("x")
+    reps = signed.where("n > 0").groupBy("d1", "d2", "n").agg(first, F.count(F.lit(1)).alias("size"))
+    # Ids may repeat or be null: sets get numbers of their own, fixed by writing them.
+    reps = common.written(reps.select(F.monotonically_increasing_id().alias("rep"), "d1", "d2", "n", "size", "x.none", "x.doc_id", "x.content", "x.sketch", "x.halves"), "reps")
     facts = reps.select("rep", "n", "sketch")
     # Keys are shuffled once: the counts and the members of a bucket are found in the same partitions.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = reps.select("halves", "rep").mapInArrow(lambda x: _tables(x, given.collections), "key long, rep long").repartition(parts, "key")
+    keys = reps.select("halves", "rep").mapInArrow(common.tidy(lambda x: _tables(x, given.collections)), "key long, rep long").repartition(parts, "key")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("lo")).where("c > 1").select("key", "c")
     members = common.written(keys.join(shared, "key"), "members")
     degree = members.groupBy("rep").agg(F.sum(F.col("c") - 1).alias("degree"))
     members = common.written(members.join(degree.join(facts, "rep"), "rep"), "members")
-    centre = members.groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("r"), "n", "sketch")).alias("x")).select("key", (-F.col("x.r")).alias("rep"), "x.n", "x.sketch")
-    star = members.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("m.rep") != F.col("c.rep")) & _alike("m", "c", given))
-    star = common.written(star.select(F.least("m.rep", "c.rep").alias("a"), F.greatest("m.rep", "c.rep").alias("b")).distinct(), "star")
-    links = confirmed(docs, star, percent)
+    centre = members.groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("r"), "n", "sketch")).alias("x")).select("key", (-F.col("x.r")).alias("centre"), F.col("x.n").alias("n"), F.col("x.sketch").alias("sketch"))
+    # Every member but the centre, which is compared with all of them.
+    others = members.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("m.rep") != F.col("c.centre")))
+    others = common.written(others.select("m.key", "m.rep", "m.n", "m.c", "centre", _alike("m", "c", given).alias("alike")), "others")
+    star = common.written(others.where("alike").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct(), "star")
+    links = confirmed(docs, reps, star, percent)
     labels = components(links)
 
-    # Members of the buckets that still hold several components.
-    placed = common.written(members.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", "sketch", F.coalesce("label", "rep").alias("comp")), "placed")
+    # Buckets whose members, the centre apart, are still in different components: only there pairs are left to compare.
+    placed = common.written(others.where("c > 2").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("label", "rep").alias("comp")), "placed")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    some = common.written(placed.join(mixed, "key", "left_semi").select("rep", "n", "sketch", "comp").distinct(), "mixed")
-    rest = _by_shingle(docs, some, given).join(star, ["a", "b"], "left_anti")
-    more = confirmed(docs, common.written(rest, "rest"), percent)
+    some = common.written(placed.join(mixed, "key", "left_semi").select("rep", "n", "comp").distinct(), "mixed")
+    rest = _by_shingle(docs, reps, some, given).join(star, ["a", "b"], "left_anti")
+    more = confirmed(docs, reps, common.written(rest, "rest"), percent)
     if more.limit(1).count():
         labels = components(links.union(more))
-    classes = reps.select("d1", "d2", "n", "rep", "size").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
-    classes = common.written(classes.select("d1", "d2", "n", "size", F.coalesce("label", "rep").alias("component")), "classes")
-    common.release(docs.sparkSession, mark, signed, classes)
-    out = common.hot_left_join(signed.select("doc_id", "n", "d1", "d2"), classes, ["d1", "d2", "n"], "size", total)
-    found = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"), found.eqNullSafe(F.col("doc_id")).alias("kept"))
+    placed = common.written(reps.select("rep", "d1", "d2", "n", "size", F.struct("none", "doc_id", "content").alias("first")).join(labels.withColumnRenamed("v", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")), "placed")
+    best = placed.where("rep <> label").select("label").distinct().join(placed, "label").groupBy("label").agg(F.min("first").alias("best"))
+    classes = placed.join(best, "label", "left").select("d1", "d2", "n", "size", F.coalesce("best", "first").alias("x"))
+    return signed, common.written(classes.select("d1", "d2", "n", "size", "x.doc_id", "x.content"), "classes")
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """doc_id, content, n, and id and body, those of the component's first row (null without shingles), of every row."""
+    spark = docs.sparkSession
+    common.small_batches(spark)
+    mark = common.mark()
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.content(text_col).alias("content"), F.col(text_col).alias("text"))
+    signed, classes = _classes(docs, percent)
+    common.release(spark, mark, signed, classes)
+    classes = classes.withColumnsRenamed({"doc_id": "id", "content": "body"})
+    return common.hot_left_join(signed.select("doc_id", "content", "n", "d1", "d2"), classes, ["d1", "d2", "n"], "size", signed.count())
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row; linked are sets with a similarity of percent or more.
+
+    Equal sets collapse first. Sets that share a table's key are candidates. In each table's bucket the member that
+    shares most keys is compared with all others, so a bucket of copies costs its size, not its square. Where a
+    bucket's other members are still in different components, these meet by rare shingles, which leaves out no pair
+    that could join two components. Sizes and sketches rule pairs out before their full sets are compared.
+
+    Links are between rows' texts. Null and empty texts and texts without words have no shingles and no links. Rows
+    that repeat an id are linked each by its own text. A null id is no component's id unless all its rows lack one.
+    Other columns are ignored; an empty table gives no rows.
+    """
+    rows = _decided(docs, id_col, text_col, percent)
+    found = F.when(F.col("n") > 0, F.col("id")).otherwise(F.col("doc_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"), found.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,8 +341,14 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that near_duplicates keeps at a similarity of 80 per cent, with their columns as they are."""
+    """One row of each component at a similarity of 80 per cent, with its columns as they are.
+
+    The row with the smallest id stays, null last; of rows that share it the one with the least digest of its text; of
+    rows alike in both one. Rows without shingles (null and empty texts, texts without words) stay.
+    """
     mark = common.mark()
-    out = common.without_ids(docs, near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+    rows = _decided(docs, "doc_id", "text", 80).where("n > 0")
+    kept = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("content") == F.col("body"))
+    out = common.keep_decided(docs, rows.select("doc_id", "content", kept.alias("kept")))
     common.release(spark, mark, out)
     return out
