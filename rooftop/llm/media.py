@@ -8,6 +8,7 @@ import tarfile
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs
@@ -112,33 +113,51 @@ _META = [("media_type", pa.string()), ("width", pa.int64()), ("height", pa.int64
 _ROWS_DDL = "doc_id long, n_bytes long, digest string, shard string, offset long, length long"
 
 
+def _write(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stores each row's payload: doc_id, digest, body in; the row's place in a shard out."""
+    shards = _Shards(root)
+    for batch in batches:
+        out = []
+        for i, digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            body = text.as_buffer().to_pybytes()
+            payload = padded(body)
+            if hashlib.sha256(payload).hexdigest() != digest:
+                raise ValueError(f"payload of {i} differs from its digest")
+            media = to_png(payload)
+            out.append((i, len(body), digest, *shards.put(digest, media), len(media)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, _ROWS.types, strict=True)], schema=_ROWS)
+    shards.close()
+
+
 def store(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes each text's payload to tar shards below root; doc_id, n_bytes, digest, shard, offset, length of every row.
 
-    Members are named by the payload's digest; a task writes a payload once however many rows have it, and nothing is
-    shuffled. A repeated task writes new shards, and only rows of the task that counted name a shard. Null texts count
-    as empty; repeated rows share a member.
+    Members are named by the payload's digest, and a digest has one member. Digests of all rows are counted first.
+    A payload that one row has is written where that row is read, without a shuffle; of one that several rows have,
+    one row's text is shuffled and written, and all its rows are given that member. A repeated task writes
+    new shards, and only rows of the task that counted name a shard. Null texts count as empty; repeated rows and null
+    ids share members like any rows; an empty table gives no rows; other columns are ignored.
     """
-
-    common.small_batches(docs.sparkSession)
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, known = _Shards(root), {}
-        for batch in batches:
-            out = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                body = text.as_buffer().to_pybytes() if text.is_valid else b""
-                payload = padded(body)
-                digest = hashlib.sha256(payload).hexdigest()
-                if digest not in known:
-                    media = to_png(payload)
-                    known[digest] = (*shards.put(digest, media), len(media))
-                out.append((i, len(body), digest, *known[digest]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, _ROWS.types, strict=True)], schema=_ROWS)
-        shards.close()
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("body"))
-    return common.written(rows.mapInArrow(write, _ROWS_DDL), "media")
+    spark = docs.sparkSession
+    common.small_batches(spark)
+    body = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+    fill = F.greatest(F.lit(1), F.ceil(F.octet_length(body) / WIDTH)) * WIDTH - F.octet_length(body)
+    digest = F.sha2(F.concat(body, F.encode(F.repeat(F.lit(" "), fill.cast("int")), "UTF-8")), 256)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), digest.alias("digest"), body.alias("body"))
+    known = common.written(rows.select("doc_id", F.octet_length("body").cast("long").alias("n_bytes"), "digest"), "digests")
+    repeated = known.groupBy("digest").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first")).where("rows > 1")
+    repeated = common.written(repeated, "repeated")
+    few = repeated.count() <= common.BROADCAST_ROWS
+    side = (lambda df: F.broadcast(df)) if few else (lambda df: df)
+    write = common.tidy(lambda x: _write(root, x))
+    alone = rows.join(side(repeated.select("digest")), "digest", "left_anti").select("doc_id", "digest", "body")
+    alone = common.written(alone.mapInArrow(write, _ROWS_DDL), "media")
+    ours = side(repeated.select(F.col("digest").alias("__digest"), F.col("first").alias("__first")))
+    once = rows.join(ours, (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__first"))).select("doc_id", "digest", "body").dropDuplicates(["digest"])
+    members = common.written(once.mapInArrow(write, _ROWS_DDL), "media").join(repeated.select("digest", "rows"), "digest").select("digest", "shard", "offset", "length", "rows")
+    many = known.join(side(repeated.select("digest")), "digest", "left_semi")
+    many = common.hot_left_join(many, members, ["digest"], "rows", known.count())
+    return alone.unionByName(many.select(*_ROWS.names))
 
 
 def metadata(rows: DataFrame, root: str) -> DataFrame:
@@ -152,7 +171,7 @@ def metadata(rows: DataFrame, root: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], schema=pa.schema([*_ROWS, *_META]))
         files.close()
 
-    return rows.mapInArrow(read, f"{_ROWS_DDL}, media_type string, width long, height long, bits long")
+    return rows.mapInArrow(common.tidy(read), f"{_ROWS_DDL}, media_type string, width long, height long, bits long")
 
 
 class _Files:
@@ -174,29 +193,32 @@ class _Files:
         self.name, self.file = "", None
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("width", pa.int64()), ("height", pa.int64())])
+_OUT = pa.schema([*[(n, pa.int64()) for n in ("doc_id", "n_bytes", "payload_bytes")], ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), *_META])
+_OUT_DDL = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, media_type string, width long, height long, bits long"
+#: Members whose results a task keeps, the last that it used: copies in a task are mostly decoded once.
+KEPT = 1000
 
 
 def features(rows: DataFrame, root: str) -> DataFrame:
-    """Reads every member back by range, decodes it and digests the payload; copies in a task are decoded once."""
+    """Reads every row's member back by range, decodes it and digests the payload."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, known = _Files(root), {}
+        files = _Files(root)
+
+        @lru_cache(maxsize=KEPT)
+        def decoded(shard: str, offset: int, length: int, digest: str) -> tuple:
+            media = files.read(shard, offset, length)
+            payload = from_png(media)
+            if hashlib.sha256(payload).hexdigest() != digest:
+                raise ValueError(f"{shard} at {offset} differs from its digest")
+            return len(payload), digest, zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(payload)
+
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                at = (r["shard"], r["offset"])
-                if at not in known:
-                    media = files.read(r["shard"], r["offset"], r["length"])
-                    payload = from_png(media)
-                    if hashlib.sha256(payload).hexdigest() != r["digest"]:
-                        raise ValueError(f"payload of {r['doc_id']} differs from its digest")
-                    known[at] = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(payload))
-                out.append((r["doc_id"], r["n_bytes"], *known[at], r["width"], r["height"]))
+            out = [(r["doc_id"], r["n_bytes"], *decoded(r["shard"], r["offset"], r["length"], r["digest"]), *[r[n] for n, _ in _META]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * len(_OUT), _OUT.types, strict=True)], schema=_OUT)
         files.close()
 
-    return rows.mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, width long, height long")
+    return rows.mapInArrow(common.tidy(read), _OUT_DDL)
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
