@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,10 +16,8 @@ from rooftop.llm import common
 
 #: Words of a block; output shards; largest number of times that a source is taken; seed of all draws.
 BLOCK, OUT_SHARDS, MOST, SEED = 256, 16, 3, 17
-#: Rows of one bucket of the order of a source's documents.
-BUCKET_ROWS = 100_000
-#: Sources are listed on the driver; more than this is refused.
-MAX_SOURCES = 1_000_000
+#: Slots that a row of the draws stands for at most, before they are listed.
+PIECE = 1 << 16
 
 
 def n_words(text: Column) -> Column:
@@ -23,19 +25,19 @@ def n_words(text: Column) -> Column:
     return F.length(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\x20\x09-\x0D]+", "w"), common.BLANKS + "+", "")).cast("long")
 
 
-def targets(sizes: dict, weights: dict, most: int = MOST) -> dict:
-    """Shares of all words by weight; none above most times its size, the excess shared again by weight."""
-    whole, left, out = float(sum(sizes.values())), dict(weights), {}
-    while left:
-        rest = whole - sum(out.values())
-        per = rest / sum(left.values())
-        full = [s for s, w in left.items() if per * w > most * sizes[s]]
-        if not full:
-            return out | {s: per * w for s, w in left.items()}
-        for s in full:
-            out[s] = float(most * sizes[s])
-            del left[s]
-    return out
+def with_targets(sources: DataFrame, most: int = MOST) -> DataFrame:
+    """Adds target to sources (size, weight): shares of all words by weight; none above most times its size, the excess reshared.
+
+    Words for a weight of 1 grow from round to round, so that number alone tells which sources are full: a round is one
+    sum over the sources, and rounds end when no further source is full.
+    """
+    size, weight, per, full = F.col("size"), F.col("weight"), 0.0, -1
+    while True:
+        over = F.lit(per) * weight > most * size
+        now = sources.agg(F.count_if(over).alias("full"), F.sum("size").alias("whole"), F.sum(F.when(over, most * size).otherwise(0)).alias("taken"), F.sum(F.when(~over, weight).otherwise(0)).alias("left")).first()
+        if now.full == full or not now.left:
+            return sources.withColumn("target", F.when(over, most * size).otherwise(F.lit(per) * weight).cast("double"))
+        per, full = float(now.whole - now.taken) / now.left, now.full
 
 
 def _affine(source, size: int, go: int) -> tuple[int, int]:
@@ -53,27 +55,33 @@ def _mulmod(a: Column, b: Column, m: Column) -> Column:
     return F.pmod(F.pmod(F.pmod(a * high, m) * F.lit(1 << 10), m) * F.lit(1 << 11) + a * low, m)
 
 
-def plan(sizes: dict, weights: dict, block: int = BLOCK) -> list[tuple]:
-    """For each source with words: source, target, full passes, slots of the last pass, words of its last slot, blocks, permutation."""
-    out = []
-    for s, target in targets(sizes, weights).items():
-        size, words = sizes[s], round(target)
-        blocks = -(-size // block)
-        whole, rest = divmod(words, size) if size else (0, 0)
-        a, b = _affine(s, blocks, whole)
-        tail = size - (blocks - 1) * block  # words of the last block
-        slots, cut = -(-rest // block), (rest - 1) % block + 1 if rest else 0
-        if rest and blocks:
-            # slot of the short last block: the j with a * j + b = blocks - 1
-            at = (blocks - 1 - b) * pow(a, -1, blocks) % blocks if blocks > 1 else 0
-            if at < slots:
-                more = rest - tail  # words beyond the short block
-                if rest <= at * block + tail:  # the short block is the last slot taken
-                    slots, cut = (at + 1, rest - at * block) if rest > at * block else (slots, cut)
-                else:
-                    slots, cut = 1 + -(-more // block), (more - 1) % block + 1
-        out.append((s, float(target), whole, slots, cut, blocks, a, b))
-    return out
+class Plan(NamedTuple):
+    """How a source is taken: full passes, slots of the last pass, words of its last slot, blocks, their permutation."""
+
+    passes: int
+    slots: int
+    cut: int
+    blocks: int
+    a: int
+    b: int
+
+
+def plan(source, size: int, target: float, block: int = BLOCK) -> Plan:
+    words, blocks = round(target), -(-size // block)
+    whole, rest = divmod(words, size) if size else (0, 0)
+    a, b = _affine(source, blocks, whole)
+    tail = size - (blocks - 1) * block  # words of the last block
+    slots, cut = -(-rest // block), (rest - 1) % block + 1 if rest else 0
+    if rest and blocks:
+        # slot of the short last block: the j with a * j + b = blocks - 1
+        at = (blocks - 1 - b) * pow(a, -1, blocks) % blocks if blocks > 1 else 0
+        if at < slots:
+            more = rest - tail  # words beyond the short block
+            if rest <= at * block + tail:  # the short block is the last slot taken
+                slots, cut = (at + 1, rest - at * block) if rest > at * block else (slots, cut)
+            else:
+                slots, cut = 1 + -(-more // block), (more - 1) % block + 1
+    return Plan(whole, slots, cut, blocks, a, b)
 
 
 def shard_draws(slots: int, shards: int, source) -> list[int]:
@@ -82,57 +90,77 @@ def shard_draws(slots: int, shards: int, source) -> list[int]:
     return np.random.default_rng(seed).multinomial(slots, [1 / shards] * shards).tolist()
 
 
+_FACTS = "none boolean, source string, source_size long, n long, target double, passes int, slots long, cut int, blocks long, a long, b long, draws array<long>"
+
+
+def planned(rows: DataFrame, weights: dict | None, block: int) -> DataFrame:
+    """Of each source: its size and rows, its target, its plan and the multinomial draws of its slots by output shard."""
+    sources = rows.groupBy("none", "source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    if weights is None:
+        sources = common.placed(sources, ["none", "source"], "place").withColumn("weight", 1 + F.col("place") % 3)
+    else:
+        given = rows.sparkSession.createDataFrame([(s is None, s or "", float(w)) for s, w in weights.items()], "none boolean, source string, weight double")
+        sources = sources.join(F.broadcast(given), ["none", "source"], "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+    sources = with_targets(common.written(sources.select("none", "source", "size", "n", "weight"), "sources"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in _FACTS.split(", ")]
+        kinds = [pa.bool_(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int64())]
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                source = None if r["none"] else r["source"]
+                made = plan(source, r["size"], r["target"], block)
+                out.append((r["none"], r["source"], r["size"], r["n"], r["target"], *made, shard_draws(made.slots, OUT_SHARDS, source)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names)
+
+    return common.written(sources.mapInArrow(run, _FACTS), "facts")
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: dict | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(documents, blocks) of a mix of all sources to target weights.
 
     Documents of a source, in pseudorandom order, are one stream of words cut into blocks; a pass over the source
     takes its blocks in the order of a permutation of their indexes. The mix takes whole passes and a part of one
     more, so that the words taken are the target rounded, and no word is taken more than MOST times. Weights by
-    source; without them 1, 2, 3 repeating by code point, null last. An empty or null text has no words and gives
-    nothing; repeated rows are rows of their own; other columns are ignored.
+    source (0 for one without); without them 1, 2, 3 repeating by code point, null last. An empty or null text has no
+    words and gives nothing; repeated rows are rows of their own; null ids are ids; other columns are ignored; an
+    empty table gives no rows. The driver sees sums over all sources only.
 
-    documents: row, doc_id, source, size, source_size, target, start, taken, passes, extra (parts of the last pass as
-    array of from, to in words of the document). blocks: source, block, slots (shard and position of each slot).
+    documents: doc_id, content, source, size, source_size, target, start, taken, passes, extra (parts of the last pass
+    as array of from, to in words of the document). blocks: none, source, block, shard, limit (words) of each slot.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")).alias("crc"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).isNull().alias("none"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), n_words(F.col(text_col)).alias("size"), common.content(text_col).alias("content"))
     rows = common.written(rows, "sized")
-    found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"over {MAX_SOURCES} sources")
-    names = sorted((r.source for r in found if r.source is not None), key=lambda s: s.encode()) + [None] * any(r.source is None for r in found)
-    weights = weights or {s: 1 + i % 3 for i, s in enumerate(names)}
-    sizes, total = {r.source: int(r.size) for r in found}, sum(r.n for r in found)
-    made = plan(sizes, weights, block)
-    buckets = max(1, total // BUCKET_ROWS)
-    facts = spark.createDataFrame([(s is None, s or "", sizes[s], *rest) for s, *rest in made], "none boolean, source string, source_size long, target double, passes int, slots long, cut int, blocks long, a long, b long")
+    total, key = rows.count(), ["none", "source"]
+    facts = planned(rows, weights, block)
     # Offsets of documents in their source's stream: buckets by hash of the id, sums by bucket, then within buckets.
-    rows = rows.select("doc_id", F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("source"), "size", "crc", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("bucket"))
-    sums = rows.groupBy("none", "source", "bucket").agg(F.sum("size").alias("own"))
-    before = F.coalesce(F.sum("own").over(Window.partitionBy("none", "source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = common.written(sums.select("none", "source", "bucket", before.alias("before")), "sums")
-    order = Window.partitionBy("none", "source", "bucket").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "crc", "size").rowsBetween(Window.unboundedPreceding, -1)
-    sums = F.broadcast(sums) if len(found) * buckets <= common.BROADCAST_ROWS else sums
-    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(order), F.lit(0))).join(sums, ["none", "source", "bucket"])
-    facts = F.broadcast(facts) if len(found) <= common.BROADCAST_ROWS else facts
-    rows = rows.withColumn("start", F.col("before") + F.col("inside")).join(facts, ["none", "source"])
-    rows = common.written(rows.select("doc_id", "crc", "none", "source", "size", "source_size", "target", "passes", "start", F.struct("doc_id", "crc", "start").alias("row")), "placed")
+    # About as many buckets as rows in one, so that neither of the two windows grows as the rows do.
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "content"), F.lit(max(1, math.isqrt(total)))))
+    sums = common.written(common.bucketed_offsets(rows, key, "bucket", F.col("size")), "sums")
+    order = Window.partitionBy(*key, "bucket").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "content", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(order), F.lit(0))).join(sums, [*key, "bucket"])
+    rows = rows.withColumn("start", F.col("before") + F.col("inside")).drop("bucket", "before", "inside")
+    own = facts.select(*key, "source_size", "target", "passes", "n")
+    rows = rows.join(F.broadcast(own), key) if facts.count() <= common.BROADCAST_ROWS else common.hot_left_join(rows, own, key, "n", total)
+    rows = common.written(rows.select("doc_id", "content", *key, "size", "source_size", "target", "passes", "start"), "placed")
 
     # The slots of the last pass, dealt to output shards by multinomial draws, and mapped to block indexes.
-    per = [(s is None, s or "", shard, int(sum(draw[:shard])), n, cut, slots, blocks, a, b) for s, _, _, slots, cut, blocks, a, b in made for draw in [shard_draws(slots, OUT_SHARDS, s)] for shard, n in enumerate(draw) if n]
-    per = spark.createDataFrame(per, "none boolean, source string, shard int, first long, n long, cut int, slots long, blocks long, a long, b long").repartition(max(1, min(len(per), 64)))
-    slot = per.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("j")).withColumn("j", F.col("first") + F.col("j"))
+    first = F.aggregate(F.slice("draws", 1, F.col("shard")), F.lit(0).cast("long"), lambda x, y: x + y)
+    per = facts.select("*", F.posexplode("draws").alias("shard", "own")).where("own > 0").withColumn("first", first)
+    per = per.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("own") - 1, F.lit(PIECE).cast("long")))).drop("draws").repartition(*key, "shard", "at")
+    slot = per.withColumn("j", F.explode(F.sequence(F.col("first") + F.col("at"), F.col("first") + F.least(F.col("at") + PIECE, F.col("own")) - 1)))
     index = F.pmod(_mulmod(F.col("a"), F.col("j"), F.col("blocks")) + F.col("b"), F.col("blocks"))
-    slot = slot.select("none", "source", index.alias("block"), "shard", F.when(F.col("j") == F.col("slots") - 1, F.col("cut")).otherwise(F.lit(block)).alias("limit"))
+    slot = slot.select(*key, index.alias("block"), "shard", F.when(F.col("j") == F.col("slots") - 1, F.col("cut")).otherwise(F.lit(block)).alias("limit"))
 
-    # Documents' parts by block, joined to the taken blocks by index.
-    parts = rows.where("size > 0").select("none", "source", "row", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
+    # Documents' parts by block, joined to the taken blocks by index: both grow with the corpus, so neither is broadcast.
+    parts = rows.where("size > 0").select(*key, F.struct("doc_id", "content", "start").alias("row"), "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     low = F.greatest(F.col("start"), F.col("block") * block)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("limit"))
-    taken = parts.join(slot, ["none", "source", "block"]).where(high > low)
-    taken = taken.select("row", F.struct((low - F.col("start")).alias("from"), (high - F.col("start")).alias("to")).alias("part"))
-    extra = taken.groupBy("row").agg(F.array_sort(F.collect_list("part")).alias("extra"))
-    out = rows.join(extra, "row", "left")
+    taken = parts.join(slot.hint("merge"), [*key, "block"]).where(high > low)
+    taken = taken.select(*key, "row", F.struct((low - F.col("start")).alias("from"), (high - F.col("start")).alias("to")).alias("part"))
+    extra = taken.groupBy(*key, "row").agg(F.array_sort(F.collect_list("part")).alias("extra"))
+    out = rows.withColumn("row", F.struct("doc_id", "content", "start")).join(extra.hint("merge"), [*key, "row"], "left").drop("row")
     more = F.aggregate(F.coalesce("extra", F.array().cast("array<struct<from:bigint,to:bigint>>")), F.lit(0).cast("long"), lambda acc, x: acc + x["to"] - x["from"])
     out = out.withColumns({"taken": (F.col("passes") * F.col("size") + more).cast("long"), "source": F.when(~F.col("none"), F.col("source"))})
     return out, slot
@@ -151,26 +179,25 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     mark = common.mark()
     rows, _ = mixed(docs)
-    what = F.struct("passes", "extra")
-    plans = common.written(rows.where("size > 0").groupBy("doc_id", "source", "crc").agg(F.sort_array(F.collect_list(F.struct("start", what.alias("what")))).alias("plans")), "plans")
-    common.release(spark, mark, plans)
-    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-    keyed = docs.withColumn("__crc", crc)
-    same = keyed["doc_id"].eqNullSafe(plans["doc_id"]) & keyed["source"].eqNullSafe(plans["source"]) & (keyed["__crc"] == plans["crc"])
-    full = keyed.join(plans.hint("shuffle_hash"), same).select(*[keyed[c] for c in docs.columns], "plans")
-    # Rows that repeat an id, a source and a text are alike: the first stands for all and takes what they take.
-    lone, many = full.where(F.size("plans") == 1), full.where(F.size("plans") > 1)
-    full = lone.unionByName(many.dropDuplicates(["doc_id", "source", "text"]))
+    plans = rows.where("size > 0 and taken > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("content").alias("__body"), "passes", "extra")
+    plans = common.written(plans, "plans")
+    repeated = common.written(plans.groupBy("__id", "__source", "__body").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "repeated")
+    common.release(spark, mark, plans, repeated)
+    same = F.col("__row.doc_id").eqNullSafe(F.col("__id")) & F.col("__row.source").eqNullSafe(F.col("__source")) & (F.col("__content") == F.col("__body"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), common.content().alias("__content"))
+    if n := repeated.count():
+        # Rows alike in id, source and text: one of them meets what each of them gives.
+        side = F.broadcast(repeated) if n <= common.BROADCAST_ROWS else repeated
+        alike = keyed.join(side, same, "left_semi").withColumns({"__k1": F.col("__row.doc_id"), "__k2": F.col("__row.source")}).dropDuplicates(["__k1", "__k2", "__content"])
+        keyed = keyed.join(side, same, "left_anti").unionByName(alike.select("__row", "__content"))
+    full = keyed.join(plans.hint("merge"), same).select("__row.*", F.struct("passes", "extra").alias("__plan"))
     words = F.filter(F.split("text", common.BLANKS + "+"), lambda w: w != "")
-    full = full.withColumn("__words", F.when(F.exists("plans", lambda p: p["what"]["extra"].isNotNull()), words))
-    whole = F.struct(F.col("text").alias("text"), F.lit(True).alias("all"))
-
-    def taken(p: Column) -> Column:
-        pieces = F.transform(p["what"]["extra"], lambda e: F.array_join(F.slice(F.col("__words"), (e["from"] + 1).cast("int"), (e["to"] - e["from"]).cast("int")), " "))
-        part = F.when(p["what"]["extra"].isNotNull(), F.array(F.struct(F.array_join(pieces, " ").alias("text"), F.lit(False).alias("all"))))
-        return F.concat(F.array_repeat(whole, p["what"]["passes"]), F.coalesce(part, F.array().cast("array<struct<text:string,all:boolean>>")))
-
-    out = full.withColumn("__made", F.explode(F.flatten(F.transform("plans", taken))))
+    plan_ = F.col("__plan")
+    full = full.withColumn("__words", F.when(plan_["extra"].isNotNull(), words))
+    pieces = F.transform(plan_["extra"], lambda e: F.array_join(F.slice(F.col("__words"), (e["from"] + 1).cast("int"), (e["to"] - e["from"]).cast("int")), " "))
+    part = F.when(plan_["extra"].isNotNull(), F.array(F.struct(F.array_join(pieces, " ").alias("text"), F.lit(False).alias("all"))))
+    whole = F.array_repeat(F.struct(F.col("text").alias("text"), F.lit(True).alias("all")), plan_["passes"])
+    out = full.withColumn("__made", F.explode(F.concat(whole, F.coalesce(part, F.array().cast("array<struct<text:string,all:boolean>>")))))
     made = {"text": F.col("__made.text")}
     if "n_chars" in docs.columns:
         made["n_chars"] = F.when(F.col("__made.all"), F.col("n_chars")).otherwise(F.length("__made.text").cast(docs.schema["n_chars"].dataType))
