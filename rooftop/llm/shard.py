@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import bisect
-from itertools import accumulate
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,10 +12,10 @@ from rooftop.llm import common
 SHARDS = 16
 #: Bins of one refinement round, and the share of a leaf's bytes that the bin at the cut may hold in the end.
 BINS, NEAR = 1024, 0.0005
-#: Copies of one text with over this share of a shard's bytes are dealt by id as well.
+#: Copies of one text with over this share of a shard's bytes may be parted where a cut falls among them.
 GROUP_SHARE = 1 / 64
-#: Rows of one slot bucket; slots are numbered in parallel by bucket.
-SLOT_ROWS = 200_000
+#: Bits of a key below the value: the text's, which order texts alike in value, and the row's within a large group.
+TEXT_BITS, ROW_BITS = 20, 11
 
 _SCALES = (2.0**24, 2.0**26, 2.0**28)
 
@@ -28,81 +27,95 @@ def _dimensions(text: Column) -> list[Column]:
     return [F.log2(n + 1), n / chars, blanks / chars]
 
 
-def _located(docs: DataFrame, id_col: str, text_col: str, leaves: int) -> tuple[DataFrame, int]:
-    """doc_id, size, crc and one key a dimension: the quantised value, then bits of the text's hash to break ties."""
+def _located(docs: DataFrame, id_col: str, text_col: str, leaves: int) -> DataFrame:
+    """doc_id, size, crc and one key a dimension: the quantised value, bits of the text's hash, bits of the row's.
+
+    Copies of a text are one key, so that no cut parts them, unless they are too large for near equal shards: then
+    they are a run of keys, which only a cut that falls within it parts.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc"), F.md5(text).alias("digest"), *[F.floor(d * s).cast("long").alias(f"q{i}") for i, (d, s) in enumerate(zip(_dimensions(text), _SCALES, strict=True))])
+    values = [F.floor(d * s).cast("long").alias(f"q{i}") for i, (d, s) in enumerate(zip(_dimensions(text), _SCALES, strict=True))]
+    base = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc"), F.unhex(F.md5(text)).alias("digest"), *values)
     base = common.written(base, "located")
     total = int(base.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
     most = max(1, int(total / leaves * GROUP_SHARE))
-    # Fewer than leaves / GROUP_SHARE texts can be that large together, so their table may be broadcast.
     large = base.groupBy("digest").agg(F.sum("size").alias("whole"), F.count(F.lit(1)).alias("copies")).where((F.col("whole") > most) & (F.col("copies") > 1))
-    large = large.select("digest", F.ceil(F.col("whole") / most).alias("parts"))
-    base = base.join(F.broadcast(large), "digest", "left")
-    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1)))
-    tie = F.shiftrightunsigned(F.xxhash64("digest", part), 33)
-    return common.written(base.select("doc_id", "size", "crc", *[(F.shiftleft(F.col(f"q{i}"), 31) + tie).alias(f"k{i}") for i in range(len(_SCALES))]), "keys"), total
-
-
-def _pick(values: list[int], leaf: Column) -> Column:
-    return F.get(F.array(*[F.lit(int(v)).cast("long") for v in values]), leaf)
+    large = common.written(large.select("digest", F.col("copies"), F.lit(True).alias("large")), "large")
+    few = large.count() <= common.BROADCAST_ROWS
+    base = base.join(F.broadcast(large), "digest", "left") if few else common.hot_left_join(base, large, ["digest"], "copies", base.count())
+    tie = F.pmod(F.xxhash64("digest"), F.lit(1 << TEXT_BITS)) * (1 << ROW_BITS)
+    tie = tie + F.when(F.col("large"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << ROW_BITS))).otherwise(0)
+    keys = [(F.shiftleft(F.col(f"q{i}"), TEXT_BITS + ROW_BITS) + tie).alias(f"k{i}") for i in range(len(_SCALES))]
+    return common.written(base.select("doc_id", "size", "crc", *keys, F.lit(0).cast("long").alias("leaf")), "keys")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if its count allows."""
+    return F.broadcast(df) if df.count() <= common.BROADCAST_ROWS else df
+
+
+def _opened(rows: DataFrame, leaves: DataFrame, widest: list[int]) -> DataFrame:
+    """leaves (leaf, share, first) with rows: their bytes, widest dimension, its bounds, and the bytes to go left."""
+    dims = range(len(widest))
+    found = rows.groupBy("leaf").agg(F.sum("size").alias("size"), *[F.struct(F.min(f"k{i}").alias("lo"), F.max(f"k{i}").alias("hi")).alias(f"w{i}") for i in dims])
+    sides = F.array(*[F.struct(((F.col(f"w{i}.hi") - F.col(f"w{i}.lo")) / widest[i]).alias("wide"), F.lit(-i).alias("less"), F.col(f"w{i}.lo").alias("lo"), F.col(f"w{i}.hi").alias("hi")) for i in dims])
+    found = found.join(leaves, "leaf").withColumn("x", F.array_max(sides))
+    half = F.floor(F.col("share") / 2)
+    return found.select("leaf", "share", "first", "size", (-F.col("x.less")).alias("dim"), "x.lo", "x.hi", (F.col("size") * half / F.col("share")).alias("goal"), F.lit(0).cast("long").alias("below"), F.col("x.hi").alias("cut"), ((F.col("share") > 1) & (F.col("x.hi") > F.col("x.lo"))).alias("open"))
+
+
+def _key() -> Column:
+    return F.get(F.array(*[F.col(f"k{i}") for i in range(len(_SCALES))]), F.col("dim"))
+
+
+def _closer(rows: DataFrame, leaves: DataFrame) -> DataFrame:
+    """One round: a histogram of the rows between each open leaf's bounds, and the bin in which its weighted median lies."""
+    step = F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / BINS))
+    opened = leaves.where("open").withColumn("step", step)
+    inside = rows.join(_small(opened.select("leaf", "dim", "lo", "hi", "step")), "leaf").withColumn("key", _key()).where("key between lo and hi")
+    bins = inside.groupBy("leaf", F.floor((F.col("key") - F.col("lo")) / F.col("step")).alias("bin")).agg(F.sum("size").alias("own"))
+    bins = bins.join(opened, "leaf").withColumn("end", F.col("below") + F.sum("own").over(Window.partitionBy("leaf").orderBy("bin")))
+    reached = F.col("end") >= F.col("goal")
+    at = bins.groupBy("leaf").agg(F.min(F.struct((~reached).alias("late"), F.when(reached, F.col("bin")).otherwise(-F.col("bin")).alias("order"), "bin", "own", "end")).alias("x"))
+    at = opened.join(at, "leaf").withColumns({"from": F.col("lo") + F.col("x.bin") * F.col("step"), "to": F.least(F.col("hi"), F.col("lo") + (F.col("x.bin") + 1) * F.col("step") - 1), "start": F.col("x.end") - F.col("x.own")})
+    done = (F.col("step") == 1) | (F.col("x.own") <= NEAR * F.col("size"))
+    with_it = F.abs(F.col("x.end") - F.col("goal")) <= F.abs(F.col("start") - F.col("goal"))
+    found = F.when(done, F.when(with_it, F.col("to")).otherwise(F.col("from") - 1)).otherwise(F.col("cut"))
+    moved = at.select("leaf", "share", "first", "size", "dim", F.col("from").alias("lo"), F.col("to").alias("hi"), "goal", F.col("start").cast("long").alias("below"), found.alias("cut"), (~done).alias("open"))
+    return common.written(leaves.where(~F.col("open")).unionByName(moved), "leaves")
 
 
 def kd_tree_shards(docs: DataFrame, leaves: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, size, crc, shard (0 to leaves - 1): sizes near equal, copies of a text together unless they are large.
+    """doc_id, size, crc, shard (0 to leaves - 1): sizes near equal, copies of a text together but at cuts among many.
 
     Each level takes one aggregation for the leaves' widths, then rounds of histograms that close in on the weighted
-    medians of all leaves at once; the driver sees at most BINS sums a leaf and round. A null text has size 1; an
-    empty table gives no rows; repeated rows are rows of their own. For a target in bytes take
-    leaves = ceil(bytes / target).
+    medians of all leaves at once. Bounds of leaves are a table, with BINS sums a leaf in a round; the driver sees
+    counts only. A null text has size 1; an empty table gives no rows; repeated rows and null ids are rows of their
+    own; other columns are ignored. For a target in bytes take leaves = ceil(bytes / target).
     """
-    rows, total = _located(docs, id_col, text_col, leaves)
-    dims = range(len(_SCALES))
-    share, first = [leaves], [0]  # of each open leaf: final leaves below it, number of the first
-    rows = rows.withColumn("leaf", F.lit(0).cast("int"))
-    widest = None
-    while max(share) > 1:
-        found = {r.leaf: r for r in rows.groupBy("leaf").agg(F.sum("size").alias("size"), *[f(f"k{i}").alias(f"{n}{i}") for i in dims for n, f in (("lo", F.min), ("hi", F.max))]).collect()}
-        widest = widest or [max(1, found[0][f"hi{i}"] - found[0][f"lo{i}"]) if found else 1 for i in dims]
-        n = len(share)
-        dim, lo, hi, goal, below = [0] * n, [0] * n, [0] * n, [0.0] * n, [0] * n
-        for j in range(n):
-            if r := found.get(j):
-                dim[j] = max(dims, key=lambda i: ((r[f"hi{i}"] - r[f"lo{i}"]) / widest[i], -i))
-                lo[j], hi[j], goal[j] = r[f"lo{dim[j]}"], r[f"hi{dim[j]}"], r.size * (share[j] // 2) / share[j]
-        key = F.get(F.array(*[F.col(f"k{i}") for i in dims]), _pick(dim, F.col("leaf")).cast("int"))
-        open_ = {j for j in range(n) if share[j] > 1 and j in found and hi[j] > lo[j]}
-        cut = [lo[j] if j in open_ else hi[j] for j in range(n)]  # keys up to it go left
-        while open_:
-            step = [max(1, -(-(hi[j] - lo[j] + 1) // BINS)) for j in range(n)]
-            inside = (key >= _pick(lo, F.col("leaf"))) & (key <= _pick(hi, F.col("leaf"))) & F.col("leaf").isin(sorted(open_))
-            bin_ = F.floor((key - _pick(lo, F.col("leaf"))) / _pick(step, F.col("leaf"))).cast("int")
-            bins: dict[int, list] = {}
-            for r in rows.where(inside).groupBy("leaf", bin_.alias("bin")).agg(F.sum("size").alias("size")).collect():
-                bins.setdefault(r.leaf, []).append((r.bin, r.size))
-            for j in list(open_):
-                at = sorted(bins[j])
-                ends = list(accumulate((s for _, s in at), initial=below[j]))
-                i = min(bisect.bisect_left(ends, goal[j], lo=1), len(at)) - 1
-                start, end = lo[j] + at[i][0] * step[j], min(hi[j], lo[j] + (at[i][0] + 1) * step[j] - 1)
-                if step[j] == 1 or at[i][1] <= NEAR * found[j].size:
-                    cut[j] = end if abs(ends[i + 1] - goal[j]) <= abs(ends[i] - goal[j]) else start - 1
-                    open_.remove(j)
-                else:
-                    lo[j], hi[j], below[j] = start, end, ends[i]
-        right = (key > _pick(cut, F.col("leaf"))) & (_pick(share, F.col("leaf")) > 1)
-        rows = rows.withColumn("leaf", F.when(_pick(share, F.col("leaf")) > 1, F.col("leaf") * 2 + right.cast("int")).otherwise(F.col("leaf") * 2))
-        share, first = [y for s in share for y in ((s // 2, s - s // 2) if s > 1 else (s, 0))], [y for s, f in zip(share, first, strict=True) for y in ((f, f + s // 2) if s > 1 else (f, f))]
-        rows = common.written(rows, "leaves") if len(share) > SHARDS else rows
-    return rows.select("doc_id", "size", "crc", _pick(first, F.col("leaf")).cast("int").alias("shard"))
+    rows = _located(docs, id_col, text_col, leaves)
+    tree = common.written(docs.sparkSession.createDataFrame([(0, leaves, 0)], "leaf long, share long, first long"), "leaves")
+    whole = rows.agg(*[(F.max(f"k{i}") - F.min(f"k{i}")) for i in range(len(_SCALES))]).first()
+    widest = [max(1, w or 0) for w in whole]
+    for _ in range(math.ceil(math.log2(leaves)) if leaves > 1 else 0):
+        now = common.written(_opened(rows, tree, widest), "leaves")
+        while now.where("open").limit(1).count():
+            now = _closer(rows, now)
+        cuts = now.where("share > 1").select("leaf", "dim", "cut")
+        right = F.coalesce(_key() > F.col("cut"), F.lit(False)).cast("long")
+        rows = common.written(rows.join(_small(cuts), "leaf", "left").select("doc_id", "size", "crc", *[f"k{i}" for i in range(len(_SCALES))], (F.col("leaf") * 2 + right).alias("leaf")), "rows")
+        half = F.floor(F.col("share") / 2)
+        left, whole_ = F.struct((F.col("leaf") * 2).alias("leaf"), half.alias("share"), F.col("first").alias("first")), F.struct((F.col("leaf") * 2).alias("leaf"), F.col("share").alias("share"), F.col("first").alias("first"))
+        other = F.struct((F.col("leaf") * 2 + 1).alias("leaf"), (F.col("share") - half).alias("share"), (F.col("first") + half).alias("first"))
+        tree = common.written(tree.select(F.explode(F.when(F.col("share") > 1, F.array(left, other)).otherwise(F.array(whole_))).alias("x")).select("x.*"), "leaves")
+    return rows.join(_small(tree.select("leaf", F.col("first").cast("int").alias("shard"))), "leaf").select("doc_id", "size", "crc", "shard")
 
 
 def with_slots(rows: DataFrame, group: str = "shard") -> DataFrame:
     """Adds slot: a number from 0 without gaps in each group, by hash bucket and id; buckets are numbered in parallel."""
     rows = common.written(rows, "sharded")
-    buckets = max(1, rows.count() // SLOT_ROWS)
-    rows = rows.withColumn("b", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
-    offsets = common.written(common.bucketed_offsets(rows, group, "b", F.lit(1)), "offsets")
+    rows = rows.withColumn("b", F.pmod(F.xxhash64("doc_id", "crc"), F.lit(max(1, math.isqrt(rows.count())))))
+    offsets = common.written(common.bucketed_offsets(rows, [group], "b", F.lit(1)), "offsets")
     side = F.broadcast(offsets) if offsets.count() <= common.BROADCAST_ROWS else offsets
     number = F.row_number().over(Window.partitionBy(group, "b").orderBy("doc_id", "crc", "size"))
     return rows.join(side, [group, "b"]).withColumn("slot", (F.col("before") + number - 1).cast("long")).drop("b", "before")
