@@ -8,11 +8,13 @@ scores of its documents. A frequent n-gram is one entry a chunk, however often i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,10 @@ from rooftop.llm.words import bodies, grouped, hashed, mix
 
 #: Longest n-gram, factor of a step back, and the least count of an n-gram of two words or more that isn't backed off.
 ORDER, ALPHA, LEAST = 3, 0.4, 2
-#: Text bytes of a chunk. At 100 TB take some 1 GB (and executors to match): blocks are chunks times buckets.
-CHUNK_BYTES = 14 << 20
+#: Least text bytes of a chunk, and bytes of a block that a corpus should give at least.
+CHUNK_BYTES, BLOCK_BYTES = 14 << 20, 1024
+#: Bytes of all blocks for a byte of text, about.
+GROWTH = 1.4
 
 _PLACE = mix(np.arange(101, 101 + 8, dtype=np.uint64)) | np.uint64(1)
 _BLOCKS = "bucket int, ngram int, chunk int, keys binary, counts binary"
@@ -49,11 +53,21 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spread(hashes: np.ndarray, chunks: int, at: int) -> np.ndarray:
+    """The chunk of each row: by its hash; rows that repeat one in a batch are spread, by the batch's number as well."""
+    order = np.argsort(hashes, kind="stable")
+    new = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]]) != 0)
+    again = np.empty(len(hashes), np.uint64)
+    again[order] = np.arange(len(hashes)) - np.repeat(new, np.diff(np.append(new, len(hashes))))
+    moved = np.where(again > 0, mix(again + np.uint64(at << 20)), np.uint64(0))
+    return ((hashes.view(np.uint64) + moved) % np.uint64(chunks)).astype(np.int32)
+
+
+def _packed(batches: Iterator[pa.RecordBatch], chunks: int) -> Iterator[pa.RecordBatch]:
     """The documents of a batch that go to one chunk as one row, their texts compressed together."""
-    press = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        chunk = batch.column(0).to_numpy()
+    press, task = zstandard.ZstdCompressor(level=1), TaskContext.get()
+    for number, batch in enumerate(batches):
+        chunk = _spread(batch.column(0).to_numpy(), chunks, (task.partitionId() if task else 0) * 100_003 + number)
         order = np.argsort(chunk, kind="stable")
         edges = np.flatnonzero(np.diff(chunk[order], prepend=-1)).tolist() + [len(order)]
         out = []
@@ -92,6 +106,12 @@ def ngrams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray
     return out, at
 
 
+def chunk_size(size: int, least: int) -> int:
+    """Text bytes of a chunk. Buckets are as many as chunks, so a chunk that grows with the root of the corpus keeps
+    blocks at BLOCK_BYTES and their number in proportion to the corpus: 270 MB at 100 TB, `least` up to 270 GB."""
+    return max(least, math.isqrt(int(size * BLOCK_BYTES / GROWTH)))
+
+
 def _bits(chunks: int) -> int:
     """log2 of the number of buckets: as many as chunks."""
     return max(3, (chunks - 1).bit_length())
@@ -103,14 +123,15 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, l
     Counts cover all documents. A word's score is count / count of its context for the longest n-gram that occurs
     at least `least` times, times alpha for each step back; a single word's is its count / all words. Words are
     runs without ASCII white space, A-Z lower-cased. Texts that are null or have no words have n_words 0, log_score
-    0 and no mean; repeated rows count and are scored each; other columns are ignored.
+    0 and no mean; repeated rows count and are scored each, and are spread over chunks; null ids are ids; other
+    columns are ignored; an empty table gives no rows. A worker holds a chunk's words, some 8 bytes a byte of text.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sums = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)).alias("size"), F.coalesce(F.sum(n_words(F.col("text"))), F.lit(0)).alias("words")).first()
-    chunks, words = max(1, -(-int(sums.size) // chunk_bytes)), int(sums.words)
+    chunks, words = max(1, -(-int(sums.size) // chunk_size(int(sums.size), chunk_bytes))), int(sums.words)
     bits = _bits(chunks)
-    docs = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", "text")
-    docs = docs.mapInArrow(_packed, "chunk int, ids array<long>, sizes array<int>, body binary")
+    docs = docs.select(F.xxhash64("doc_id", "text").alias("hash"), "doc_id", "text")
+    docs = docs.mapInArrow(common.tidy(lambda x: _packed(x, chunks)), "chunk int, ids array<long>, sizes array<int>, body binary")
 
     def count(rows: pa.Table) -> pa.Table:
         out = []

@@ -62,7 +62,7 @@ def test_media_round_trip(spark, docs, rows, none, tmp_path):
         payload = body + b" " * (max(1, math.ceil(len(body) / 192)) * 192 - len(body))
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(body), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
-        assert (r.width, r.height) == (192, len(payload) // 192)
+        assert (r.media_type, r.width, r.height, r.bits) == ("image/png", 192, len(payload) // 192, 8)
         png = media.to_png(payload)
         assert media.from_png(png) == payload and r.media_bytes == len(png) and r.media_sha256 == hashlib.sha256(png).hexdigest()
     assert media.features(media.metadata(media.store(none, f"{root}0"), f"{root}0"), f"{root}0").count() == 0
@@ -71,11 +71,13 @@ def test_media_round_trip(spark, docs, rows, none, tmp_path):
 def test_tar_shards_open(docs, tmp_path):
     import tarfile
 
-    rows = media.store(docs, f"file://{tmp_path}/s").collect()
+    rows, names = media.store(docs, f"file://{tmp_path}/s").collect(), []
     for name in {r.shard for r in rows}:
         with tarfile.open(tmp_path / "s" / name) as tar:
             members = {m.offset_data: m for m in tar.getmembers()}
             assert all(members[r.offset].name == f"{r.digest}.png" and members[r.offset].size == r.length for r in rows if r.shard == name)
+            names += [m.name for m in members.values()]
+    assert len(names) == len(set(names)) == len({r.digest for r in rows})  # a digest has one member in all shards
 
 
 def brute_near(rows):
@@ -265,9 +267,27 @@ def test_langid_learns_and_rejects(spark):
     assert langid.identify(empty, langid.fit(empty)).count() == 0
 
 
-def test_targets_stop_at_three_times():
-    assert mix.targets({"a": 100, "b": 1, "c": 100}, {"a": 1, "b": 5, "c": 1}) == {"b": 3.0, "a": 99.0, "c": 99.0}
-    assert mix.targets({"a": 0, "b": 10}, {"a": 1, "b": 1}) == {"a": 0.0, "b": 10.0}
+def targets(sizes, weights, most=3):
+    """Brute force: full sources leave one by one, the rest is shared anew."""
+    left, out = dict(weights), {}
+    while left:
+        per = (sum(sizes.values()) - sum(out.values())) / sum(left.values())
+        full = [s for s, w in left.items() if per * w > most * sizes[s]]
+        if not full:
+            return out | {s: per * w for s, w in left.items()}
+        out[full[0]] = float(most * sizes[full[0]])
+        del left[full[0]]
+    return out
+
+
+def test_targets_stop_at_three_times(spark):
+    assert targets({"a": 100, "b": 1, "c": 100}, {"a": 1, "b": 5, "c": 1}) == {"b": 3.0, "a": 99.0, "c": 99.0}
+    rnd = random.Random(9)
+    for _ in range(4):
+        sizes = {f"s{i}": rnd.choice([0, 1, 7, 100, 10_000]) for i in range(rnd.randint(1, 9))}
+        weights = {s: rnd.choice([1, 2, 3, 50]) for s in sizes}
+        got = mix.with_targets(spark.createDataFrame([(s, n, weights[s]) for s, n in sizes.items()], "source string, size long, weight long"))
+        assert {r.source: r.target for r in got.collect()} == pytest.approx(targets(sizes, weights) if sum(sizes.values()) else dict.fromkeys(sizes, 0.0))
 
 
 def test_mix_meets_its_targets(docs, rows, none):
@@ -284,16 +304,17 @@ def test_mix_meets_its_targets(docs, rows, none):
     assert sum(target.values()) == pytest.approx(sum(sizes.values()))
     assert len({(r.source, r.none, r.block) for r in per}) == len(per)  # a pass takes a block once
     again, _ = mix.mixed(docs.repartition(3), block=16)
-    assert {(r.doc_id, r.taken) for r in again.collect()} == {(r.doc_id, r.taken) for r in got}
+    assert collections.Counter((r.doc_id, r.source, r.taken) for r in again.collect()) == collections.Counter((r.doc_id, r.source, r.taken) for r in got)
+    names = [*sorted({r[3] for r in rows if r[3] is not None}, key=str.encode), None]
+    of = {s: sum(sizes[r[0]] for r in rows if r[3] == s) for s in names}
+    assert target == pytest.approx(targets(of, {s: 1 + i % 3 for i, s in enumerate(names)}))
     assert mix.mixed(none)[0].count() == 0
 
 
 @pytest.mark.parametrize("size,block", [(1, 4), (7, 4), (64, 4), (1001, 16)])
 def test_plan_takes_what_the_target_says(size, block):
     for words_ in range(1, 3 * size + 1, max(1, size // 9)):
-        sizes = {"s": size, "rest": 10**6}
-        weights = {"s": words_, "rest": sum(sizes.values()) - words_}
-        (_, _, whole, slots, cut, blocks, a, b) = mix.plan(sizes, weights, block)[0]
+        whole, slots, cut, blocks, a, b = mix.plan("s", size, float(words_), block)
         length = lambda k: min(block, size - k * block)  # noqa: B023, E731
         order = [(a * j + b) % blocks for j in range(slots)]
         assert len(set(order)) == len(order)
