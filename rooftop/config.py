@@ -20,7 +20,7 @@ MATCH_RISK = {"1:1": 0.2, "1:N": 0.7, "N:1": 0.7, "N:N": 1.0, "A_only": 0.5, "B_
 #: Columns of the map layer.
 FRONTEND_COLUMNS = ["component_id", "match_type", "height_final_full", "confidence_score", "eco_risk_score", "eco_risk_level", "dense_area", "dense_score", "geometry"]
 #: Names of the tables that a run writes.
-OUTPUTS = ["a_prepared", "b_prepared", "strong_pairs", "matched_buildings", "final_results", "frontend", "geometry_diag_a_before", "geometry_diag_a_after", "geometry_diag_b_before", "geometry_diag_b_after", "ml_cv_summary"]
+OUTPUTS = ["a_prepared", "b_prepared", "strong_pairs", "matched_buildings", "final_results", "frontend", "geometry_diag_a_before", "geometry_diag_a_after", "geometry_diag_b_before", "geometry_diag_b_after", "coverage_a", "coverage_b", "ml_cv_summary"]
 
 
 @dataclass(frozen=True)
@@ -48,4 +48,5 @@ class Settings:
     trees: int = 300
     seed: int = 42
     grid_cell: float = 64.0
+    gap_width: float = 0.2
     bounds: dict = field(default_factory=lambda: dict(BOUNDS))

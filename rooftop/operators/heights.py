@@ -19,15 +19,20 @@ def _value(df: DataFrame, column: str, kind: str = "double"):
     return F.col(column).cast(kind) if column in df.columns else F.lit(None).cast(kind)
 
 
-def member_lists(components: DataFrame, members: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
-    """Adds the members' values as lists in the order of their numbers, without nulls, areas excepted.
+def _order(compat: bool):
+    """A member's place in its component: by number, with compat by the number's text."""
+    return F.col("row_idx").cast("string" if compat else "long").alias("__order")
+
+
+def member_lists(components: DataFrame, members: DataFrame, a: DataFrame, b: DataFrame, compat: bool = False) -> DataFrame:
+    """Adds the members' values as lists in the order of their numbers (compat: of the texts), without nulls, areas excepted.
 
     b_height_areas lists the areas of the members whose height is known, so that weights stay with their heights.
     """
     out = components
     for source, df in (("A", a), ("B", b)):
         rows = members.where(F.col("source") == source).select("label", "row_idx").join(df.select("row_idx", *[_value(df, c).alias(f"__{n}") for n, c in _LISTS[source].items()]), "row_idx")
-        lists = rows.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("row_idx", *[f"__{n}" for n in _LISTS[source]]))).alias("__m"))
+        lists = rows.groupBy("label").agg(F.sort_array(F.collect_list(F.struct(_order(compat), *[f"__{n}" for n in _LISTS[source]]))).alias("__m"))
         pick = lambda n: F.transform(F.col("__m"), lambda x: x[f"__{n}"])
         made = {n: pick(n) if n == "b_area_values" else F.filter(pick(n), lambda x: x.isNotNull()) for n in _LISTS[source]}
         if source == "B":
@@ -38,10 +43,10 @@ def member_lists(components: DataFrame, members: DataFrame, a: DataFrame, b: Dat
     return out
 
 
-def baseline_features(components: DataFrame, members: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
-    """Adds means of the members' cleaned features and the first known text features, in the order of their numbers."""
+def baseline_features(components: DataFrame, members: DataFrame, a: DataFrame, b: DataFrame, compat: bool = False) -> DataFrame:
+    """Adds means of the members' cleaned features and the first known text features, in the order of member_lists."""
     of_b = members.where("source = 'B'").select("label", "row_idx").join(b.select("row_idx", _value(b, "stairs_clean").alias("s"), _value(b, "avg_floor_height_clean").alias("f"), *[_value(b, c, "string").alias(n) for n, c in _FIRSTS.items()]), "row_idx")
-    first = [F.min(F.when(F.col(n).isNotNull(), F.struct("row_idx", F.col(n).alias("v")))).getField("v").alias(n) for n in _FIRSTS]
+    first = [F.min(F.when(F.col(n).isNotNull(), F.struct(_order(compat), F.col(n).alias("v")))).getField("v").alias(n) for n in _FIRSTS]
     of_b = of_b.groupBy("label").agg(F.avg("s").alias("stairs_clean_component"), F.avg("f").alias("avg_floor_height_component"), *first)
     floors = {"a_floor_min_component": "gkh_floor_count_min_clean", "a_floor_max_component": "gkh_floor_count_max_clean", "a_floor_mid_component": "gkh_floor_mid"}
     of_a = members.where("source = 'A'").select("label", "row_idx").join(a.select("row_idx", *[_value(a, c).alias(n) for n, c in floors.items()]), "row_idx").groupBy("label").agg(*[F.avg(n).alias(n) for n in floors])

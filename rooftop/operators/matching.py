@@ -49,8 +49,19 @@ def strong_pairs(pairs: DataFrame, iou: float = 0.3, overlap: float = 0.8) -> Da
 def match_pairs(a: DataFrame, b: DataFrame, settings: config.Settings, polygons: bool = False) -> DataFrame:
     """Pairs of footprints with their shares: by boxes for rectangles, by WKT polygons (geom_wkt) otherwise."""
     carry = ["area", *(["geom_wkt"] if polygons else [])]
-    inter = shapes.overlap_area("geom_wkt_a", "geom_wkt_b") if polygons else box_overlap()
-    return pair_metrics(candidates(a, b, settings.grid_cell, carry), inter)
+    return pair_metrics(candidates(a, b, settings.grid_cell, carry), polygon_overlap() if polygons else box_overlap())
+
+
+def _fills_box(s: str) -> Column:
+    box = (F.col(f"{s}_maxx") - F.col(f"{s}_minx")) * (F.col(f"{s}_maxy") - F.col(f"{s}_miny"))
+    return F.coalesce(F.abs(F.col(f"area_{s}") - box) <= 1e-12 * box, F.lit(False))
+
+
+def polygon_overlap() -> Column:
+    """Area that the polygons of a candidate share. Where both fill their boxes no polygon is read."""
+    plain = _fills_box("a") & _fills_box("b")
+    read = shapes.overlap_area(*[F.when(~plain, F.col(f"geom_wkt_{s}")) for s in "ab"])
+    return F.when(plain, box_overlap()).otherwise(read)
 
 
 def membership(a: DataFrame, b: DataFrame, strong: DataFrame) -> DataFrame:
@@ -63,6 +74,13 @@ def membership(a: DataFrame, b: DataFrame, strong: DataFrame) -> DataFrame:
     return nodes.join(labels, nodes["node"] == labels["v"], "left").select("source", "row_idx", F.coalesce("label", "node").alias("label"))
 
 
+def ordered(numbers: Column, compat: bool = False) -> Column:
+    """An array of numbers in their order, with compat in that of their texts."""
+    if not compat:
+        return F.sort_array(numbers)
+    return F.transform(F.sort_array(F.transform(numbers, lambda x: x.cast("string"))), lambda x: x.cast("long"))
+
+
 def match_type(n_a: Column, n_b: Column) -> Column:
     return (
         F.when((n_a > 0) & (n_b == 0), "A_only").when((n_a == 0) & (n_b > 0), "B_only").when((n_a == 1) & (n_b == 1), "1:1")
@@ -70,16 +88,16 @@ def match_type(n_a: Column, n_b: Column) -> Column:
     )
 
 
-def component_table(members: DataFrame) -> DataFrame:
+def component_table(members: DataFrame, compat: bool = False) -> DataFrame:
     """component_id, label, a_idxs, b_idxs, n_a, n_b, match_type. Ids run over components of the register first.
 
-    Members are listed by number; an id is the place of a component's least register row, or after all of these its
-    least survey row.
+    Members are listed by number, with compat in the order of the numbers' texts; an id is the place of a component's
+    least register row, or after all of these its least survey row.
     """
-    of = lambda s: F.sort_array(F.collect_list(F.when(F.col("source") == s, F.col("row_idx"))))
+    of = lambda s: ordered(F.collect_list(F.when(F.col("source") == s, F.col("row_idx"))), compat)
     table = members.groupBy("label").agg(of("A").alias("a_idxs"), of("B").alias("b_idxs"))
     table = table.withColumns({"n_a": F.size("a_idxs"), "n_b": F.size("b_idxs")})
-    some = table.withColumn("__key", F.when(F.col("n_a") > 0, F.get("a_idxs", F.lit(0))).otherwise(F.get("b_idxs", F.lit(0)))).withColumn("__only_b", F.col("n_a") == 0)
+    some = table.withColumn("__key", F.when(F.col("n_a") > 0, F.array_min("a_idxs")).otherwise(F.array_min("b_idxs"))).withColumn("__only_b", F.col("n_a") == 0)
     with_a, only_b = statistics.numbered(some.where("not __only_b"), "__key", "component_id"), statistics.numbered(some.where("__only_b"), "__key", "component_id")
     first = with_a.agg(F.count(F.lit(1)).alias("__first"))
     only_b = only_b.crossJoin(F.broadcast(first)).withColumn("component_id", F.col("component_id") + F.col("__first")).drop("__first")

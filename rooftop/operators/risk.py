@@ -21,8 +21,10 @@ def dense_development(points: DataFrame, settings: config.Settings = config.Sett
     df = spatial.neighbour_sums(points, settings.dense_radius)
     df = written(df.withColumn("coverage_ratio_250m", F.col("neighbor_footprint_sum_250m") / (math.pi * settings.dense_radius**2)), "neighbours")
     columns = {"neighbors_250m": "dense_by_neighbors", "coverage_ratio_250m": "dense_by_coverage"}
-    limits = statistics.with_quantiles(df, {f"__{c}": (c, settings.dense_quantile) for c in columns})
-    ranked = written(statistics.with_rank_pct(limits.withColumns({n: flag(F.col(c) >= F.col(f"__{c}")) for c, n in columns.items()}).drop(*[f"__{c}" for c in columns]), {c: f"__r_{c}" for c in columns}), "ranked")
+    ranks = {c: statistics.value_ranks(df, c) for c in columns}
+    limits = statistics.with_quantiles(df, {f"__{c}": (c, settings.dense_quantile) for c in columns}, ranks)
+    limits = limits.withColumns({n: flag(F.col(c) >= F.col(f"__{c}")) for c, n in columns.items()}).drop(*[f"__{c}" for c in columns])
+    ranked = written(statistics.with_rank_pct(limits, {c: f"__r_{c}" for c in columns}, ranks), "ranked")
     ranked = ranked.withColumns({"dense_area": F.col("dense_by_neighbors") | F.col("dense_by_coverage"), "dense_score": F.col("__r_neighbors_250m") * 0.5 + F.col("__r_coverage_ratio_250m") * 0.5})
     return ranked.drop(*[f"__r_{c}" for c in columns])
 

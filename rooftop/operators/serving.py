@@ -30,6 +30,14 @@ COLOURS = {
     "density": {"high": "#dc3232", "medium": "#ffa500", "low": "#508cdc"},
     "eco_risk": {"high": "#dc3232", "medium": "#ffa500", "low": "#00c864"},
 }
+LAYERS = {"confidence": "Уверенность", "density": "Плотность", "eco_risk": "Эко риск"}
+LEGENDS = {
+    "confidence": {"high": "Высокая ≥ 0.8", "medium": "Средняя ≥ 0.5", "low": "Низкая / ML"},
+    "density": {"high": "Очень плотно ≥ 0.7", "medium": "Средняя ≥ 0.4", "low": "Разреженно"},
+    "eco_risk": {"high": "Высокий риск", "medium": "Средний риск", "low": "Низкий риск"},
+}
+#: Letters that a search needs, and rows that it gives.
+SEARCH_LETTERS, SEARCH_ROWS = 3, 5
 
 
 def height_filter(layer: DataFrame, low: float = 0.0, high: float = 462.0) -> DataFrame:
@@ -52,10 +60,10 @@ def eco_class(level: Column) -> Column:
 
 
 def paint(layer: DataFrame, by: str = "density") -> DataFrame:
-    """Adds paint_class and paint_colour of the chosen layer, and elevation."""
+    """Adds paint_class, paint_colour and paint_label (of the legend) of the chosen layer, and elevation."""
     chosen = {"confidence": confidence_class(F.col("confidence_score")), "density": density_class(F.col("dense_score")), "eco_risk": eco_class(F.col("eco_risk_level"))}[by]
     layer = layer.withColumn("paint_class", chosen)
-    return layer.withColumns({"paint_colour": mapped(F.col("paint_class"), COLOURS[by], None), "elevation": F.coalesce("height_final_full", F.lit(0.0))})
+    return layer.withColumns({"paint_colour": mapped(F.col("paint_class"), COLOURS[by], None), "paint_label": mapped(F.col("paint_class"), LEGENDS[by], None), "elevation": F.coalesce("height_final_full", F.lit(0.0))})
 
 
 def insight(layer: DataFrame) -> DataFrame:
@@ -76,6 +84,13 @@ def tooltip(layer: DataFrame) -> DataFrame:
     return layer.withColumns({"tip_height": F.coalesce(height, F.lit("—")), "tip_confidence": percent("confidence_score"), "tip_density": percent("dense_score"), "tip_match": match_label(F.col("match_type")), "tip_risk": F.coalesce("eco_risk_level", F.lit("—"))})
 
 
+def search(rows: DataFrame, text: str, column: str = "address", order: str = "row_idx", limit: int = SEARCH_ROWS) -> DataFrame:
+    """The first rows, by text and then order, whose text holds the words asked for, letter case aside; none for fewer
+    than three letters. It stands for the map's address search, over the layer's own addresses."""
+    found = rows.where(F.col(column).isNotNull() & F.contains(F.lower(column), F.lit(text.lower())))
+    return (found if len(text) >= SEARCH_LETTERS else found.limit(0)).orderBy(column, order).limit(limit)
+
+
 def tiles(layer: DataFrame, zooms: range = range(10, 17)) -> DataFrame:
     """A row for each zoom with the tile z, x, y that holds the point lon, lat."""
     each = [F.struct(F.lit(z).alias("z"), *[c.alias(n) for n, c in zip("xy", tile(F.col("lon"), F.col("lat"), z), strict=True)]) for z in zooms]

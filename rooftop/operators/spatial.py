@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -163,37 +164,75 @@ def with_lisa(points: DataFrame, settings: config.Settings) -> DataFrame:
     return out.withColumn("lisa_flag", flag((F.col("lisa_p") < settings.lisa_p) & (F.col("lisa_quad") == 4)))
 
 
+def _apart(low: Column, high: Column, at: Column) -> Column:
+    """Distance along an axis from a point to a stretch, 0 within it."""
+    return F.greatest(low - at, at - high, F.lit(0.0))
+
+
+def _far(low: Column, high: Column, at: Column) -> Column:
+    """Distance along an axis from a point to the farther end of a stretch."""
+    return F.greatest(F.abs(low - at), F.abs(high - at))
+
+
+def _around(points: DataFrame, width: float) -> DataFrame:
+    """Copies each query to the nine cells (gx, gy) around it."""
+    offsets = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
+    cells = points.withColumns({"gx": F.floor(F.col("query_x") / width), "gy": F.floor(F.col("query_y") / width)})
+    cells = cells.select("*", offsets.alias("i")).select("*", offsets.alias("j"))
+    return cells.withColumns({"gx": F.col("gx") + F.col("i"), "gy": F.col("gy") + F.col("j")}).drop("i", "j")
+
+
+def _pooled(pool: DataFrame, width: float) -> DataFrame:
+    return pool.withColumns({"gx": F.floor(F.col("train_x") / width), "gy": F.floor(F.col("train_y") / width)})
+
+
+def _far_pairs(left: DataFrame, pool: DataFrame, width: float, want: int) -> DataFrame:
+    """Pairs of queries and points that can be among the nearest, of the points in the nine cells around a query.
+
+    A cell is parted in 64, and only parts with points are there, with the box of theirs. A query's parts are taken
+    by the distance of their farthest corner until they hold enough points: that distance bounds the search, and only
+    parts whose box begins within it are opened.
+    """
+    part = width / 8
+    parts = pool.withColumns({"px": F.floor(F.col("train_x") / part), "py": F.floor(F.col("train_y") / part)})
+    boxes = parts.groupBy("px", "py").agg(F.count(F.lit(1)).alias("n"), *[f(f"train_{c}").alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)])
+    boxes = boxes.withColumns({"gx": F.floor(F.col("px") / 8), "gy": F.floor(F.col("py") / 8)})
+    side = lambda f: [f(F.col(f"min_{c}"), F.col(f"max_{c}"), F.col(f"query_{c}")) for c in "xy"]
+    dx, dy = side(_apart)
+    ex, ey = side(_far)
+    seen = _around(left, width).join(boxes, ["gx", "gy"]).withColumns({"low": F.sqrt(dx * dx + dy * dy), "high": F.sqrt(ex * ex + ey * ey)})
+    upto = F.sum("n").over(Window.partitionBy("query_idx").orderBy("high", "px", "py"))
+    bound = F.min(F.when(F.col("upto") >= want, F.col("high"))).over(Window.partitionBy("query_idx"))
+    seen = seen.withColumn("upto", upto).withColumn("bound", bound).where(F.col("bound").isNull() | (F.col("low") <= F.col("bound")))
+    return seen.select("query_idx", "query_x", "query_y", "px", "py").join(parts, ["px", "py"])
+
+
 def nearest(queries: DataFrame, train: DataFrame, k: int, cell: float, target: str = "height_final", exclude_self: bool = False) -> DataFrame:
     """row_idx, train_idx, d, y, place of the k nearest training points of each query (row_idx, cx, cy), ties by id.
 
-    Rings of cells around each query widen until its k nearest are certain: a ring of r cells holds all points within
-    r * cell. Queries that are settled leave; the rest go on with rings twice as wide. All k nearest are exact.
+    The nine cells around a query hold all points within a cell's width: if its k nearest there are within it, they
+    are certain. Such queries leave; the others go on with cells four times as wide, of which only the occupied parts
+    that matter are opened. Rounds are written, and end when no query is left. Cells are at most `cell` wide at first,
+    less where points are dense. All k nearest are exact.
     """
     point = lambda df, s: df.where("cx is not null and cy is not null").select(F.col("row_idx").alias(f"{s}_idx"), F.col("cx").alias(f"{s}_x"), F.col("cy").alias(f"{s}_y"), *([F.col(target).alias("y")] if s == "train" else []))
-    left, pool = point(queries, "query"), point(train, "train")
-    size = pool.count()
-    want, width, done = min(k, max(0, size - exclude_self)), cell, None
-    edges = pool.agg(F.min("train_x"), F.max("train_x"), F.min("train_y"), F.max("train_y")).first()
-    reach = queries.agg(F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first()
-    if not want or reach[0] is None:
-        return left.select(F.col("query_idx").alias("row_idx"), F.lit(0).cast("long").alias("train_idx"), F.lit(0.0).alias("d"), F.lit(0.0).alias("y"), F.lit(1).alias("place")).limit(0)
-    whole = max(max(edges[1], reach[1]) - min(edges[0], reach[0]), max(edges[3], reach[3]) - min(edges[2], reach[2])) + cell
-    while True:
-        grid = lambda c, w=width: F.floor(F.col(c) / w)
-        offsets = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
-        q = left.withColumns({"gx": grid("query_x"), "gy": grid("query_y")}).select("*", offsets.alias("i")).select("*", offsets.alias("j")).withColumns({"gx": F.col("gx") + F.col("i"), "gy": F.col("gy") + F.col("j")}).drop("i", "j")
-        t = pool.withColumns({"hx": grid("train_x"), "hy": grid("train_y")})
-        d = F.sqrt((F.col("query_x") - F.col("train_x")) * (F.col("query_x") - F.col("train_x")) + (F.col("query_y") - F.col("train_y")) * (F.col("query_y") - F.col("train_y")))
-        found = q.join(t, (F.col("gx") == F.col("hx")) & (F.col("gy") == F.col("hy")))
-        found = found.where(F.col("query_idx") != F.col("train_idx")) if exclude_self else found
-        found = found.select("query_idx", "train_idx", d.alias("d"), "y")
+    left, pool = written(point(queries, "query"), "queries"), written(point(train, "train"), "pool")
+    at = pool.agg(F.count(F.lit(1)).alias("n"), (F.max("train_x") - F.min("train_x")).alias("w"), (F.max("train_y") - F.min("train_y")).alias("h")).first()
+    want, done = min(k, max(0, at.n - exclude_self)), None
+    empty = left.select(F.col("query_idx").alias("row_idx"), F.lit(0).cast("long").alias("train_idx"), F.lit(0.0).alias("d"), F.lit(0.0).alias("y"), F.lit(1).alias("place")).limit(0)
+    if not want:
+        return empty
+    width = min(cell, max(cell / 64, math.sqrt(max(at.w, 1.0) * max(at.h, 1.0) * want / at.n)))
+    first = True
+    while left.limit(1).count():
+        pairs = _around(left, width).join(_pooled(pool, width), ["gx", "gy"]) if first else _far_pairs(left, pool, width, want + exclude_self)
+        dx, dy = F.col("query_x") - F.col("train_x"), F.col("query_y") - F.col("train_y")
+        pairs = pairs.where(F.col("query_idx") != F.col("train_idx")) if exclude_self else pairs
         place = F.row_number().over(Window.partitionBy("query_idx").orderBy("d", "train_idx"))
-        found = found.withColumn("place", place).where(F.col("place") <= want)
-        last = width >= whole
-        sure = found.withColumn("far", F.max(F.when(F.col("place") == want, F.col("d"))).over(Window.partitionBy("query_idx"))).where(F.lit(last) | (F.col("far") <= width))
-        sure = sure.select(F.col("query_idx").alias("row_idx"), "train_idx", "d", "y", "place")
+        found = pairs.select("query_idx", "train_idx", F.sqrt(dx * dx + dy * dy).alias("d"), "y").withColumn("place", place).where(F.col("place") <= want)
+        last = F.max(F.when(F.col("place") == want, F.col("d"))).over(Window.partitionBy("query_idx"))
+        sure = written(found.withColumn("last", last).where(F.col("last") <= width).select(F.col("query_idx").alias("row_idx"), "train_idx", "d", "y", "place"), "nearest")
         done = sure if done is None else done.unionByName(sure)
-        if last:
-            return done
-        left = left.join(sure.select(F.col("row_idx").alias("query_idx")).distinct(), "query_idx", "left_anti")
-        width *= 4
+        left = written(left.join(sure.where("place = 1").select(F.col("row_idx").alias("query_idx")), "query_idx", "left_anti"), "queries")
+        width, first = width * 4, False
+    return empty if done is None else done

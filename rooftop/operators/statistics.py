@@ -6,30 +6,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rooftop.functions.values import flag
+from rooftop.session import written
 
-#: Value ranges that are ranked in parallel.
-BUCKETS = 256
+#: Distinct values that one task may put in order; more are dealt to ranges that are ordered in parallel.
+ONE_TASK = 200_000
 
 
-def value_ranks(df: DataFrame, column: str) -> DataFrame:
+def in_ranges(counts: DataFrame) -> DataFrame:
+    """Adds part, by value: ranges with about as many rows each, whatever the values' distribution; written, so fixed."""
+    parts = max(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), counts.count() // ONE_TASK)
+    return written(counts.repartitionByRange(parts, "v").withColumn("part", F.spark_partition_id()), "ranges")
+
+
+def value_ranks(df: DataFrame, column: str, most: int = ONE_TASK) -> DataFrame:
     """v, c, before, n of each distinct value: rows that have it, rows below it, rows with any.
 
-    Rows collapse to distinct values before the first shuffle. Values are dealt to equal ranges, ranked within each,
-    and shifted by the sums of the lower ranges: no window spans all values.
+    Rows collapse to distinct values before the first shuffle, and the values are written and counted. Few are put in
+    order by one task. More are dealt to ranges between sampled quantiles, so that outliers and skew leave the ranges
+    alike, ordered within each, and shifted by the sums of the lower ranges: no window spans them all.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    limits = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    share = F.coalesce(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0))
-    dealt = counts.crossJoin(F.broadcast(limits)).select("v", "c", "n", F.floor(share * BUCKETS).cast("int").alias("bucket"))
-    lower = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # over BUCKETS + 1 rows
-    sums = dealt.groupBy("bucket").agg(F.sum("c").alias("own")).select("bucket", F.coalesce(F.sum("own").over(lower), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    return dealt.join(F.broadcast(sums), "bucket").select("v", "c", "n", (F.col("offset") + F.coalesce(F.sum("c").over(inside), F.lit(0))).alias("before"))
-
-
-def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
+    counts = written(counts, "values")
+    earlier = lambda w: w.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    if counts.count() <= most:
+        every = Window.partitionBy()
+        return counts.select("v", "c", F.sum("c").over(every).alias("n"), F.coalesce(F.sum("c").over(earlier(every)), F.lit(0)).alias("before"))
+    dealt, lower = in_ranges(counts), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("part").agg(F.sum("c").alias("own"))  # a row for each range
+    sums = sums.select("part", F.coalesce(F.sum("own").over(lower), F.lit(0)).alias("offset"), F.sum("own").over(Window.partitionBy()).alias("n"))
+    inside = F.coalesce(F.sum("c").over(earlier(Window.partitionBy("part"))), F.lit(0))
+    return dealt.join(F.broadcast(sums), "part").select("v", "c", "n", (F.col("offset") + inside).alias("before"))
+
+
+def quantiles(df: DataFrame, column: str, shares: list[float], ranks: DataFrame | None = None) -> DataFrame:
     """One row q0, q1...: quantiles with linear interpolation between neighbours, null for an empty column."""
-    ranks, out = value_ranks(df, column), []
+    ranks, out = value_ranks(df, column) if ranks is None else ranks, []
     for i, p in enumerate(shares):
         at = F.lit(p) * (F.col("n") - 1)
         for name, place in ((f"l{i}", F.floor(at)), (f"h{i}", F.ceil(at))):
@@ -40,20 +51,21 @@ def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
     return found.select(*[(F.col(f"l{i}") + (F.col(f"h{i}") - F.col(f"l{i}")) * F.col(f"f{i}")).alias(f"q{i}") for i in range(len(shares))])
 
 
-def with_quantiles(df: DataFrame, names: dict[str, tuple[str, float]]) -> DataFrame:
-    """Adds for each name a column's quantile, the same in all rows. All are found from df as it comes."""
+def with_quantiles(df: DataFrame, names: dict[str, tuple[str, float]], ranks: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Adds for each name a column's quantile, the same in all rows. All are found from df as it comes, or from its ranks."""
     out = df
     for column in dict.fromkeys(c for c, _ in names.values()):
         mine = {n: p for n, (c, p) in names.items() if c == column}
-        out = out.crossJoin(F.broadcast(quantiles(df, column, list(mine.values())).toDF(*mine)))
+        out = out.crossJoin(F.broadcast(quantiles(df, column, list(mine.values()), (ranks or {}).get(column)).toDF(*mine)))
     return out
 
 
-def with_rank_pct(df: DataFrame, names: dict[str, str]) -> DataFrame:
+def with_rank_pct(df: DataFrame, names: dict[str, str], given: dict[str, DataFrame] | None = None) -> DataFrame:
     """Adds for each column: name the rank of its value divided by the number of values; ties share their mean rank, nulls have none."""
     out = df
     for column, name in names.items():
-        ranks = value_ranks(df, column)
+        ranks = (given or {}).get(column)
+        ranks = value_ranks(df, column) if ranks is None else ranks
         share = ((F.col("before") + (F.col("c") + 1) / 2) / F.col("n")).alias(name)
         out = out.join(ranks.select(F.col("v").alias("__v"), share), F.col(column).cast("double") == F.col("__v"), "left").drop("__v")
     return out

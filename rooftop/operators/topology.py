@@ -32,11 +32,24 @@ def repair(df: DataFrame, column: str = "geometry") -> DataFrame:
 
 
 def coverage(df: DataFrame, cell: float = 64.0) -> DataFrame:
-    """Pairs idx_a < idx_b of footprints of one source that overlap: none means that they form a coverage."""
+    """Pairs idx_a < idx_b of footprints of one source that overlap: none in a coverage. Needs row_idx, geom_wkt and the box."""
     pairs = matching.candidates(df, df, cell, ["geom_wkt"]).where("idx_a < idx_b")
     return pairs.select("idx_a", "idx_b", shapes.overlap_area("geom_wkt_a", "geom_wkt_b").alias("overlap_m2")).where("overlap_m2 > 1e-9")
 
 
+def coverage_edges(df: DataFrame, gap_width: float = 0.2, cell: float = 64.0) -> DataFrame:
+    """row_idx, faulty_edges: a multi-line text of the edges of a footprint that break the coverage; no rows if it is one.
+
+    Footprints may meet in edges that both have. An edge that crosses or lies in another footprint, or runs along
+    one no farther off than gap_width, is faulty. Needs row_idx, geom_wkt and the box in metres.
+    """
+    grown = df.withColumns({f"{m}{c}": F.col(f"{m}{c}") + d for m, d in (("min", -gap_width), ("max", gap_width)) for c in "xy"})
+    pairs = matching.candidates(grown, df, cell, ["geom_wkt"]).where("idx_a <> idx_b")
+    edges = pairs.select(F.col("idx_a").alias("row_idx"), F.explode(shapes.faulty(gap_width)("geom_wkt_a", "geom_wkt_b")).alias("edge"))
+    lines = F.array_join(F.transform(F.sort_array(F.collect_set("edge")), lambda e: F.concat(F.lit("("), e, F.lit(")"))), ", ")
+    return edges.groupBy("row_idx").agg(F.concat(F.lit("MULTILINESTRING ("), lines, F.lit(")")).alias("faulty_edges"))
+
+
 def run(df: DataFrame, column: str = "geometry", metric: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Repaired rows, the report before, the report after."""
     fixed = repair(df, column)

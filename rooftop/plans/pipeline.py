@@ -29,6 +29,8 @@ class Result:
     geometry_diag_a_after: DataFrame
     geometry_diag_b_before: DataFrame
     geometry_diag_b_after: DataFrame
+    coverage_a: DataFrame
+    coverage_b: DataFrame
 
     @property
     def frontend(self) -> DataFrame:
@@ -69,12 +71,13 @@ def run(spark: SparkSession, path_a: str, path_b: str, settings: config.Settings
     a, b = tables.load_sources(spark, path_a, path_b)
     (a, a_before, a_after), (b, b_before, b_after) = (topology.run(x, metric=metric) for x in (a, b))
     a, b = (written(located(x, metric), "located") for x in (a, b))
+    edges = [topology.coverage_edges(x, settings.gap_width, settings.grid_cell) for x in (a, b)]
     a, b = (written(x, "clean") for x in clean_sources(a, b, settings))
     strong, members, components = spatial_matching(a, b, settings)
     components = written(components, "components")
     filled, summary = height_recovery(components, members, a, b, settings, enable_ml, metric)
     scored = risk.risk_scoring(filled.withColumn("footprint_area_m2", F.col("area")), settings)
-    return Result(a, b, strong, components, written(scored, "final"), summary, a_before, a_after, b_before, b_after)
+    return Result(a, b, strong, components, written(scored, "final"), summary, a_before, a_after, b_before, b_after, *edges)
 
 
 def save(result: Result, folder: str) -> None:

@@ -197,6 +197,12 @@ def component_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("component_id", "label", F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"), "match_type", F.get("a_idxs", F.lit(0)).alias("min_a"), F.get("b_idxs", F.lit(0)).alias("min_b"))
 
 
+@query(f"{FIX}{COMP} select component_id, list(row_idx order by cast(row_idx as varchar)) filter (source = 'A') as a_idxs, list(row_idx order by cast(row_idx as varchar)) filter (source = 'B') as b_idxs from members join comp using (label) group by component_id".replace("list(", "array_to_string(list(").replace("as a_idxs", ", ',') as a_idxs").replace("as b_idxs", ", ',') as b_idxs"))
+def component_members_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = matching.component_table(Chain(spark, sf_dir).matched().members, compat=True)
+    return df.select("component_id", *[F.when(F.size(c) > 0, F.array_join(c, ",")).alias(c) for c in ("a_idxs", "b_idxs")])
+
+
 @query(f"{FIX}{COMP} select match_type, count(*) as components, cast(sum(n_a) as bigint) as rows_a, cast(sum(n_b) as bigint) as rows_b from comp group by match_type")
 def match_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Chain(spark, sf_dir).matched().components.groupBy("match_type").agg(F.count(F.lit(1)).alias("components"), F.sum("n_a").cast("long").alias("rows_a"), F.sum("n_b").cast("long").alias("rows_b"))
@@ -332,7 +338,17 @@ def height_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Chain(spark, sf_dir).matched().selected().select("component_id", *_r("height_final"), "height_source", "confidence_score", "b_internal_ok", "a_agree_with_b")
 
 
-@query()
+COMPAT = f"""{FIX}{REVIEW}{LISTS}, lb as (select label, list(hc order by row_idx) filter (hc is not null) as hcs, list(area order by row_idx) as areas from members join fb using (row_idx) where source = 'B' group by label),
+ hb as (select label, len(hcs) as n, hcs[1] as h1, sum(hcs[i]*areas[i])/nullif(sum(areas[i]), 0) as hw from lb, unnest(range(1, len(hcs) + 1)) t(i) where len(hcs) > 0 group by label, hcs),
+ hc as (select r.component_id, coalesce(n, 0) as n, case when n = 1 then hb.h1 else hw end as h, ms*mf as expected, case when nmin > 0 and nmax > 0 then fmin*2.8e0 end as lo, case when nmin > 0 and nmax > 0 then fmax*3e0 end as hi
+  from comp r left join hb using (label) left join mb using (label) left join ma using (label)),
+ hd as (select *, n = 1 and abs(h - expected) <= 3e0 as ok, case when n > 0 then h >= lo and h <= hi end as agree from hc)
+ select component_id, round(case when n > 0 then h else (lo + hi)/2 end, 6) as height_final,
+  case when n = 1 and ok and agree is null then 'B_direct_high' when n = 1 then 'B_direct_medium' when n > 1 then 'B_weighted' when lo is not null and hi is not null then 'A_range_only' else 'unknown' end as height_source,
+  case when n = 1 and ok and agree is null then 0.9e0 when n = 1 then 0.8e0 when n > 1 then 0.75e0 when lo is not null and hi is not null then 0.45e0 else 0e0 end as confidence_score from hd"""
+
+
+@query(COMPAT)
 def height_selection_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Chain(spark, sf_dir).matched().selected(compat=True).select("component_id", *_r("height_final"), "height_source", "confidence_score")
 
@@ -448,7 +464,7 @@ def ml_cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ml_fill_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, _ = learning.fill_heights(_to_learn(spark, sf_dir), config.Settings())
-    return df.select("component_id", "height_final", "height_ml", "height_final_full", "height_source_full")
+    return df.select("component_id", "height_final", "height_ml", "ml_model_name", "height_final_full", "height_source_full")
 
 
 @query(f"{FIX}{REVIEW}{FLAGS} select component_id, case when height_final > 0 then height_final end as height_final, cast(n_a as bigint) as n_a, cast(n_b as bigint) as n_b, round(max_iou, 6) as max_iou, match_type from flg")
@@ -458,22 +474,64 @@ def clean_for_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col("row_idx").alias("component_id"), "height_final", F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"), *_r("max_iou"), "match_type")
 
 
-@query("select avg(abs(l_extendedprice - l_quantity*900))::double as mae_raw, count(*) as n from lineitem")
+@query("""with e as (select l_extendedprice::double as y, l_extendedprice - l_quantity*900::double as e from lineitem)
+ select round(avg(abs(e)), 4) as mae, round(sqrt(avg(e*e)), 4) as rmse, round(1 - sum(e*e)/(var_pop(y)*count(*)), 6) as r2, count(*) as n from e""")
 def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("label"), (F.col("l_quantity") * 900).alias("prediction"))
-    return learning.metrics(df).select(F.col("MAE").alias("mae_raw"), F.lit(df.count()).cast("long").alias("n"))
+    return learning.metrics(df).select(F.round("MAE", 4).alias("mae"), F.round("RMSE", 4).alias("rmse"), F.round("R2", 6).alias("r2"), F.lit(df.count()).cast("long").alias("n"))
 
 
 # ---------------------------------------------------------------- geometry
-@query(f"{FIX} select row_idx, false as is_missing, false as is_empty, true as is_valid, 'Valid Geometry' as valid_reason, 'Polygon' as geom_type, w*h as area_m2, row_idx % 4 = 0 as wrong_ring_orientation, false as zero_area, false as needs_attention from bld_b")
+# Shapes of every kind at (x, y), s wide: what is wrong with each and what its repair leaves are known.
+_SHAPES = {  # kind: (text, is_valid, reason, type, area as it is, wrong orientation, area after repair)
+    0: ("'POLYGON ((x0 y0, x1 y0, x1 y1, x0 y1, x0 y0))'", "true", "'Valid Geometry'", "'Polygon'", "s*s", "false", "s*s"),
+    1: ("'POLYGON ((x0 y0, x1 y1, x1 y0, x0 y1, x0 y0))'", "false", "'Self-intersection'", "'Polygon'", "0", "false", "s*s/2"),
+    2: ("'POLYGON ((x0 y0, x0 y1, x1 y1, x1 y0, x0 y0), (xa ya, xa yb, xb yb, xb ya, xa ya))'", "true", "'Valid Geometry'", "'Polygon'", "s*s - s*s/16", "true", "s*s - s*s/16"),
+    3: ("'POLYGON ((x0 y0, x1 y0, x1 y1, x0 y1))'", "false", "'Ring is not closed'", "'Polygon'", "null", "null", "s*s"),
+    4: ("'POLYGON EMPTY'", "true", "'Valid Geometry'", "'Polygon'", "0", "false", "0"),
+    5: ("null", "false", "null", "null", "null", "false", "null"),
+    6: ("'MULTIPOLYGON (((x0 y0, x1 y0, x1 y1, x0 y0)), ((x0 y0, x1 y1, x0 y1, x0 y0)))'", "false", "'Self-intersection'", "'MultiPolygon'", "s*s", "false", "s*s"),
+}
+_CORNERS = {"x0": "x", "y0": "y", "x1": "x + s", "y1": "y + s", "xa": "x + s/4", "ya": "y + s/4", "xb": "x + s/2", "yb": "y + s/2"}
+
+
+def _with_corners(text_: str) -> str:
+    for k, v in _CORNERS.items():
+        text_ = f"replace({text_}, '{k}', cast(cast({v} as bigint) as varchar(20)))"
+    return text_
+
+
+def _of_kind(i: int) -> str:
+    return "case kind " + " ".join(f"when {k} then {v[i]}" for k, v in _SHAPES.items()) + " end"
+
+
+BROKEN = f"""broken as (select *, {_with_corners(_of_kind(0))} as geometry from
+ (select cast(p_partkey as bigint) as row_idx, p_partkey % 7 as kind, 1000e0 + p_partkey*40 as x, 2000e0 + (p_partkey % 31)*40 as y, 4e0*(1 + p_size % 5) as s from part) p)"""
+
+
+def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(f"with {BROKEN.replace('from part', 'from {part}')} select row_idx, kind, s, geometry from broken", part=table(spark, sf_dir, "part"))
+
+
+@query(f"""with {BROKEN} select row_idx, kind = 5 as is_missing, kind = 4 as is_empty, {_of_kind(1)} as is_valid, {_of_kind(2)} as valid_reason, {_of_kind(3)} as geom_type, kind <> 3 and {_of_kind(4)} <= 1e-9 and kind <> 4 as bad_area,
+ coalesce({_of_kind(5)}, false) as wrong_ring_orientation from broken""".replace("as bad_area", "as zero_area_"))
 def geometry_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topology.diagnostics(with_wkt(buildings(spark, sf_dir)[1], "geometry"), metric=True)
+    df = topology.diagnostics(_broken(spark, sf_dir), metric=True).join(_broken(spark, sf_dir).select("row_idx", "kind"), "row_idx")
+    known = F.when(F.col("kind") == 3, F.lit(False)).when(F.col("kind") == 5, F.lit(None)).otherwise(F.col("zero_area"))
+    return df.select("row_idx", "is_missing", "is_empty", "is_valid", "valid_reason", "geom_type", known.alias("zero_area_"), F.when(F.col("kind") == 3, F.lit(False)).otherwise(F.col("wrong_ring_orientation")).alias("wrong_ring_orientation"))
 
 
-@query(f"{FIX} select count(*) as rows, 0::bigint as invalid, 0::bigint as empty, 0::bigint as zero_area, 0::bigint as wrong_orientation from bld_b")
+@query(f"with {BROKEN} select row_idx, geometry as geometry_original, kind <> 5 as is_valid, round({_of_kind(6)}, 6) as area, false as wrong_ring_orientation from broken")
 def repair_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fixed, _, after = topology.run(with_wkt(buildings(spark, sf_dir)[1], "geometry").select("row_idx", "geometry"), metric=True)
-    return topology.counters(after)
+    fixed, _, after = topology.run(_broken(spark, sf_dir).select("row_idx", "geometry"), metric=True)
+    fixed = fixed.select("row_idx", "geometry_original", F.round(geometry.area(geometry.parse_wkt(F.col("geometry"))), 6).alias("area"))
+    return fixed.join(after.select("row_idx", "is_valid", "wrong_ring_orientation"), "row_idx")
+
+
+@query(f"with {BROKEN} select count(*) as rows, count(*) filter (not {_of_kind(1)}) as invalid, count(*) filter (kind = 4) as empty from broken")
+def geometry_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, before, _ = topology.run(_broken(spark, sf_dir).select("row_idx", "geometry"), metric=True)
+    return topology.counters(before).select("rows", "invalid", "empty")
 
 
 @query(f"{FIX} select row_idx, false as wrong, w*h as area from bld_b")
@@ -488,6 +546,21 @@ def coverage_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topology.coverage(df).select("idx_a", "idx_b", *_r("overlap_m2"))
 
 
+_GRID = """select p_partkey as row_idx, 5000e0 + (p_partkey % 50)*10 as x0, 7000e0 + cast(floor(p_partkey/50e0) as int)*10 as y0,
+ 10e0 - case when p_partkey % 11 = 0 then 0.1e0 when p_partkey % 13 = 0 then 1e0 else 0e0 end as w, 10e0 as h from part"""
+
+
+@query(f"with g as ({_GRID}) select cast(a.row_idx as bigint) as row_idx from g a join g b on b.row_idx = a.row_idx + 1 and a.x0 + 10 = b.x0 where a.row_idx % 11 = 0 union select cast(b.row_idx as bigint) from g a join g b on b.row_idx = a.row_idx + 1 and a.x0 + 10 = b.x0 where a.row_idx % 11 = 0 union "
+       "select cast(r as bigint) from (select a.row_idx as i, b.row_idx as j, a.w as v, b.w as w from g a join g b on a.x0 = b.x0 and b.y0 = a.y0 + 10 where a.w <> b.w) t, unnest([i, j]) u(r)")
+def coverage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares side by side; some are 0.1 short, a gap, some 1 short, an open space; edges of unlike lengths don't match."""
+    df = spark.sql(_GRID.replace("from part", "from {part}"), part=table(spark, sf_dir, "part"))
+    df = df.withColumns({"minx": F.col("x0"), "miny": F.col("y0"), "maxx": F.col("x0") + F.col("w"), "maxy": F.col("y0") + F.col("h")})
+    point = lambda x, y: F.concat_ws(" ", F.col(x).cast("string"), F.col(y).cast("string"))
+    ring = F.array_join(F.array(point("minx", "miny"), point("maxx", "miny"), point("maxx", "maxy"), point("minx", "maxy"), point("minx", "miny")), ", ")
+    return topology.coverage_edges(df.withColumn("geom_wkt", F.concat(F.lit("POLYGON (("), ring, F.lit("))"))), 0.2).select(F.col("row_idx").cast("long").alias("row_idx"))
+
+
 _N = geometry.FLATTENING / (2 - geometry.FLATTENING)
 _C = f"(2*sqrt({_N!r})/(1+{_N!r}))"
 _R = repr(geometry.SCALE * geometry.SEMI_MAJOR / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64))
@@ -521,6 +594,17 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(F.col("row_idx").alias("place"), "height", "stairs", "number", "district", box["minx"].alias("x0"), box["maxy"].alias("y1"))
 
 
+@query(f"{FIX}, a as (select *, row_number() over (order by row_idx) - 1 as place from bld_a) select place, area_sq_m, gkh_floor_count_min, gkh_floor_count_max, gkh_address, cast(null as varchar) as address, x0, y0 from a")
+def csv_round_trip_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In one file that is split at line ends."""
+    path = scratch_path(spark, "csv")
+    a = with_wkt(buildings(spark, sf_dir)[0], "geometry").select("row_idx", "geometry", "area_sq_m", "gkh_floor_count_min", "gkh_floor_count_max", "gkh_address")
+    tables.save_csv(a.orderBy("row_idx").drop("row_idx").coalesce(1), path)
+    df = tables.load_a(spark, path, multi_line=False)
+    box = geometry.box(geometry.parse_wkt(F.col("geometry")))
+    return df.select(F.col("row_idx").alias("place"), "area_sq_m", "gkh_floor_count_min", "gkh_floor_count_max", "gkh_address", "address", box["minx"].alias("x0"), box["miny"].alias("y0"))
+
+
 @query(f"{FIX} select row_idx, height, district from bld_b")
 def geojson_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "geojson")
@@ -561,14 +645,35 @@ def paint_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("component_id", serving.confidence_class(F.col("confidence_score")).alias("confidence_class"), serving.density_class(F.col("dense_score")).alias("density_class"), serving.eco_class(F.col("eco_risk_level")).alias("eco_class"), F.round(F.coalesce("height_final_full", F.lit(0.0)), 6).alias("elevation"))
 
 
+_PAINT = {"confidence": "confidence_class", "density": "density_class", "eco_risk": "eco_risk_level"}
+
+
+def _mapped_sql(column: str, names: dict[str, str]) -> str:
+    return f"case {column} " + " ".join(f"when '{k}' then '{v}'" for k, v in names.items()) + " end"
+
+
+@query(f"{LAYER}, cls as (select component_id, eco_risk_level, case when confidence_score >= 0.8 then 'high' when confidence_score >= 0.5 then 'medium' else 'low' end as confidence_class, case when dense_score >= 0.7 then 'high' when dense_score >= 0.4 then 'medium' else 'low' end as density_class from eco) "
+       + " union all ".join(f"select component_id, '{by}' as layer, '{serving.LAYERS[by]}' as layer_label, {c} as paint_class, {_mapped_sql(c, serving.COLOURS[by])} as paint_colour, {_mapped_sql(c, serving.LEGENDS[by])} as paint_label from cls" for by, c in _PAINT.items()))
+def paint_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer that a user chooses, for each choice: classes, colours and the legend's texts."""
+    layer = _layer(spark, sf_dir)
+    each = [serving.paint(layer, by).select("component_id", F.lit(by).alias("layer"), F.lit(label).alias("layer_label"), "paint_class", "paint_colour", "paint_label") for by, label in serving.LAYERS.items()]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@query(f"{FIX} select row_idx, gkh_address from bld_a where contains(lower(gkh_address), 'д. 3') order by gkh_address, row_idx limit 5")
+def address_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.search(buildings(spark, sf_dir)[0], "Д. 3", "gkh_address").select("row_idx", "gkh_address")
+
+
 @query(f"{LAYER} select component_id, case when dense_score >= 0.7 then 'Критическая плотность' when confidence_score < 0.3 then 'Низкая уверенность в данных' when eco_risk_level = 'high' then 'Риск покрытия высокий' when eco_risk_level = 'medium' or dense_score >= 0.4 then 'Умеренная зона' else 'Зона с хорошим покрытием' end as insight_title, case when dense_score >= 0.7 then 'danger' when confidence_score < 0.3 then 'warning' when eco_risk_level = 'high' then 'danger' when eco_risk_level = 'medium' or dense_score >= 0.4 then 'warning' else 'good' end as insight_level from eco")
 def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.insight(_layer(spark, sf_dir)).select("component_id", "insight_title", "insight_level")
 
 
-@query(f"{LAYER} select component_id, coalesce(concat(cast(round(confidence_score*100) as int), '%'), '—') as tip_confidence, case match_type {' '.join(f'''when '{k}' then '{v}' ''' for k, v in serving.MATCH_LABELS.items())} else coalesce(match_type, '—') end as tip_match, coalesce(eco_risk_level, '—') as tip_risk from eco")
+@query(f"{LAYER} select component_id, coalesce(concat(cast(round(confidence_score*100) as int), '%'), '—') as tip_confidence, coalesce(printf('%.1f', round(height_final, 1)) || ' м', '—') as tip_height, concat(cast(round(dense_score*100) as int), '%') as tip_density, case match_type {' '.join(f'''when '{k}' then '{v}' ''' for k, v in serving.MATCH_LABELS.items())} else coalesce(match_type, '—') end as tip_match, coalesce(eco_risk_level, '—') as tip_risk from eco")
 def tooltip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.tooltip(_layer(spark, sf_dir)).select("component_id", "tip_confidence", "tip_match", "tip_risk")
+    return serving.tooltip(_layer(spark, sf_dir)).select("component_id", "tip_confidence", "tip_height", "tip_density", "tip_match", "tip_risk")
 
 
 @query(f"{LAYER} select cast(component_id as bigint) as component_id, match_type, round(height_final, 6) as height_final_full, confidence_score, round(score, 6) as eco_risk_score, eco_risk_level, dense_area, round(dense_score, 6) as dense_score from eco")
@@ -583,12 +688,22 @@ def tile_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.tiles(df).select("row_idx", "z", "x", "y")
 
 
-@query()
+_POINT = "concat('[', cast({x} as double), ',', cast({y} as double), ']')"
+_RING = [_POINT.format(x=x, y=y) for x, y in (("x0", "y0"), ("x0 + w", "y0"), ("x0 + w", "y0 + h"), ("x0", "y0 + h"))]
+
+
+@query(f"""{FIX} select concat('{{"type":"Feature","properties":{{"row_idx":', row_idx, ',"height":', coalesce(cast(height as varchar), 'null'), ',"district":', coalesce('"' || district || '"', 'null'),
+ '}},"geometry":{{"type":"Polygon","coordinates":[[', array_to_string(case when row_idx % 4 = 0 then [{_RING[0]}, {_RING[3]}, {_RING[2]}, {_RING[1]}, {_RING[0]}] else [{", ".join([*_RING, _RING[0]])}] end, ','), ']]}}}}') as feature from bld_b""")
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geojson.features(with_wkt(buildings(spark, sf_dir)[1], "geometry").select("row_idx", "height", "district", "geometry"))
 
 
-@query()
+@query(f"""{FIX}{COMP}, part_ as (select label, source, x0, y0, x0 + w as x1, y0 + h as y1 from members join bld_a using (row_idx) where source = 'A' union all select label, source, x0, y0, x0 + w, y0 + h from members join bld_b using (row_idx) where source = 'B'),
+ mine as (select p.* from part_ p join comp using (label) where source = case when n_b > 0 then 'B' else 'A' end),
+ xs as (select label, x, lead(x) over (partition by label order by x) as x2 from (select label, x0 as x from mine union select label, x1 from mine)),
+ ys as (select label, y, lead(y) over (partition by label order by y) as y2 from (select label, y0 as y from mine union select label, y1 from mine)),
+ cells as (select distinct xs.label, x, x2, y, y2 from xs join ys using (label) join mine m on m.label = xs.label and m.x0 <= x and m.x1 >= x2 and m.y0 <= y and m.y1 >= y2)
+ select component_id, round(sum((x2 - x)*(y2 - y)), 6) as area, true as is_valid from cells join comp using (label) group by component_id""")
 def polygon_union_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Chain(spark, sf_dir).matched()
     df = matching.component_geometry(c.components, c.members, with_wkt(c.a), with_wkt(c.b))

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder where it is unset, which only a local session may do."""
+    """spark.checkpoint.dir; a temporary folder where it is unset, which only a local session may do.
+
+    Checkpoints go there as well.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         master = spark.sparkContext.master
@@ -18,6 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="rooftop-")
         spark.conf.set("spark.checkpoint.dir", at)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 

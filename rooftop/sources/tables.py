@@ -15,16 +15,18 @@ B_SCHEMA = {"id": "string", "geometry": "string", "wkt": "string", "height": "do
 NULLS = ["", "NA", "N/A", "nan", "NaN", "null", "NULL", "None"]
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, quoted fields with line ends included, and row_idx: a row's place in the file."""
-    raw = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path)
-    raw = raw.drop(*[c for c in raw.columns if c in ("_c0", "Unnamed: 0", "")])
-    placed = written(raw.withColumns({"__m": F.monotonically_increasing_id(), "__f": F.input_file_name()}), "csv")
-    part, place = F.shiftrightunsigned("__m", 33), F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
-    placed = placed.withColumns({"__p": part, "__i": place})
-    before = F.sum("n").over(Window.orderBy("f", "__p").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file split
-    offsets = placed.groupBy("__p").agg(F.count(F.lit(1)).alias("n"), F.min("__f").alias("f")).select("__p", F.coalesce(before, F.lit(0)).alias("__o"))
-    return placed.join(F.broadcast(offsets), "__p").withColumn("row_idx", F.col("__o") + F.col("__i")).drop("__m", "__f", "__p", "__i", "__o")
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All columns as text, quoted fields with line ends included, and row_idx: a row's place in the files, by name.
+
+    A file whose quoted fields may hold line ends is one task's. Without them (multi_line=False) files are split.
+    """
+    raw = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path)
+    split = {"__f": F.col("_metadata.file_path"), "__b": F.col("_metadata.file_block_start"), "__m": F.monotonically_increasing_id()}
+    placed = written(raw.drop(*[c for c in raw.columns if c in ("_c0", "Unnamed: 0", "")]).withColumns(split), "csv")
+    before = F.sum("n").over(Window.orderBy("__f", "__b").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file split
+    offsets = placed.groupBy("__f", "__b").agg(F.count(F.lit(1)).alias("n"), F.min("__m").alias("__lo")).select("__f", "__b", "__lo", F.coalesce(before, F.lit(0)).alias("__o"))
+    placed = placed.join(F.broadcast(offsets), ["__f", "__b"])
+    return placed.withColumn("row_idx", F.col("__o") + F.col("__m") - F.col("__lo")).drop("__m", "__f", "__b", "__o", "__lo")
 
 
 def ensure_columns(df: DataFrame, schema: dict[str, str]) -> DataFrame:
@@ -45,8 +47,8 @@ def drop_duplicates(df: DataFrame, keys: list[str], order: str = "row_idx") -> D
     return first.select(*[F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in df.columns])
 
 
-def _load(spark: SparkSession, path: str, schema: dict[str, str], geometry: list[str]) -> DataFrame:
-    raw = read_csv(spark, path)
+def _load(spark: SparkSession, path: str, schema: dict[str, str], geometry: list[str], multi_line: bool) -> DataFrame:
+    raw = read_csv(spark, path, multi_line)
     there = [c for c in geometry if c in raw.columns]
     if not there:
         raise KeyError(f"the source must have a column {' or '.join(geometry)}")
@@ -55,18 +57,18 @@ def _load(spark: SparkSession, path: str, schema: dict[str, str], geometry: list
     return df if there[0] == "geometry" else df.withColumn("geometry", F.col(there[0]))
 
 
-def load_a(spark: SparkSession, path: str) -> DataFrame:
+def load_a(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The register: WKT in geometry, areas, floors, addresses."""
-    return _load(spark, path, A_SCHEMA, ["geometry"])
+    return _load(spark, path, A_SCHEMA, ["geometry"], multi_line)
 
 
-def load_b(spark: SparkSession, path: str) -> DataFrame:
+def load_b(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The height survey: WKT in geometry, or else in wkt."""
-    return _load(spark, path, B_SCHEMA, ["geometry", "wkt"])
+    return _load(spark, path, B_SCHEMA, ["geometry", "wkt"], multi_line)
 
 
-def load_sources(spark: SparkSession, path_a: str, path_b: str) -> tuple[DataFrame, DataFrame]:
-    return load_a(spark, path_a), load_b(spark, path_b)
+def load_sources(spark: SparkSession, path_a: str, path_b: str, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    return load_a(spark, path_a, multi_line), load_b(spark, path_b, multi_line)
 
 
 def save_csv(df: DataFrame, path: str) -> None:
