@@ -32,8 +32,6 @@ _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _WORD = re.compile(r"[a-z]+|\d+")
 #: Share of the best container's score that the host's container must reach on a page.
 LEAST = 0.25
-#: Containers of a page that vote.
-VOTES = 3
 
 
 class _Node:
@@ -148,8 +146,8 @@ def _scored(nodes: list[_Node]) -> list[tuple[float, _Node]]:
 
 
 def votes(page: str | None) -> list[tuple[str, int]]:
-    """(path, millionths of the page's vote) of the best containers; paths of copies of a container are one."""
-    best = [x for x in _scored(parse(page or "")[1])[:VOTES] if x[0] > 0]
+    """(path, millionths of the page's vote) of the containers with a score; paths of copies of a container are one."""
+    best = [x for x in _scored(parse(page or "")[1]) if x[0] > 0]
     whole, out = sum(s for s, _ in best), {}
     for s, x in best:
         out[x.path] = out.get(x.path, 0) + round(1e6 * s / whole)
