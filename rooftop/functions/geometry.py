@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
@@ -30,6 +30,14 @@ def parse_wkt(wkt: Column) -> Column:
     return F.when(text.rlike(r"^(MULTI)?POLYGON\s*Z?M?\s*EMPTY$"), empty).when(text.rlike(r"^(MULTI)?POLYGON\s*Z?M?\s*\("), shapes)
 
 
+def shapes_of(df: DataFrame, column: str = "geometry") -> Column:
+    """The polygons of a column of WKT texts, or of polygons already; TypeError for any other type."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind not in ("string", POLYGONS):
+        raise TypeError(f"{column} must hold WKT texts or polygons, not {kind}")
+    return parse_wkt(F.col(column)) if kind == "string" else F.col(column)
+
+
 def write_wkt(shapes: Column) -> Column:
     """POLYGON text for one polygon, MULTIPOLYGON for several, POLYGON EMPTY for none; null for null."""
     number = lambda v: F.when((v == F.floor(v)) & (F.abs(v) < 1e15), F.floor(v).cast("string")).otherwise(v.cast("string"))

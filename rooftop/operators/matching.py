@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rooftop import config
 from rooftop.functions import shapes, text
 from rooftop.functions.values import flag, ratio
 from rooftop.operators import graph, spatial, statistics
+from rooftop.session import written
 
 
 def rectangle(df: DataFrame) -> DataFrame:
@@ -17,6 +18,8 @@ def rectangle(df: DataFrame) -> DataFrame:
     return df.withColumns({**box, "area": F.col("w") * F.col("h"), "cx": F.col("x0") + F.col("w") / 2, "cy": F.col("y0") + F.col("h") / 2})
 
 
+#: Footprints that one task joins at a time.
+UNION_PARTS = 16
 _BOX = ["minx", "miny", "maxx", "maxy"]
 
 
@@ -145,7 +148,13 @@ def component_geometry(components: DataFrame, members: DataFrame, a: DataFrame,
     """Adds column, WKT: the union of a component's survey footprints, or of its register footprints if it has none."""
     of = lambda df, s: df.select(F.lit(s).alias("source"), "row_idx", F.col(column).alias("wkt"))
     parts = members.join(of(a, "A").unionByName(of(b, "B")), ["source", "row_idx"]).where("wkt is not null")
-    lists = parts.groupBy("label").agg(*[F.sort_array(F.collect_list(F.when(F.col("source") == s, F.struct("row_idx", "wkt")))).alias(f"__{s}") for s in "AB"])
-    chosen = F.transform(F.when(F.size("__B") > 0, F.col("__B")).otherwise(F.col("__A")), lambda x: x["wkt"])
-    geometry = F.when(F.size("__g") == 1, F.get("__g", F.lit(0))).otherwise(shapes.union_of("__g"))
-    return components.join(lists.select("label", chosen.alias("__g")), "label", "left").withColumn(column, geometry).drop("__g")
+    chosen = F.max("source").over(Window.partitionBy("label"))  # B where there is one
+    parts = parts.withColumn("__s", chosen).where("source = __s")
+    number = F.row_number().over(Window.partitionBy("label").orderBy("row_idx")) - 1
+    parts, most = parts.select("label", number.alias("n"), "wkt"), UNION_PARTS
+    while True:  # unions of a few, then unions of these: no row holds a whole large component
+        lists = parts.groupBy("label", F.floor(F.col("n") / most).alias("n")).agg(F.sort_array(F.collect_list(F.struct(F.col("n").alias("o"), "wkt"))).alias("g"))
+        texts = F.transform("g", lambda x: x["wkt"])
+        parts = written(lists.select("label", "n", F.when(F.size("g") == 1, F.get(texts, F.lit(0))).otherwise(shapes.union_of(F.when(F.size("g") > 1, texts))).alias("wkt")), "unions")
+        if parts.where("n > 0").isEmpty():
+            return components.join(parts.select("label", F.col("wkt").alias(column)), "label", "left")

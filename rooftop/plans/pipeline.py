@@ -39,7 +39,7 @@ class Result:
 
 def located(df: DataFrame, metric: bool = False) -> DataFrame:
     """Adds geom_wkt in metres, box, area, perimeter and centroid of a WKT geometry; projects once."""
-    shapes = geometry.parse_wkt(F.col("geometry"))
+    shapes = geometry.shapes_of(df)
     df = df.withColumn("__s", shapes if metric else geometry.to_metres(shapes))
     s = F.col("__s")
     area = geometry.area(s)

@@ -194,3 +194,25 @@ def test_coverage_edges_of_rows(spark):
 def test_search_needs_three_letters(spark):
     df = spark.createDataFrame([(i, f"Тёплая улица, {i}") for i in range(9)] + [(9, None)], "row_idx long, address string")
     assert [r.row_idx for r in serving.search(df, "ТЁПЛ").collect()] == [0, 1, 2, 3, 4] and serving.search(df, "тё").count() == 0
+
+
+def test_union_of_a_large_component_by_parts(spark, monkeypatch):
+    monkeypatch.setattr(matching, "UNION_PARTS", 3)
+    square = lambda i: f"POLYGON (({i} 0, {i + 2} 0, {i + 2} 2, {i} 2, {i} 0))"
+    b = spark.createDataFrame([(i, square(i)) for i in range(20)], "row_idx long, geom_wkt string")
+    a = spark.createDataFrame([(i, square(100 * i)) for i in range(3)], "row_idx long, geom_wkt string")
+    members = spark.createDataFrame([("B", i, 0) for i in range(20)] + [("A", 0, 0), ("A", 1, 5), ("A", 2, 9)], "source string, row_idx long, label long")
+    components = spark.createDataFrame([(0, 0), (1, 5), (2, 9), (3, 77)], "component_id long, label long")
+    got = {r.component_id: r.geom_wkt for r in matching.component_geometry(components, members, a, b).collect()}
+    assert shapes.union_area(shapes._polygons(got[0])) == 42.0 and len(shapes._polygons(got[0])) == 1
+    assert (got[1], got[2], got[3]) == (square(100), square(200), None)
+
+
+def test_geometry_columns_hold_texts_or_polygons(spark):
+    from rooftop.functions import geometry
+
+    df = spark.createDataFrame([(1, "POLYGON ((0 0, 2 0, 2 1, 0 1, 0 0))")], "row_idx long, geometry string")
+    made = df.withColumn("geometry", geometry.shapes_of(df))
+    assert made.select(geometry.area(geometry.shapes_of(made)).alias("a")).first().a == 2.0
+    with pytest.raises(TypeError):
+        geometry.shapes_of(df, "row_idx")
