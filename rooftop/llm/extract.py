@@ -155,7 +155,7 @@ def votes(page: str | None) -> list[tuple[str, int]]:
 
 
 def main_text(page: str | None, path: str | None) -> str:
-    """The text of the containers at path; of the page's best one where path is missing or holds little."""
+    """The text of the containers at path; at the page's own best path where that one is missing or holds little."""
     pieces, nodes = parse(page or "")
     ranked = _scored(nodes)
     if not ranked:
@@ -163,7 +163,11 @@ def main_text(page: str | None, path: str | None) -> str:
     best = ranked[0][0]
     at = [x for x in nodes if path is not None and x.path == path and x.text]
     if not at or sum(s for s, x in ranked if x.path == path) < LEAST * best:
-        at = [ranked[0][1]]
+        own: dict[str, float] = {}
+        for s, x in ranked:
+            own[x.path] = own.get(x.path, 0.0) + s
+        best_path = max(own, key=own.__getitem__)
+        at = [x for x in nodes if x.path == best_path and x.text]
     out, end = [], 0
     for a, b in sorted(x.span for x in at):
         out += [*pieces[max(a, end) : b], " "]

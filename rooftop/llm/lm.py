@@ -182,9 +182,12 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, l
         ids = pa.concat_arrays([x.values for x in rows.column("ids")])
         return pa.table([ids, pa.array(n, pa.int64()), pa.array(lone, pa.float64()), pa.array(mean, pa.float64())], ["doc_id", "n_words", "log_score", "mean_log_score"])
 
+    # As many partitions as groups at least, so that what a task reads stays the size of a chunk.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), chunks)
+    docs = docs.repartition(parts, "chunk")
     blocks = docs.groupBy("chunk").applyInArrow(count, _BLOCKS)
-    totals = blocks.groupBy("bucket").applyInArrow(total, _TOTALS)
-    return docs.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, log_score double, mean_log_score double")
+    totals = blocks.repartition(parts, "bucket").groupBy("bucket").applyInArrow(total, _TOTALS)
+    return docs.groupBy("chunk").cogroup(totals.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, log_score double, mean_log_score double")
 
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

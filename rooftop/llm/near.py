@@ -188,10 +188,10 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
-def _alike(a: str, b: str, given: Limits) -> F.Column:
-    """Sizes that a link can have, and sketches near enough."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (100 * F.least(n, m) >= given.percent * F.greatest(n, m)) & (F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))) <= given.most_bits)
+def _alike(given: Limits) -> F.Column:
+    """Whether a member (n, sketch) and its bucket's centre (cn, csketch) have sizes that a link can have and sketches near enough."""
+    n, m = F.col("n"), F.col("cn")
+    return (100 * F.least(n, m) >= given.percent * F.greatest(n, m)) & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("csketch"))) <= given.most_bits)
 
 
 def full_sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -285,10 +285,15 @@ def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     members = common.written(keys.join(shared, "key"), "members")
     degree = members.groupBy("rep").agg(F.sum(F.col("c") - 1).alias("degree"))
     members = common.written(members.join(degree.join(facts, "rep"), "rep"), "members")
-    centre = members.groupBy("key").agg(F.max(F.struct("degree", (-F.col("rep")).alias("r"), "n", "sketch")).alias("x")).select("key", (-F.col("x.r")).alias("centre"), F.col("x.n").alias("n"), F.col("x.sketch").alias("sketch"))
-    # Every member but the centre, which is compared with all of them.
-    others = members.alias("m").join(centre.alias("c"), (F.col("m.key") == F.col("c.key")) & (F.col("m.rep") != F.col("c.centre")))
-    others = common.written(others.select("m.key", "m.rep", "m.n", "m.c", "centre", _alike("m", "c", given).alias("alike")), "others")
+    # Counts and centres are small sums of a bucket, so they collapse before their shuffle; hot buckets' members aren't shuffled.
+    centre = members.groupBy("key").agg(F.first("c").alias("size"), F.max(F.struct("degree", (-F.col("rep")).alias("r"), "n", "sketch")).alias("x"))
+    centre = common.written(centre.select("key", "size", (-F.col("x.r")).alias("centre"), F.col("x.n").alias("cn"), F.col("x.sketch").alias("csketch")), "centres")
+    if centre.count() <= common.BROADCAST_ROWS:
+        others = members.join(F.broadcast(centre), "key")
+    else:
+        others = common.hot_left_join(members, centre, ["key"], "size", members.count())
+    others = others.where("rep <> centre")
+    others = common.written(others.select("key", "rep", "n", "c", "centre", _alike(given).alias("alike")), "others")
     star = common.written(others.where("alike").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct(), "star")
     links = confirmed(docs, reps, star, percent)
     labels = components(links)

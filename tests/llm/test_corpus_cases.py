@@ -215,3 +215,97 @@ def test_repeated_rows_are_spread_over_chunks():
     assert (lm._spread(hashes, 40, 1) == lm._spread(hashes, 40, 1)).all() and not len(lm._spread(hashes[:0], 40, 1))
     assert (lm._spread(hashes[900:], 40, 1) == np.arange(100) % 40).all()
     assert lm.chunk_size(5 * 10**8, lm.CHUNK_BYTES) == lm.CHUNK_BYTES and 200 << 20 < lm.chunk_size(10**14, lm.CHUNK_BYTES) < 300 << 20
+
+
+def test_extraction_of_odd_pages(spark):
+    from rooftop.llm import extract
+
+    long = " ".join(f"word{i}" for i in range(40_000))
+    good = f"<body><nav>menu</nav><article><p>{long}</p></article><div class='comments'>reader says</div></body>"
+    pages = [(1, "http://h.net/a", good), (1, "http://h.net/a", good), (None, "http://h.net/b", good), (2, None, good), (3, "http://h.net/c", None), (4, "", ""), (5, "http://h.net/d", "<article>tie</article><article>tie</article>")]
+    got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in extract.extract(spark.createDataFrame([(*p, 7) for p in pages], "page_id long, url string, html string, n_chars int")).collect()), key=lambda x: repr(x[:3]))
+    want = [(i, u, long if h == good else "tie tie" if h and "tie" in h else "") for i, u, h in pages]
+    assert [x[:3] for x in got] == sorted(want, key=repr)
+    assert all(n == len(t) for *_, t, n in got)
+
+
+def test_mix_of_repeated_null_and_empty_rows(spark):
+    from rooftop.llm import mix
+
+    text = lambda n, s: " ".join(f"{s}{i}" for i in range(n))
+    rows = [(1, text(40, "a"), "x"), (1, text(40, "a"), "x"), (1, text(9, "b"), "x"), (None, text(30, "c"), None), (None, text(30, "c"), None), (2, None, "y"), (3, " \n", "y"), (4, text(700, "d"), "z"), (5, text(5, "é"), "é")]
+    docs = spark.createDataFrame([(i, t, None, s, len(t or ""), "clash") for i, t, s in rows], DOCS).repartition(4)
+    planned, _ = mix.mixed(docs, block=8)
+    got = planned.collect()
+    assert collections.Counter((r.doc_id, r.source, r.size) for r in got) == collections.Counter((i, s, len((t or "").split())) for i, t, s in rows)
+    taken = collections.Counter()
+    for r in got:
+        taken[r.source] += r.taken
+        assert 0 <= r.taken <= 3 * r.size
+    assert all(abs(taken[r.source] - r.target) <= 1 for r in got)
+    planned, _ = mix.mixed(docs)
+    want = collections.Counter()
+    for r in planned.collect():
+        want[r.doc_id, r.source, r.content] += r.taken
+    made, digests = collections.Counter(), {(i, s, t): b"" if t is None else hashlib.md5(t.encode()).digest() for i, t, s in rows}
+    out = mix.stage_mix(spark, docs, "")
+    assert out.columns == docs.columns
+    for r in out.collect():
+        whole = next((t for i, t, s in rows if i == r.doc_id and s == r.source and (t or "").startswith(r.text[:2]) and r.text.split()[0] in t.split()), None)
+        assert r.text == whole or " ".join(whole.split()).find(r.text.split()[0]) >= 0
+        made[r.doc_id, r.source, digests[r.doc_id, r.source, whole]] += len(r.text.split())
+    assert made == collections.Counter({k: n for k, n in want.items() if n})
+    assert mix.stage_mix(spark, docs.limit(0), "").count() == 0
+
+
+def test_whole_pipeline_equals_its_parts_by_brute_force(spark, tmp_path):
+    import base64
+
+    import corpus_pipeline
+    import public_tokenizers
+    import pyarrow as pa
+    import tiktoken
+
+    from rooftop.llm import mix
+
+    rnd = random.Random(12)
+    make = lambda parts, n: " ".join("".join(rnd.choice(parts) for _ in range(3)) for _ in range(n))
+    kinds = {"aa": ["the", "ing", "er", "on"], "bb": ["sch", "ung", "ein", "ü"]}
+    rows = []
+    for i in range(150):
+        lang = rnd.choice([*kinds])
+        t = make(kinds[lang], rnd.randint(8, 60))
+        rows.append((i, t, lang, f"s{i % 3}"))
+        if i % 5 == 0:
+            rows.append((1000 + i, "  " + t.replace(" ", "\n", 2), None, "s1"))
+        if i % 4 == 0:
+            w = t.split()
+            w[rnd.randrange(len(w))] = "x"
+            rows.append((2000 + i, " ".join([*w, *w]) if i % 8 else " ".join(w), None, None))
+    rows += [rows[0], (7, None, None, "s0"), (8, "", "aa", "s0"), (None, rows[3][1], None, "s2")]
+    spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = langid.fit(docs)
+    kept = []
+    for i, t, _, s in rows:
+        (lang,), (score,) = model.predict(pa.array([t], "string"))
+        if lang != "und" and score >= model.least:
+            kept.append((i, t, s))
+    def only(rows_, pairs):
+        out, left = [], collections.Counter(pairs)
+        for r in rows_:
+            if left[r[:2]]:
+                left[r[:2]] -= 1
+                out.append(r)
+        return out
+    kept = only(kept, exact_stage([r[:2] for r in kept]))
+    kept = only(kept, near_stage([r[:2] for r in kept]))
+    assert 100 < len(kept) < len(rows) - 30
+    frame_ = spark.createDataFrame([(i, t, None, s, len(t)) for i, t, s in kept], "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = [(r.doc_id, r.text) for r in mix.stage_mix(spark, frame_, "").collect()]
+    content = open(public_tokenizers.path(bpe.RANKS), "rb").read()
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}, special_tokens={})
+    want = collections.Counter((i, len(ids := library.encode_ordinary(t)), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, t in mixed)
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == want
