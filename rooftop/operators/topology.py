@@ -15,9 +15,12 @@ def diagnostics(df: DataFrame, column: str = "geometry", metric: bool = False) -
 
     metric: coordinates are metres; otherwise degrees.
     """
-    df = df.select("row_idx", F.col(column).alias("__w")).withColumn("__d", shapes.diagnose("__w")).withColumn("__s", geometry.parse_wkt(F.col("__w")))
-    area = geometry.area(F.col("__s") if metric else geometry.to_metres(F.col("__s")))
-    df = df.select("row_idx", F.col("__w").isNull().alias("is_missing"), "__d.is_empty", "__d.is_valid", "__d.valid_reason", "__d.geom_type", area.alias("area_m2"), geometry.wrong_orientation(F.col("__s")).alias("wrong_ring_orientation"))
+    df = df.select("row_idx", F.col(column).alias("__w")).withColumn("__d", shapes.diagnose("__w"))
+    df = df.withColumn("__s", F.coalesce(geometry.parse_wkt(F.col("__w")), geometry.parse_wkt(F.col("__d.inner"))))
+    flat = F.col("__s").isNull() & F.col("__d.geom_type").isNotNull()  # points and lines
+    area = F.when(flat, F.lit(0.0)).otherwise(geometry.area(F.col("__s") if metric else geometry.to_metres(F.col("__s"))))
+    report = ["is_empty", "is_valid", "valid_reason", "geom_type"]
+    df = df.select("row_idx", F.col("__w").isNull().alias("is_missing"), *[f"__d.{c}" for c in report], area.alias("area_m2"), geometry.wrong_orientation(F.col("__s")).alias("wrong_ring_orientation"))
     df = df.withColumn("zero_area", ~F.col("is_empty") & flag(F.col("area_m2") <= 1e-9))
     return df.withColumn("needs_attention", F.col("is_missing") | F.col("is_empty") | ~F.col("is_valid") | F.col("zero_area"))
 

@@ -12,7 +12,7 @@ from rooftop import config
 from rooftop.functions import geometry
 from rooftop.operators import cleaning, heights, learning, matching, risk, serving, topology
 from rooftop.session import written
-from rooftop.sources import geojson, tables
+from rooftop.sources import geojson, tables, vector_tiles
 
 
 @dataclass
@@ -99,6 +99,7 @@ def arguments() -> argparse.ArgumentParser:
     p.add_argument("--path-b", required=True)
     p.add_argument("--processed-dir", required=True)
     p.add_argument("--disable-ml", action="store_true")
+    p.add_argument("--tiles-dir", help="write the map layer as vector tiles there")
     return p
 
 
@@ -108,6 +109,8 @@ def main(argv: list[str] | None = None) -> None:
     result = run(spark, args.path_a, args.path_b, enable_ml=not args.disable_ml)
     cleaning.summary(result.a_prepared, result.b_prepared).show(50, False)
     save(result, args.processed_dir)
+    if args.tiles_dir:
+        vector_tiles.save_vector_tiles(result.frontend, args.tiles_dir)
 
 
 if __name__ == "__main__":

@@ -12,6 +12,7 @@ from rooftop.operators import cleaning, heights, learning, matching, risk, servi
 from rooftop.plans.fixtures import BLD_A, BLD_B, buildings, table, with_wkt
 from rooftop.session import scratch_path, written
 from rooftop.sources import geojson, tables
+from rooftop.sources import vector_tiles as mvt
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -491,6 +492,9 @@ _SHAPES = {  # kind: (text, is_valid, reason, type, area as it is, wrong orienta
     4: ("'POLYGON EMPTY'", "true", "'Valid Geometry'", "'Polygon'", "0", "false", "0"),
     5: ("null", "false", "null", "null", "null", "false", "null"),
     6: ("'MULTIPOLYGON (((x0 y0, x1 y0, x1 y1, x0 y0)), ((x0 y0, x1 y1, x0 y1, x0 y0)))'", "false", "'Self-intersection'", "'MultiPolygon'", "s*s", "false", "s*s"),
+    7: ("'GEOMETRYCOLLECTION (POINT (x0 y0), LINESTRING (x0 y0, x1 y1), POLYGON ((x0 y0, x1 y0, x1 y1, x0 y1, x0 y0)), MULTIPOLYGON (((xa ya, xb ya, xb yb, xa ya))))'", "true", "'Valid Geometry'", "'GeometryCollection'", "s*s + s*s/32", "false", "s*s"),
+    8: ("'LINESTRING (x0 y0, x1 y1, x1 y0)'", "true", "'Valid Geometry'", "'LineString'", "0", "false", "null"),
+    9: ("'GEOMETRYCOLLECTION (POINT (x1 y1), MULTIPOLYGON (((x0 y0, xa y0, xa ya, x0 y0)), ((xb yb, x1 yb, x1 y1, xb yb))))'", "true", "'Valid Geometry'", "'GeometryCollection'", "s*s/32 + s*s/8", "false", "s*s/32 + s*s/8"),
 }
 _CORNERS = {"x0": "x", "y0": "y", "x1": "x + s", "y1": "y + s", "xa": "x + s/4", "ya": "y + s/4", "xb": "x + s/2", "yb": "y + s/2"}
 
@@ -506,7 +510,7 @@ def _of_kind(i: int) -> str:
 
 
 BROKEN = f"""broken as (select *, {_with_corners(_of_kind(0))} as geometry from
- (select cast(p_partkey as bigint) as row_idx, p_partkey % 7 as kind, 1000e0 + p_partkey*40 as x, 2000e0 + (p_partkey % 31)*40 as y, 4e0*(1 + p_size % 5) as s from part) p)"""
+ (select cast(p_partkey as bigint) as row_idx, p_partkey % 10 as kind, 1000e0 + p_partkey*40 as x, 2000e0 + (p_partkey % 31)*40 as y, 4e0*(1 + p_size % 5) as s from part) p)"""
 
 
 def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -521,7 +525,7 @@ def geometry_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("row_idx", "is_missing", "is_empty", "is_valid", "valid_reason", "geom_type", known.alias("zero_area_"), F.when(F.col("kind") == 3, F.lit(False)).otherwise(F.col("wrong_ring_orientation")).alias("wrong_ring_orientation"))
 
 
-@query(f"with {BROKEN} select row_idx, geometry as geometry_original, kind <> 5 as is_valid, round({_of_kind(6)}, 6) as area, false as wrong_ring_orientation from broken")
+@query(f"with {BROKEN} select row_idx, geometry as geometry_original, kind not in (5, 8) as is_valid, round({_of_kind(6)}, 6) as area, false as wrong_ring_orientation from broken")
 def repair_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed, _, after = topology.run(_broken(spark, sf_dir).select("row_idx", "geometry"), metric=True)
     fixed = fixed.select("row_idx", "geometry_original", F.round(geometry.area(geometry.parse_wkt(F.col("geometry"))), 6).alias("area"))
@@ -692,6 +696,47 @@ _POINT = "concat('[', cast({x} as double), ',', cast({y} as double), ']')"
 _RING = [_POINT.format(x=x, y=y) for x, y in (("x0", "y0"), ("x0 + w", "y0"), ("x0 + w", "y0 + h"), ("x0", "y0 + h"))]
 
 
+#: Zoom of the tile that is read back.
+_ZOOM = 13
+
+
+@query(f"with g as ({_LONLAT}), z as (select row_idx, cast(floor((lon + 180)/360*pow(2, {_ZOOM})) as int) as x, cast(floor((0.5 - ln((1 + sin(radians(lat)))/(1 - sin(radians(lat))))/(4*pi()))*pow(2, {_ZOOM})) as int) as y from g), one as (select x, y from z order by x, y limit 1) select row_idx, {_ZOOM} as z, z.x, z.y from z join one on z.x = one.x and z.y = one.y")
+def tile_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are written by tile; one tile, the first that has any, is read back."""
+    path = scratch_path(spark, "tiles")
+    df = spark.sql(_LONLAT.replace("from part", "from {part}"), part=table(spark, sf_dir, "part"))
+    geojson.save_tiles(df, path)
+    x, y = spark.read.parquet(path).where(F.col("z") == _ZOOM).agg(F.min(F.struct("x", "y")).alias("t")).first().t
+    return geojson.read_tile(spark, path, _ZOOM, x, y).select("row_idx", "z", "x", "y")
+
+
+_BOXES = f"select row_idx, lon, lat, lon + 0.002e0 as lon1, lat + 0.001e0 as lat1, case when row_idx % 5 = 0 then null else row_idx*0.5e0 end as height from ({_LONLAT}) p"
+
+
+def _tile_sql(lon: str, lat: str) -> tuple[str, str]:
+    return f"cast(floor(({lon} + 180)/360*pow(2, z)) as bigint)", f"cast(floor((0.5 - ln((1 + sin(radians({lat})))/(1 - sin(radians({lat}))))/(4*pi()))*pow(2, z)) as bigint)"
+
+
+(_X0, _Y1), (_X1, _Y0) = _tile_sql("lon", "lat"), _tile_sql("lon1", "lat1")
+
+
+@query(f"""with g as ({_BOXES}), z as (select *, unnest([12, 14]) as z from g), x as (select *, unnest(range({_X0}, {_X1} + 1)) as x from z), y as (select *, unnest(range({_Y0}, {_Y1} + 1)) as y from x)
+ select z, x::int as x, y::int as y, count(*) as features, sum(row_idx)::bigint as ids, round(coalesce(sum(height), 0), 6) as heights from y group by z, x, y""")
+def vector_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles are encoded, then decoded again: what is counted comes from their bytes."""
+    df = spark.sql(_BOXES.replace("from part", "from {part}"), part=table(spark, sf_dir, "part"))
+    corner = lambda x, y: F.concat_ws(" ", F.col(x).cast("string"), F.col(y).cast("string"))
+    ring = F.array_join(F.array(corner("lon", "lat"), corner("lon1", "lat"), corner("lon1", "lat1"), corner("lon", "lat1"), corner("lon", "lat")), ", ")
+    layer = df.select("row_idx", "height", F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("geometry"))
+
+    def read(batches):
+        for tiles in batches:
+            found = [[p for p, _ in mvt.decode(t)] for t in tiles["tile"]]
+            yield tiles[["z", "x", "y"]].assign(features=[len(f) for f in found], ids=[sum(p["row_idx"] for p in f) for f in found], heights=[round(sum(p.get("height", 0.0) for p in f), 6) for f in found])
+
+    return mvt.vector_tiles(layer, range(12, 15, 2)).mapInPandas(read, "z int, x int, y int, features long, ids long, heights double")
+
+
 @query(f"""{FIX} select concat('{{"type":"Feature","properties":{{"row_idx":', row_idx, ',"height":', coalesce(cast(height as varchar), 'null'), ',"district":', coalesce('"' || district || '"', 'null'),
  '}},"geometry":{{"type":"Polygon","coordinates":[[', array_to_string(case when row_idx % 4 = 0 then [{_RING[0]}, {_RING[3]}, {_RING[2]}, {_RING[1]}, {_RING[0]}] else [{", ".join([*_RING, _RING[0]])}] end, ','), ']]}}}}') as feature from bld_b""")
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -216,3 +216,27 @@ def test_geometry_columns_hold_texts_or_polygons(spark):
     assert made.select(geometry.area(geometry.shapes_of(made)).alias("a")).first().a == 2.0
     with pytest.raises(TypeError):
         geometry.shapes_of(df, "row_idx")
+
+
+def test_vector_tiles_round_trip(spark, tmp_path):
+    from rooftop.functions.shapes import ring_area
+    from rooftop.sources import vector_tiles as mvt
+
+    whole = [[[(-100, -100), (5000, -100), (5000, 5000), (-100, 5000), (-100, -100)], [(10, 10), (10, 50), (50, 50), (50, 10), (10, 10)]]]
+    assert mvt._clipped([p for p in whole[0][0][:-1]], -64, 4160) and {abs(v) for p in mvt._clipped(whole[0][0][:-1], -64, 4160) for v in p} == {64, 4160}
+    made = [({"a": 1, "b": "é", "c": 2.5, "d": True, "e": None, "f": -7}, [[[(0, 0), (10, 0), (10, 10), (0, 10)], [(2, 2), (2, 4), (4, 4), (4, 2)]], [[(20, 20), (30, 20), (30, 40)]]]), ({"a": 1}, [[[(-64, 5), (9, 5), (9, 9)]]])]
+    got = mvt.decode(mvt.encode(made))
+    assert got == [({k: v for k, v in p.items() if v is not None}, [r for q in g for r in q]) for p, g in made]
+    layer = spark.createDataFrame(
+        [(1, 0.5, "POLYGON ((30.30 59.90, 30.32 59.90, 30.32 59.91, 30.30 59.91, 30.30 59.90), (30.305 59.902, 30.31 59.902, 30.31 59.905, 30.305 59.905, 30.305 59.902))"), (2, None, "MULTIPOLYGON (((30.4 59.9, 30.41 59.9, 30.41 59.91, 30.4 59.9)), ((30.5 59.9, 30.51 59.9, 30.51 59.91, 30.5 59.9)))"), (3, 1.0, None), (4, 1.0, "POLYGON EMPTY"), (5, 1.0, "POLYGON ((30.3 59.9, 30.3000001 59.9, 30.3 59.9000001, 30.3 59.9))")],
+        "component_id long, score double, geometry string",
+    )
+    mvt.save_vector_tiles(layer, f"{tmp_path}/tiles", range(10, 13))
+    tiles = spark.read.parquet(f"{tmp_path}/tiles").collect()
+    assert {r.z for r in tiles} == {10, 11, 12} and {p["component_id"] for r in tiles for p, _ in mvt.decode(bytes(r.tile))} == {1, 2}
+    for r in tiles:
+        for p, rings in mvt.decode(bytes(r.tile)):
+            assert all(-64 <= v <= 4160 for ring in rings for q in ring for v in q) and ring_area([*rings[0], rings[0][0]]) > 0
+            assert ("score" in p) == (p["component_id"] == 1)
+    one = next(r for r in tiles if r.z == 11)
+    assert mvt.read_vector_tile(spark, f"{tmp_path}/tiles", 11, one.x, one.y) == bytes(one.tile) and mvt.read_vector_tile(spark, f"{tmp_path}/tiles", 11, 0, 0) is None
