@@ -31,7 +31,11 @@ LETTER, NUMBER, SPACE = 1, 2, 3
 @lru_cache(maxsize=1)
 def _kinds() -> np.ndarray:
     """Of each code point: letter, number, white space or other."""
-    kinds = np.fromiter(({"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(c))[0], 0) for c in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
+    kinds = np.fromiter(
+        ({"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(c))[0], 0) for c in range(sys.maxunicode + 1)),
+        np.uint8,
+        sys.maxunicode + 1,
+    )
     kinds[SPACES] = SPACE
     return kinds
 
@@ -193,7 +197,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             ids = [[int(i) for i in e.split()] for group in _grouped(_texts(batch)) for e in codec.encode(group)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(common.tidy(run), "doc_id long, ids array<int>")
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).alias("text"),
+    ).mapInArrow(common.tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -222,9 +229,15 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                     counts.append(ids.count(b" ") + 1 if ids else 0)
                     coded.append(hashlib.sha256(ids).hexdigest())
                     decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(common.tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        common.tidy(run),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,10 +84,17 @@ def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", te
     id and content one stays. Ids may be null or repeat: the decision is by row. Only what changes something is
     joined: the list is broadcast if its count allows, else texts are shuffled once.
     """
-    listed = decided.groupBy(F.col("doc_id").alias("__id"), F.col("content").alias("__content")).agg(F.max("kept").alias("__kept"), (F.count(F.lit(1)) > 1).alias("__many"))
+    listed = decided.groupBy(F.col("doc_id").alias("__id"), F.col("content").alias("__content")).agg(
+        F.max("kept").alias("__kept"),
+        (F.count(F.lit(1)) > 1).alias("__many"),
+    )
     listed = written(listed.where(~F.col("__kept") | F.col("__many")), "decided")
     side = F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(id_col).cast("long").alias("__key"), content(text_col).alias("__body"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+        F.col(id_col).cast("long").alias("__key"),
+        content(text_col).alias("__body"),
+    )
     rows = rows.join(side, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__body") == F.col("__content")), "left")
     many = listed.where(F.col("__kept")).limit(1).count()
     alone = rows.where(F.col("__kept").isNull())

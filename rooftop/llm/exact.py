@@ -15,7 +15,12 @@ def normalised(text: str = "text"):
 def _decided(docs: DataFrame, id_col: str, text_col: str, digest: Column) -> DataFrame:
     """doc_id, n, body, sha of every row, and size, keep and body_kept of its group if it has more rows than one."""
     norm = normalised(text_col)
-    hashed = docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n"), digest.alias("body"))
+    hashed = docs.select(
+        F.col(id_col).alias("doc_id"),
+        norm.alias("norm"),
+        F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n"),
+        digest.alias("body"),
+    )
     hashed = hashed.withColumn("h", F.unhex(F.md5("norm")))
     rows = common.written(hashed.select("doc_id", "n", "body", "h", F.unhex(F.sha2("norm", 256)).alias("sha")), "exact")
     total = rows.count()
@@ -23,7 +28,13 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, digest: Column) -> Dat
     side = F.broadcast(repeated) if repeated.count() <= common.BROADCAST_ROWS else repeated
     best = F.min(F.struct((-F.col("n")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id", "body"))
     classes = hashed.join(side, "h", "left_semi").groupBy("h", "norm").agg(F.count(F.lit(1)).alias("size"), best.alias("best"))
-    classes = classes.select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "size", F.col("best.doc_id").alias("keep"), F.col("best.body").alias("body_kept"))
+    classes = classes.select(
+        "h",
+        F.unhex(F.sha2("norm", 256)).alias("sha"),
+        "size",
+        F.col("best.doc_id").alias("keep"),
+        F.col("best.body").alias("body_kept"),
+    )
     return common.hot_left_join(rows, common.written(classes, "classes"), ["h", "sha"], "size", total)
 
 

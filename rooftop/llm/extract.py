@@ -16,15 +16,36 @@ from rooftop.llm.urls import host_and_path
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-DROPPED = frozenset("head nav header footer aside form button select option dialog menu svg math canvas object audio video map label fieldset".split()) | RAW
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+DROPPED = frozenset(
+    "head nav header footer aside form button select option dialog menu svg math canvas object audio video map label fieldset".split()
+) | RAW
+INLINE = frozenset(
+        "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub "
+        "sup time tt u var wbr".split()
+)
 CONTAINERS = frozenset("article main section div td body blockquote".split())
-CLOSES_P = frozenset("address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
+CLOSES_P = frozenset(
+        "address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
+        "h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
+)
 #: An element that opens ends an open element of these names, up to the nearest list or table.
-SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+SIBLINGS = {
+    "li": {"li"},
+    "dt": {"dt", "dd"},
+    "dd": {"dt", "dd"},
+    "tr": {"tr", "td", "th"},
+    "td": {"td", "th"},
+    "th": {"td", "th"},
+    "option": {"option"},
+}
 BARRIERS = frozenset("ul ol dl table body article section main div".split())
 #: Words of class and id, and roles, that mark what isn't the article.
-NOISE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side nav navbar navigation menu breadcrumb breadcrumbs header masthead footer foot comment comments reply replies respond disqus notice notices alert cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget pagination pager toolbar skip search tags".split())
+NOISE = frozenset(
+        "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side nav navbar "
+        "navigation menu breadcrumb breadcrumbs header masthead footer foot comment comments reply replies respond disqus notice "
+        "notices alert cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing "
+        "social related recommended widget pagination pager toolbar skip search tags".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.S)
@@ -187,14 +208,23 @@ def extract(pages: DataFrame) -> DataFrame:
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(h, *v) for h, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for v in votes(page.as_py())]
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["host", "path", "vote"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in found], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))],
+                ["host", "path", "vote"],
+            )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(page.as_py(), path) for page, path in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-    counted = pages.select("host", "html").mapInArrow(common.tidy(vote), "host string, path string, vote long").groupBy("host", "path").agg(F.sum("vote").alias("vote"), F.count(F.lit(1)).alias("pages"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
+                ["page_id", "url", "text", "n_chars"],
+            )
+
+    counted = pages.select("host", "html").mapInArrow(common.tidy(vote), "host string, path string, vote long").groupBy("host", "path").agg(
+        F.sum("vote").alias("vote"),
+        F.count(F.lit(1)).alias("pages"),
+    )
     winners = counted.groupBy("host").agg(F.max(F.struct("vote", "path")).alias("best"), F.sum("pages").alias("pages"))
     winners = common.written(winners.select("host", F.col("best.path").alias("path"), "pages"), "winners")
     total = winners.agg(F.count(F.lit(1)).alias("hosts"), F.coalesce(F.sum("pages"), F.lit(0)).alias("pages")).first()
@@ -202,7 +232,10 @@ def extract(pages: DataFrame) -> DataFrame:
         joined = pages.join(F.broadcast(winners), "host", "left")
     else:
         joined = common.hot_left_join(pages, winners, ["host"], "pages", total.pages)
-    return joined.select(F.col("page_id").cast("long"), "url", "html", "path").mapInArrow(common.tidy(read), "page_id long, url string, text string, n_chars long")
+    return joined.select(F.col("page_id").cast("long"), "url", "html", "path").mapInArrow(
+        common.tidy(read),
+        "page_id long, url string, text string, n_chars long",
+    )
 
 
 def op7_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,7 +176,9 @@ def remainder(id_col: str = "doc_id") -> Column:
 
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Trains on a sample of labelled rows: by hash of the id, about rows of each language, from ids whose remainder isn't 0."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & (remainder(id_col) != 0)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    known = docs.where(
+        F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & (remainder(id_col) != 0)
+    ).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return train([], [])
@@ -202,10 +204,16 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         m = shared.value
         for batch in batches:
             langs, scores = m.predict(batch.column(at))
-            extra = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array([lang != UNKNOWN and s >= m.least for lang, s in zip(langs, scores, strict=True)], pa.bool_())]
+            extra = [
+                pa.array(langs, pa.string()),
+                pa.array(scores, pa.float64()),
+                pa.array([lang != UNKNOWN and s >= m.least for lang, s in zip(langs, scores, strict=True)], pa.bool_()),
+            ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*names, "lang_pred", "score", "accepted"])
 
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("accepted", BooleanType())])
+    schema = StructType(
+        [*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("accepted", BooleanType())]
+    )
     return docs.mapInArrow(common.tidy(run), schema)
 
 

@@ -117,7 +117,15 @@ def _bits(chunks: int) -> int:
     return max(3, (chunks - 1).bit_length())
 
 
-def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, chunk_bytes: int = CHUNK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(
+    docs: DataFrame,
+    order: int = ORDER,
+    alpha: float = ALPHA,
+    least: int = LEAST,
+    chunk_bytes: int = CHUNK_BYTES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """doc_id, n_words, log_score (sum of the natural logs of the words' scores), mean_log_score of every document.
 
     Counts cover all documents. A word's score is count / count of its context for the longest n-gram that occurs
@@ -127,7 +135,10 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, l
     columns are ignored; an empty table gives no rows. A worker holds a chunk's words, some 8 bytes a byte of text.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sums = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)).alias("size"), F.coalesce(F.sum(n_words(F.col("text"))), F.lit(0)).alias("words")).first()
+    sums = docs.agg(
+        F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)).alias("size"),
+        F.coalesce(F.sum(n_words(F.col("text"))), F.lit(0)).alias("words"),
+    ).first()
     chunks, words = max(1, -(-int(sums.size) // chunk_size(int(sums.size), chunk_bytes))), int(sums.words)
     bits = _bits(chunks)
     docs = docs.select(F.xxhash64("doc_id", "text").alias("hash"), "doc_id", "text")
@@ -139,7 +150,15 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, l
         for n, keys in enumerate(ngrams(_texts(rows), order)[0], 1):
             distinct, counts = np.unique(keys[n - 1 :] if n > 1 else keys, return_counts=True)
             edges = np.searchsorted(distinct, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist() + [len(distinct)]
-            out += [(b, n, chunk, pack_sorted(distinct[i:j]), pack(counts[i:j].astype(np.uint32))) for b, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i]
+            out += [
+                (
+                    b,
+                    n,
+                    chunk,
+                    pack_sorted(distinct[i:j]),
+                    pack(counts[i:j].astype(np.uint32)),
+                ) for b, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i
+            ]
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], ["bucket", "ngram", "chunk", "keys", "counts"])
 
@@ -180,14 +199,20 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, l
         lone = [float(logs[a:b].sum()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         mean = [s / k if k else None for s, k in zip(lone, n.tolist(), strict=True)]
         ids = pa.concat_arrays([x.values for x in rows.column("ids")])
-        return pa.table([ids, pa.array(n, pa.int64()), pa.array(lone, pa.float64()), pa.array(mean, pa.float64())], ["doc_id", "n_words", "log_score", "mean_log_score"])
+        return pa.table(
+            [ids, pa.array(n, pa.int64()), pa.array(lone, pa.float64()), pa.array(mean, pa.float64())],
+            ["doc_id", "n_words", "log_score", "mean_log_score"],
+        )
 
     # As many partitions as groups at least, so that what a task reads stays the size of a chunk.
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), chunks)
     docs = docs.repartition(parts, "chunk")
     blocks = docs.groupBy("chunk").applyInArrow(count, _BLOCKS)
     totals = blocks.repartition(parts, "bucket").groupBy("bucket").applyInArrow(total, _TOTALS)
-    return docs.groupBy("chunk").cogroup(totals.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(score, "doc_id long, n_words long, log_score double, mean_log_score double")
+    return docs.groupBy("chunk").cogroup(totals.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(
+        score,
+        "doc_id long, n_words long, log_score double, mean_log_score double",
+    )
 
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

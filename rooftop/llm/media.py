@@ -108,7 +108,9 @@ class _Shards:
             self.out = None
 
 
-_ROWS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("digest", pa.string()), ("shard", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+_ROWS = pa.schema(
+    [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("digest", pa.string()), ("shard", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
+)
 _META = [("media_type", pa.string()), ("width", pa.int64()), ("height", pa.int64()), ("bits", pa.int64())]
 _ROWS_DDL = "doc_id long, n_bytes long, digest string, shard string, offset long, length long"
 
@@ -125,7 +127,10 @@ def _write(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                 raise ValueError(f"payload of {i} differs from its digest")
             media = to_png(payload)
             out.append((i, len(body), digest, *shards.put(digest, media), len(media)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, _ROWS.types, strict=True)], schema=_ROWS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, _ROWS.types, strict=True)],
+            schema=_ROWS,
+        )
     shards.close()
 
 
@@ -153,8 +158,17 @@ def store(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str = "t
     alone = rows.join(side(repeated.select("digest")), "digest", "left_anti").select("doc_id", "digest", "body")
     alone = common.written(alone.mapInArrow(write, _ROWS_DDL), "media")
     ours = side(repeated.select(F.col("digest").alias("__digest"), F.col("first").alias("__first")))
-    once = rows.join(ours, (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__first"))).select("doc_id", "digest", "body").dropDuplicates(["digest"])
-    members = common.written(once.mapInArrow(write, _ROWS_DDL), "media").join(repeated.select("digest", "rows"), "digest").select("digest", "shard", "offset", "length", "rows")
+    once = rows.join(
+        ours,
+        (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__first")),
+    ).select("doc_id", "digest", "body").dropDuplicates(["digest"])
+    members = common.written(once.mapInArrow(write, _ROWS_DDL), "media").join(repeated.select("digest", "rows"), "digest").select(
+        "digest",
+        "shard",
+        "offset",
+        "length",
+        "rows",
+    )
     many = known.join(side(repeated.select("digest")), "digest", "left_semi")
     many = common.hot_left_join(many, members, ["digest"], "rows", known.count())
     return alone.unionByName(many.select(*_ROWS.names))
@@ -166,7 +180,9 @@ def metadata(rows: DataFrame, root: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _Files(root)
         for batch in batches:
-            heads = [png_header(files.read(s, o, 33)) for s, o in zip(batch.column("shard").to_pylist(), batch.column("offset").to_pylist(), strict=True)]
+            heads = [
+                png_header(files.read(s, o, 33)) for s, o in zip(batch.column("shard").to_pylist(), batch.column("offset").to_pylist(), strict=True)
+            ]
             extra = [pa.array(["image/png"] * len(heads), pa.string()), *[pa.array([h[i] for h in heads], pa.int64()) for i in range(3)]]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], schema=pa.schema([*_ROWS, *_META]))
         files.close()
@@ -193,8 +209,21 @@ class _Files:
         self.name, self.file = "", None
 
 
-_OUT = pa.schema([*[(n, pa.int64()) for n in ("doc_id", "n_bytes", "payload_bytes")], ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), *_META])
-_OUT_DDL = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, media_type string, width long, height long, bits long"
+_OUT = pa.schema(
+    [
+        *[(n, pa.int64()) for n in ("doc_id", "n_bytes", "payload_bytes")],
+        ("payload_sha256", pa.string()),
+        ("tail_crc32", pa.int64()),
+        ("media_bytes", pa.int64()),
+        ("media_sha256", pa.string()),
+        ("feature", pa.string()),
+        *_META,
+    ]
+)
+_OUT_DDL = (
+    "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
+    "feature string, media_type string, width long, height long, bits long"
+)
 #: Members whose results a task keeps, the last that it used: copies in a task are mostly decoded once.
 KEPT = 1000
 
@@ -214,8 +243,18 @@ def features(rows: DataFrame, root: str) -> DataFrame:
             return len(payload), digest, zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(payload)
 
         for batch in batches:
-            out = [(r["doc_id"], r["n_bytes"], *decoded(r["shard"], r["offset"], r["length"], r["digest"]), *[r[n] for n, _ in _META]) for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * len(_OUT), _OUT.types, strict=True)], schema=_OUT)
+            out = [
+                (
+                    r["doc_id"],
+                    r["n_bytes"],
+                    *decoded(r["shard"], r["offset"], r["length"], r["digest"]),
+                    *[r[n] for n, _ in _META],
+                ) for r in batch.to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * len(_OUT), _OUT.types, strict=True)],
+                schema=_OUT,
+            )
         files.close()
 
     return rows.mapInArrow(common.tidy(read), _OUT_DDL)

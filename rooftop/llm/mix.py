@@ -34,7 +34,12 @@ def with_targets(sources: DataFrame, most: int = MOST) -> DataFrame:
     size, weight, per, full = F.col("size"), F.col("weight"), 0.0, -1
     while True:
         over = F.lit(per) * weight > most * size
-        now = sources.agg(F.count_if(over).alias("full"), F.sum("size").alias("whole"), F.sum(F.when(over, most * size).otherwise(0)).alias("taken"), F.sum(F.when(~over, weight).otherwise(0)).alias("left")).first()
+        now = sources.agg(
+            F.count_if(over).alias("full"),
+            F.sum("size").alias("whole"),
+            F.sum(F.when(over, most * size).otherwise(0)).alias("taken"),
+            F.sum(F.when(~over, weight).otherwise(0)).alias("left"),
+        ).first()
         if now.full == full or not now.left:
             return sources.withColumn("target", F.when(over, most * size).otherwise(F.lit(per) * weight).cast("double"))
         per, full = float(now.whole - now.taken) / now.left, now.full
@@ -90,7 +95,10 @@ def shard_draws(slots: int, shards: int, source) -> list[int]:
     return np.random.default_rng(seed).multinomial(slots, [1 / shards] * shards).tolist()
 
 
-_FACTS = "none boolean, source string, source_size long, n long, target double, passes int, slots long, cut int, blocks long, a long, b long, draws array<long>"
+_FACTS = (
+    "none boolean, source string, source_size long, n long, target double, passes int, slots long, cut int, blocks long, a long, b "
+    "long, draws array<long>"
+)
 
 
 def planned(rows: DataFrame, weights: dict | None, block: int) -> DataFrame:
@@ -99,13 +107,27 @@ def planned(rows: DataFrame, weights: dict | None, block: int) -> DataFrame:
     if weights is None:
         sources = common.placed(sources, ["none", "source"], "place").withColumn("weight", 1 + F.col("place") % 3)
     else:
-        given = rows.sparkSession.createDataFrame([(s is None, s or "", float(w)) for s, w in weights.items()], "none boolean, source string, weight double")
+        given = rows.sparkSession.createDataFrame(
+            [(s is None, s or "", float(w)) for s, w in weights.items()],
+            "none boolean, source string, weight double",
+        )
         sources = sources.join(F.broadcast(given), ["none", "source"], "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     sources = with_targets(common.written(sources.select("none", "source", "size", "n", "weight"), "sources"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in _FACTS.split(", ")]
-        kinds = [pa.bool_(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int64())]
+        kinds = [
+            pa.bool_(),
+            pa.string(),
+            pa.int64(),
+            pa.int64(),
+            pa.float64(),
+            pa.int32(),
+            pa.int64(),
+            pa.int32(),
+            *[pa.int64()] * 3,
+            pa.list_(pa.int64()),
+        ]
         for batch in batches:
             out = []
             for r in batch.to_pylist():
@@ -117,7 +139,14 @@ def planned(rows: DataFrame, weights: dict | None, block: int) -> DataFrame:
     return common.written(sources.mapInArrow(run, _FACTS), "facts")
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: dict | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def mixed(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: dict | None = None,
+    block: int = BLOCK,
+) -> tuple[DataFrame, DataFrame]:
     """(documents, blocks) of a mix of all sources to target weights.
 
     Documents of a source, in pseudorandom order, are one stream of words cut into blocks; a pass over the source
@@ -130,7 +159,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     documents: doc_id, content, source, size, source_size, target, start, taken, passes, extra (parts of the last pass
     as array of from, to in words of the document). blocks: none, source, block, shard, limit (words) of each slot.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).isNull().alias("none"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), n_words(F.col(text_col)).alias("size"), common.content(text_col).alias("content"))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(source_col).isNull().alias("none"),
+        F.coalesce(F.col(source_col), F.lit("")).alias("source"),
+        n_words(F.col(text_col)).alias("size"),
+        common.content(text_col).alias("content"),
+    )
     rows = common.written(rows, "sized")
     total, key = rows.count(), ["none", "source"]
     facts = planned(rows, weights, block)
@@ -138,7 +173,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     # About as many buckets as rows in one, so that neither of the two windows grows as the rows do.
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "content"), F.lit(max(1, math.isqrt(total)))))
     sums = common.written(common.bucketed_offsets(rows, key, "bucket", F.col("size")), "sums")
-    order = Window.partitionBy(*key, "bucket").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "content", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy(*key, "bucket").orderBy(
+        F.xxhash64("doc_id", F.lit(SEED)),
+        "doc_id",
+        "content",
+        "size",
+    ).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(order), F.lit(0))).join(sums, [*key, "bucket"])
     rows = rows.withColumn("start", F.col("before") + F.col("inside")).drop("bucket", "before", "inside")
     own = facts.select(*key, "source_size", "target", "passes", "n")
@@ -148,20 +188,38 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     # The slots of the last pass, dealt to output shards by multinomial draws, and mapped to block indexes.
     first = F.aggregate(F.slice("draws", 1, F.col("shard")), F.lit(0).cast("long"), lambda x, y: x + y)
     per = facts.select("*", F.posexplode("draws").alias("shard", "own")).where("own > 0").withColumn("first", first)
-    per = per.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("own") - 1, F.lit(PIECE).cast("long")))).drop("draws").repartition(*key, "shard", "at")
+    per = per.withColumn(
+        "at",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("own") - 1, F.lit(PIECE).cast("long"))),
+    ).drop("draws").repartition(*key, "shard", "at")
     slot = per.withColumn("j", F.explode(F.sequence(F.col("first") + F.col("at"), F.col("first") + F.least(F.col("at") + PIECE, F.col("own")) - 1)))
     index = F.pmod(_mulmod(F.col("a"), F.col("j"), F.col("blocks")) + F.col("b"), F.col("blocks"))
-    slot = slot.select(*key, index.alias("block"), "shard", F.when(F.col("j") == F.col("slots") - 1, F.col("cut")).otherwise(F.lit(block)).alias("limit"))
+    slot = slot.select(
+        *key,
+        index.alias("block"),
+        "shard",
+        F.when(F.col("j") == F.col("slots") - 1, F.col("cut")).otherwise(F.lit(block)).alias("limit"),
+    )
 
     # Documents' parts by block, joined to the taken blocks by index: both grow with the corpus, so neither is broadcast.
-    parts = rows.where("size > 0").select(*key, F.struct("doc_id", "content", "start").alias("row"), "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
+    parts = rows.where("size > 0").select(
+        *key,
+        F.struct("doc_id", "content", "start").alias("row"),
+        "start",
+        "size",
+        F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"),
+    )
     low = F.greatest(F.col("start"), F.col("block") * block)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("limit"))
     taken = parts.join(slot.hint("merge"), [*key, "block"]).where(high > low)
     taken = taken.select(*key, "row", F.struct((low - F.col("start")).alias("from"), (high - F.col("start")).alias("to")).alias("part"))
     extra = taken.groupBy(*key, "row").agg(F.array_sort(F.collect_list("part")).alias("extra"))
     out = rows.withColumn("row", F.struct("doc_id", "content", "start")).join(extra.hint("merge"), [*key, "row"], "left").drop("row")
-    more = F.aggregate(F.coalesce("extra", F.array().cast("array<struct<from:bigint,to:bigint>>")), F.lit(0).cast("long"), lambda acc, x: acc + x["to"] - x["from"])
+    more = F.aggregate(
+        F.coalesce("extra", F.array().cast("array<struct<from:bigint,to:bigint>>")),
+        F.lit(0).cast("long"),
+        lambda acc, x: acc + x["to"] - x["from"],
+    )
     out = out.withColumns({"taken": (F.col("passes") * F.col("size") + more).cast("long"), "source": F.when(~F.col("none"), F.col("source"))})
     return out, slot
 
@@ -179,7 +237,13 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     mark = common.mark()
     rows, _ = mixed(docs)
-    plans = rows.where("size > 0 and taken > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("content").alias("__body"), "passes", "extra")
+    plans = rows.where("size > 0 and taken > 0").select(
+        F.col("doc_id").alias("__id"),
+        F.col("source").alias("__source"),
+        F.col("content").alias("__body"),
+        "passes",
+        "extra",
+    )
     plans = common.written(plans, "plans")
     repeated = common.written(plans.groupBy("__id", "__source", "__body").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "repeated")
     common.release(spark, mark, plans, repeated)
@@ -188,13 +252,18 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if n := repeated.count():
         # Rows alike in id, source and text: one of them meets what each of them gives.
         side = F.broadcast(repeated) if n <= common.BROADCAST_ROWS else repeated
-        alike = keyed.join(side, same, "left_semi").withColumns({"__k1": F.col("__row.doc_id"), "__k2": F.col("__row.source")}).dropDuplicates(["__k1", "__k2", "__content"])
+        alike = keyed.join(side, same, "left_semi").withColumns(
+            {"__k1": F.col("__row.doc_id"), "__k2": F.col("__row.source")}
+        ).dropDuplicates(["__k1", "__k2", "__content"])
         keyed = keyed.join(side, same, "left_anti").unionByName(alike.select("__row", "__content"))
     full = keyed.join(plans.hint("merge"), same).select("__row.*", F.struct("passes", "extra").alias("__plan"))
     words = F.filter(F.split("text", common.BLANKS + "+"), lambda w: w != "")
     plan_ = F.col("__plan")
     full = full.withColumn("__words", F.when(plan_["extra"].isNotNull(), words))
-    pieces = F.transform(plan_["extra"], lambda e: F.array_join(F.slice(F.col("__words"), (e["from"] + 1).cast("int"), (e["to"] - e["from"]).cast("int")), " "))
+    pieces = F.transform(
+        plan_["extra"],
+        lambda e: F.array_join(F.slice(F.col("__words"), (e["from"] + 1).cast("int"), (e["to"] - e["from"]).cast("int")), " "),
+    )
     part = F.when(plan_["extra"].isNotNull(), F.array(F.struct(F.array_join(pieces, " ").alias("text"), F.lit(False).alias("all"))))
     whole = F.array_repeat(F.struct(F.col("text").alias("text"), F.lit(True).alias("all")), plan_["passes"])
     out = full.withColumn("__made", F.explode(F.concat(whole, F.coalesce(part, F.array().cast("array<struct<text:string,all:boolean>>")))))

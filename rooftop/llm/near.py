@@ -121,7 +121,10 @@ def _sign(batches: Iterator[pa.RecordBatch], collections: int) -> Iterator[pa.Re
             for s in shingle_sets(group):
                 out.append((len(s), *signature(s, collections)) if len(s) else (0, 0, 0, 0, None))
         kinds = (*[pa.int64()] * 4, pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]], ["doc_id", "content", "n", "d1", "d2", "sketch", "halves"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), *[pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]],
+            ["doc_id", "content", "n", "d1", "d2", "sketch", "halves"],
+        )
 
 
 def _tables(batches: Iterator[pa.RecordBatch], collections: int) -> Iterator[pa.RecordBatch]:
@@ -133,7 +136,10 @@ def _tables(batches: Iterator[pa.RecordBatch], collections: int) -> Iterator[pa.
             batch = whole.slice(at, 2000)
             halves = batch.column(0).flatten().to_numpy().view(np.uint64).reshape(-1, collections)
             keys = mix(halves[:, first] * np.uint64(0x9E3779B97F4A7C15) + mix(halves[:, second] + salt))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), len(first)))], ["key", "rep"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy(), len(first)))],
+                ["key", "rep"],
+            )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +155,14 @@ def _singly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = whole.slice(at, 200)
             sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
             sizes = [len(x) for x in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes).astype(np.int64))], ["shingle", "rep", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(sets)),
+                    pa.array(np.repeat(batch.column(0).to_numpy(), sizes)),
+                    pa.array(np.repeat(sizes, sizes).astype(np.int64)),
+                ],
+                ["shingle", "rep", "n"],
+            )
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +176,9 @@ def _lists(rows: pa.Table, given: Limits) -> pa.Table:
     rows = rows.sort_by([("shingle", "ascending"), ("i", "ascending"), ("j", "ascending")])
     shingle, i, j, own, rep, n, comp = (rows.column(c).to_numpy() for c in ("shingle", "i", "j", "own", "rep", "n", "comp"))
     bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(rows), -1)
-    new = np.flatnonzero((np.diff(shingle, prepend=shingle[0] ^ 1) != 0) | (np.diff(i, prepend=-1) != 0) | (np.diff(j, prepend=-1) != 0)).tolist() + [len(rows)]
+    new = np.flatnonzero(
+        (np.diff(shingle, prepend=shingle[0] ^ 1) != 0) | (np.diff(i, prepend=-1) != 0) | (np.diff(j, prepend=-1) != 0)
+    ).tolist() + [len(rows)]
     out = [np.zeros((0, 2), np.int64)]
     for a, b in zip(new, new[1:], strict=False):
         for x in range(a, b - 1):
@@ -209,7 +224,10 @@ def confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, percent: int)
     """The pairs a, b of reps whose full shingle sets are alike enough."""
     ends = common.written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ends")
     sets = full_sets(docs, common.written(reps.select("rep", "doc_id", "content").join(_small(ends), "rep"), "ends"))
-    rows = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
+    rows = pairs.join(
+        sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")),
+        "b",
+    ).join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
     return common.written(rows.select("a", "b", "x", "y").mapInArrow(common.tidy(lambda x: _confirm(x, percent)), "a long, b long"), "links")
 
 
@@ -230,10 +248,17 @@ def _by_shingle(docs: DataFrame, reps: DataFrame, some: DataFrame, given: Limits
     sets = full_sets(docs, common.written(reps.select("rep", "doc_id", "content").join(_small(some.select("rep")), "rep"), "ends"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = sets.select("rep", "shingles").mapInArrow(common.tidy(_singly), "shingle long, rep long, n long").repartition(parts, "shingle")
-    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("lo"), F.max("n").alias("hi")).where("df > 1").select("shingle", "df")
+    counts = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("df"),
+        F.min("rep").alias("lo"),
+        F.max("n").alias("hi"),
+    ).where("df > 1").select("shingle", "df")
     rows = common.written(rows.join(counts, "shingle"), "shingles")
     free = F.col("n") - F.ceil(F.col("n") * given.percent / 100) + 1  # places in the prefix
-    known = rows.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("m")).select("rep", (free - (F.col("n") - F.col("m"))).alias("left")).where("left > 0")
+    known = rows.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("m")).select(
+        "rep",
+        (free - (F.col("n") - F.col("m"))).alias("left"),
+    ).where("left > 0")
     place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "shingle"))
     first = rows.join(known, "rep").withColumn("place", place).where(F.col("place") <= F.col("left")).select("shingle", "rep", "df")
     bits = common.written(sets.select("rep", "shingles").mapInArrow(common.tidy(_sketched), "rep long, bits binary"), "long")
@@ -259,7 +284,14 @@ def components(links: DataFrame) -> DataFrame:
         step = labels.join(near, "v").select("v", "label", F.least("label", "near").alias("new"))
         step = common.written(step, "step")
         jump = labels.select(F.col("v").alias("new"), F.col("label").alias("beyond"))
-        moved = common.written(step.join(jump, "new", "left").select("v", F.least("new", F.coalesce("beyond", "new")).alias("label"), (F.least("new", F.coalesce("beyond", "new")) < F.col("label")).alias("moved")), "labels")
+        moved = common.written(
+            step.join(jump, "new", "left").select(
+                "v",
+                F.least("new", F.coalesce("beyond", "new")).alias("label"),
+                (F.least("new", F.coalesce("beyond", "new")) < F.col("label")).alias("moved"),
+            ),
+            "labels",
+        )
         labels = moved.select("v", "label")
         if not moved.where("moved").limit(1).count():
             return labels
@@ -276,37 +308,67 @@ def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content", "sketch", "halves")).alias("x")
     reps = signed.where("n > 0").groupBy("d1", "d2", "n").agg(first, F.count(F.lit(1)).alias("size"))
     # Ids may repeat or be null: sets get numbers of their own, fixed by writing them.
-    reps = common.written(reps.select(F.monotonically_increasing_id().alias("rep"), "d1", "d2", "n", "size", "x.none", "x.doc_id", "x.content", "x.sketch", "x.halves"), "reps")
+    reps = common.written(
+        reps.select(F.monotonically_increasing_id().alias("rep"), "d1", "d2", "n", "size", "x.none", "x.doc_id", "x.content", "x.sketch", "x.halves"),
+        "reps",
+    )
     facts = reps.select("rep", "n", "sketch")
     # Keys are shuffled once: the counts and the members of a bucket are found in the same partitions.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = reps.select("halves", "rep").mapInArrow(common.tidy(lambda x: _tables(x, given.collections)), "key long, rep long").repartition(parts, "key")
+    keys = reps.select("halves", "rep").mapInArrow(
+        common.tidy(lambda x: _tables(x, given.collections)),
+        "key long, rep long",
+    ).repartition(parts, "key")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("lo")).where("c > 1").select("key", "c")
     members = common.written(keys.join(shared, "key"), "members")
     degree = members.groupBy("rep").agg(F.sum(F.col("c") - 1).alias("degree"))
     members = common.written(members.join(degree.join(facts, "rep"), "rep"), "members")
     # Counts and centres are small sums of a bucket, so they collapse before their shuffle; hot buckets' members aren't shuffled.
     centre = members.groupBy("key").agg(F.first("c").alias("size"), F.max(F.struct("degree", (-F.col("rep")).alias("r"), "n", "sketch")).alias("x"))
-    centre = common.written(centre.select("key", "size", (-F.col("x.r")).alias("centre"), F.col("x.n").alias("cn"), F.col("x.sketch").alias("csketch")), "centres")
+    centre = common.written(
+        centre.select("key", "size", (-F.col("x.r")).alias("centre"), F.col("x.n").alias("cn"), F.col("x.sketch").alias("csketch")),
+        "centres",
+    )
     if centre.count() <= common.BROADCAST_ROWS:
         others = members.join(F.broadcast(centre), "key")
     else:
         others = common.hot_left_join(members, centre, ["key"], "size", members.count())
     others = others.where("rep <> centre")
     others = common.written(others.select("key", "rep", "n", "c", "centre", _alike(given).alias("alike")), "others")
-    star = common.written(others.where("alike").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct(), "star")
+    star = common.written(
+        others.where("alike").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct(),
+        "star",
+    )
     links = confirmed(docs, reps, star, percent)
     labels = components(links)
 
     # Buckets whose members, the centre apart, are still in different components: only there pairs are left to compare.
-    placed = common.written(others.where("c > 2").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("label", "rep").alias("comp")), "placed")
+    placed = common.written(
+        others.where("c > 2").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select(
+            "key",
+            "rep",
+            "n",
+            F.coalesce("label", "rep").alias("comp"),
+        ),
+        "placed",
+    )
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     some = common.written(placed.join(mixed, "key", "left_semi").select("rep", "n", "comp").distinct(), "mixed")
     rest = _by_shingle(docs, reps, some, given).join(star, ["a", "b"], "left_anti")
     more = confirmed(docs, reps, common.written(rest, "rest"), percent)
     if more.limit(1).count():
         labels = components(links.union(more))
-    placed = common.written(reps.select("rep", "d1", "d2", "n", "size", F.struct("none", "doc_id", "content").alias("first")).join(labels.withColumnRenamed("v", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")), "placed")
+    placed = common.written(
+        reps.select(
+            "rep",
+            "d1",
+            "d2",
+            "n",
+            "size",
+            F.struct("none", "doc_id", "content").alias("first"),
+        ).join(labels.withColumnRenamed("v", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")),
+        "placed",
+    )
     best = placed.where("rep <> label").select("label").distinct().join(placed, "label").groupBy("label").agg(F.min("first").alias("best"))
     classes = placed.join(best, "label", "left").select("d1", "d2", "n", "size", F.coalesce("best", "first").alias("x"))
     return signed, common.written(classes.select("d1", "d2", "n", "size", "x.doc_id", "x.content"), "classes")

@@ -35,11 +35,20 @@ def _located(docs: DataFrame, id_col: str, text_col: str, leaves: int) -> DataFr
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     values = [F.floor(d * s).cast("long").alias(f"q{i}") for i, (d, s) in enumerate(zip(_dimensions(text), _SCALES, strict=True))]
-    base = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("crc"), F.unhex(F.md5(text)).alias("digest"), *values)
+    base = docs.select(
+        F.col(id_col).alias("doc_id"),
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("crc"),
+        F.unhex(F.md5(text)).alias("digest"),
+        *values,
+    )
     base = common.written(base, "located")
     total = int(base.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
     most = max(1, int(total / leaves * GROUP_SHARE))
-    large = base.groupBy("digest").agg(F.sum("size").alias("whole"), F.count(F.lit(1)).alias("copies")).where((F.col("whole") > most) & (F.col("copies") > 1))
+    large = base.groupBy("digest").agg(
+        F.sum("size").alias("whole"),
+        F.count(F.lit(1)).alias("copies"),
+    ).where((F.col("whole") > most) & (F.col("copies") > 1))
     large = common.written(large.select("digest", F.col("copies"), F.lit(True).alias("large")), "large")
     few = large.count() <= common.BROADCAST_ROWS
     base = base.join(F.broadcast(large), "digest", "left") if few else common.hot_left_join(base, large, ["digest"], "copies", base.count())
@@ -57,11 +66,28 @@ def _small(df: DataFrame) -> DataFrame:
 def _opened(rows: DataFrame, leaves: DataFrame, widest: list[int]) -> DataFrame:
     """leaves (leaf, share, first) with rows: their bytes, widest dimension, its bounds, and the bytes to go left."""
     dims = range(len(widest))
-    found = rows.groupBy("leaf").agg(F.sum("size").alias("size"), *[F.struct(F.min(f"k{i}").alias("lo"), F.max(f"k{i}").alias("hi")).alias(f"w{i}") for i in dims])
-    sides = F.array(*[F.struct(((F.col(f"w{i}.hi") - F.col(f"w{i}.lo")) / widest[i]).alias("wide"), F.lit(-i).alias("less"), F.col(f"w{i}.lo").alias("lo"), F.col(f"w{i}.hi").alias("hi")) for i in dims])
+    found = rows.groupBy("leaf").agg(
+        F.sum("size").alias("size"),
+        *[F.struct(F.min(f"k{i}").alias("lo"), F.max(f"k{i}").alias("hi")).alias(f"w{i}") for i in dims],
+    )
+    sides = F.array(
+        *[F.struct(((F.col(f"w{i}.hi") - F.col(f"w{i}.lo")) / widest[i]).alias("wide"), F.lit(-i).alias("less"), F.col(f"w{i}.lo").alias("lo"), F.col(f"w{i}.hi").alias("hi")) for i in dims]
+    )
     found = found.join(leaves, "leaf").withColumn("x", F.array_max(sides))
     half = F.floor(F.col("share") / 2)
-    return found.select("leaf", "share", "first", "size", (-F.col("x.less")).alias("dim"), "x.lo", "x.hi", (F.col("size") * half / F.col("share")).alias("goal"), F.lit(0).cast("long").alias("below"), F.col("x.hi").alias("cut"), ((F.col("share") > 1) & (F.col("x.hi") > F.col("x.lo"))).alias("open"))
+    return found.select(
+        "leaf",
+        "share",
+        "first",
+        "size",
+        (-F.col("x.less")).alias("dim"),
+        "x.lo",
+        "x.hi",
+        (F.col("size") * half / F.col("share")).alias("goal"),
+        F.lit(0).cast("long").alias("below"),
+        F.col("x.hi").alias("cut"),
+        ((F.col("share") > 1) & (F.col("x.hi") > F.col("x.lo"))).alias("open"),
+    )
 
 
 def _key() -> Column:
@@ -76,12 +102,34 @@ def _closer(rows: DataFrame, leaves: DataFrame) -> DataFrame:
     bins = inside.groupBy("leaf", F.floor((F.col("key") - F.col("lo")) / F.col("step")).alias("bin")).agg(F.sum("size").alias("own"))
     bins = bins.join(opened, "leaf").withColumn("end", F.col("below") + F.sum("own").over(Window.partitionBy("leaf").orderBy("bin")))
     reached = F.col("end") >= F.col("goal")
-    at = bins.groupBy("leaf").agg(F.min(F.struct((~reached).alias("late"), F.when(reached, F.col("bin")).otherwise(-F.col("bin")).alias("order"), "bin", "own", "end")).alias("x"))
-    at = opened.join(at, "leaf").withColumns({"from": F.col("lo") + F.col("x.bin") * F.col("step"), "to": F.least(F.col("hi"), F.col("lo") + (F.col("x.bin") + 1) * F.col("step") - 1), "start": F.col("x.end") - F.col("x.own")})
+    at = bins.groupBy("leaf").agg(
+        F.min(
+            F.struct((~reached).alias("late"), F.when(reached, F.col("bin")).otherwise(-F.col("bin")).alias("order"), "bin", "own", "end")
+        ).alias("x")
+    )
+    at = opened.join(at, "leaf").withColumns(
+        {
+            "from": F.col("lo") + F.col("x.bin") * F.col("step"),
+            "to": F.least(F.col("hi"), F.col("lo") + (F.col("x.bin") + 1) * F.col("step") - 1),
+            "start": F.col("x.end") - F.col("x.own"),
+        }
+    )
     done = (F.col("step") == 1) | (F.col("x.own") <= NEAR * F.col("size"))
     with_it = F.abs(F.col("x.end") - F.col("goal")) <= F.abs(F.col("start") - F.col("goal"))
     found = F.when(done, F.when(with_it, F.col("to")).otherwise(F.col("from") - 1)).otherwise(F.col("cut"))
-    moved = at.select("leaf", "share", "first", "size", "dim", F.col("from").alias("lo"), F.col("to").alias("hi"), "goal", F.col("start").cast("long").alias("below"), found.alias("cut"), (~done).alias("open"))
+    moved = at.select(
+        "leaf",
+        "share",
+        "first",
+        "size",
+        "dim",
+        F.col("from").alias("lo"),
+        F.col("to").alias("hi"),
+        "goal",
+        F.col("start").cast("long").alias("below"),
+        found.alias("cut"),
+        (~done).alias("open"),
+    )
     return common.written(leaves.where(~F.col("open")).unionByName(moved), "leaves")
 
 
@@ -103,11 +151,27 @@ def kd_tree_shards(docs: DataFrame, leaves: int, id_col: str = "doc_id", text_co
             now = _closer(rows, now)
         cuts = now.where("share > 1").select("leaf", "dim", "cut")
         right = F.coalesce(_key() > F.col("cut"), F.lit(False)).cast("long")
-        rows = common.written(rows.join(_small(cuts), "leaf", "left").select("doc_id", "size", "crc", *[f"k{i}" for i in range(len(_SCALES))], (F.col("leaf") * 2 + right).alias("leaf")), "rows")
+        rows = common.written(
+            rows.join(_small(cuts), "leaf", "left").select(
+                "doc_id",
+                "size",
+                "crc",
+                *[f"k{i}" for i in range(len(_SCALES))],
+                (F.col("leaf") * 2 + right).alias("leaf"),
+            ),
+            "rows",
+        )
         half = F.floor(F.col("share") / 2)
-        left, whole_ = F.struct((F.col("leaf") * 2).alias("leaf"), half.alias("share"), F.col("first").alias("first")), F.struct((F.col("leaf") * 2).alias("leaf"), F.col("share").alias("share"), F.col("first").alias("first"))
+        left, whole_ = F.struct((F.col("leaf") * 2).alias("leaf"), half.alias("share"), F.col("first").alias("first")), F.struct(
+            (F.col("leaf") * 2).alias("leaf"),
+            F.col("share").alias("share"),
+            F.col("first").alias("first"),
+        )
         other = F.struct((F.col("leaf") * 2 + 1).alias("leaf"), (F.col("share") - half).alias("share"), (F.col("first") + half).alias("first"))
-        tree = common.written(tree.select(F.explode(F.when(F.col("share") > 1, F.array(left, other)).otherwise(F.array(whole_))).alias("x")).select("x.*"), "leaves")
+        tree = common.written(
+            tree.select(F.explode(F.when(F.col("share") > 1, F.array(left, other)).otherwise(F.array(whole_))).alias("x")).select("x.*"),
+            "leaves",
+        )
     return rows.join(_small(tree.select("leaf", F.col("first").cast("int").alias("shard"))), "leaf").select("doc_id", "size", "crc", "shard")
 
 
@@ -123,4 +187,12 @@ def with_slots(rows: DataFrame, group: str = "shard") -> DataFrame:
 
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_slots(kd_tree_shards(common.table(spark, sf_dir, "documents"), SHARDS))
-    return rows.select("doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return rows.select(
+        "doc_id",
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
