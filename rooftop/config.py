@@ -18,9 +18,33 @@ CITY_CAPS = {"spb": {"height": 462.0, "stairs": 87.0}}
 #: Risk of a match type; others have 0.5.
 MATCH_RISK = {"1:1": 0.2, "1:N": 0.7, "N:1": 0.7, "N:N": 1.0, "A_only": 0.5, "B_only": 0.5}
 #: Columns of the map layer.
-FRONTEND_COLUMNS = ["component_id", "match_type", "height_final_full", "confidence_score", "eco_risk_score", "eco_risk_level", "dense_area", "dense_score", "geometry"]
+FRONTEND_COLUMNS = [
+    "component_id",
+    "match_type",
+    "height_final_full",
+    "confidence_score",
+    "eco_risk_score",
+    "eco_risk_level",
+    "dense_area",
+    "dense_score",
+    "geometry",
+]
 #: Names of the tables that a run writes.
-OUTPUTS = ["a_prepared", "b_prepared", "strong_pairs", "matched_buildings", "final_results", "frontend", "geometry_diag_a_before", "geometry_diag_a_after", "geometry_diag_b_before", "geometry_diag_b_after", "coverage_a", "coverage_b", "ml_cv_summary"]
+OUTPUTS = [
+    "a_prepared",
+    "b_prepared",
+    "strong_pairs",
+    "matched_buildings",
+    "final_results",
+    "frontend",
+    "geometry_diag_a_before",
+    "geometry_diag_a_after",
+    "geometry_diag_b_before",
+    "geometry_diag_b_after",
+    "coverage_a",
+    "coverage_b",
+    "ml_cv_summary",
+]
 
 
 @dataclass(frozen=True)

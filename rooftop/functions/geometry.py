@@ -41,10 +41,17 @@ def shapes_of(df: DataFrame, column: str = "geometry") -> Column:
 def write_wkt(shapes: Column) -> Column:
     """POLYGON text for one polygon, MULTIPOLYGON for several, POLYGON EMPTY for none; null for null."""
     number = lambda v: F.when((v == F.floor(v)) & (F.abs(v) < 1e15), F.floor(v).cast("string")).otherwise(v.cast("string"))
-    ring = lambda r: F.concat(F.lit("("), F.array_join(F.transform(r, lambda p: F.concat_ws(" ", number(p["x"]), number(p["y"]))), ", "), F.lit(")"))
+    ring = lambda r: F.concat(
+        F.lit("("),
+        F.array_join(F.transform(r, lambda p: F.concat_ws(" ", number(p["x"]), number(p["y"]))), ", "),
+        F.lit(")"),
+    )
     polygon = lambda p: F.concat(F.lit("("), F.array_join(F.transform(p, ring), ", "), F.lit(")"))
     whole = F.array_join(F.transform(shapes, polygon), ", ")
-    return F.when(F.size(shapes) == 0, "POLYGON EMPTY").when(F.size(shapes) == 1, F.concat(F.lit("POLYGON "), whole)).when(shapes.isNotNull(), F.concat(F.lit("MULTIPOLYGON ("), whole, F.lit(")")))
+    return F.when(F.size(shapes) == 0, "POLYGON EMPTY").when(F.size(shapes) == 1, F.concat(F.lit("POLYGON "), whole)).when(
+        shapes.isNotNull(),
+        F.concat(F.lit("MULTIPOLYGON ("), whole, F.lit(")")),
+    )
 
 
 def _over_edges(ring: Column, term, zero=0.0) -> Column:
@@ -68,7 +75,10 @@ def area(shapes: Column) -> Column:
 
 
 def perimeter(shapes: Column) -> Column:
-    length = lambda r: _over_edges(r, lambda p, q, _: F.sqrt((p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"])))
+    length = lambda r: _over_edges(
+        r,
+        lambda p, q, _: F.sqrt((p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"])),
+    )
     return F.aggregate(F.flatten(shapes), F.lit(0.0), lambda a, r: a + length(r))
 
 
@@ -116,7 +126,12 @@ def utm(lon: Column, lat: Column) -> tuple[Column, Column]:
     """Easting and northing in metres: transverse Mercator by Krueger's series in the third flattening, order 4."""
     n = FLATTENING / (2 - FLATTENING)
     radius = SEMI_MAJOR / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
-    alpha = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440, 61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280]
+    alpha = [
+        n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180,
+        13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
+        61 * n**3 / 240 - 103 * n**4 / 140,
+        49561 * n**4 / 161280,
+    ]
     c = 2 * math.sqrt(n) / (1 + n)
     phi, lam = F.radians(lat), F.radians(lon - ZONE_LON)
     s = F.sin(phi)

@@ -29,7 +29,9 @@ def ratio(part: Column, whole: Column) -> Column:
 def no_nan(df: DataFrame) -> DataFrame:
     """NaN of every floating column as null."""
     kinds = (DoubleType, FloatType)
-    return df.select(*[F.nanvl(F.col(f"`{f.name}`"), F.lit(None)).alias(f.name) if isinstance(f.dataType, kinds) else F.col(f"`{f.name}`") for f in df.schema])
+    return df.select(
+        *[F.nanvl(F.col(f"`{f.name}`"), F.lit(None)).alias(f.name) if isinstance(f.dataType, kinds) else F.col(f"`{f.name}`") for f in df.schema]
+    )
 
 
 def array_mean(values: Column) -> Column:
@@ -44,7 +46,10 @@ def array_weighted_mean(values: Column, weights: Column) -> Column:
     Pairs with a null, and weights that aren't above 0, are left out; null if no pair is left.
     """
     n = F.least(F.size(values), F.size(weights))
-    pairs = F.filter(F.slice(F.arrays_zip(values.alias("v"), weights.alias("w")), 1, F.greatest(n, F.lit(0))), lambda p: p["v"].isNotNull() & (p["w"] > 0))
+    pairs = F.filter(
+        F.slice(F.arrays_zip(values.alias("v"), weights.alias("w")), 1, F.greatest(n, F.lit(0))),
+        lambda p: p["v"].isNotNull() & (p["w"] > 0),
+    )
     add = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["v"] * p["w"])
     return F.when(F.size(pairs) > 0, add / F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["w"]))
 

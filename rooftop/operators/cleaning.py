@@ -59,7 +59,12 @@ def domain_cap(df: DataFrame, city: str = "spb") -> DataFrame:
     bad = flag(F.col("height_clean_final") > config.CITY_CAPS[city]["height"])
     df = df.withColumn("height_domain_cap_bad", bad)
     bad = F.col("height_domain_cap_bad")
-    return df.withColumns({"height_clean_final": F.when(~bad, F.col("height_clean_final")), "height_drop_reason": F.when(bad, "domain_cap").otherwise(F.col("height_drop_reason"))})
+    return df.withColumns(
+        {
+            "height_clean_final": F.when(~bad, F.col("height_clean_final")),
+            "height_drop_reason": F.when(bad, "domain_cap").otherwise(F.col("height_drop_reason")),
+        }
+    )
 
 
 def clean_by_flags(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -74,7 +79,13 @@ def clean_floors(df: DataFrame) -> DataFrame:
     df = df.withColumns({"gkh_floor_count_min_clean": low, "gkh_floor_count_max_clean": high})
     low, high = F.col("gkh_floor_count_min_clean"), F.col("gkh_floor_count_max_clean")
     swapped = flag(low > high)
-    return df.withColumns({"gkh_floor_count_min_clean": F.when(swapped, high).otherwise(low), "gkh_floor_count_max_clean": F.when(swapped, low).otherwise(high), "gkh_floor_mid": (low + high) / 2})
+    return df.withColumns(
+        {
+            "gkh_floor_count_min_clean": F.when(swapped, high).otherwise(low),
+            "gkh_floor_count_max_clean": F.when(swapped, low).otherwise(high),
+            "gkh_floor_mid": (low + high) / 2,
+        }
+    )
 
 
 def clean_area(df: DataFrame, small: float = 20.0) -> DataFrame:
@@ -94,18 +105,42 @@ def _counters(df: DataFrame, counters: dict[str, str]) -> DataFrame:
 
 
 def height_summary(b: DataFrame) -> DataFrame:
-    names = {"height_raw": "+height", "height_phys_bad": "height_phys_bad", "height_iqr_bad": "height_iqr_bad", "height_lisa": "lisa_flag", "height_needs_review": "needs_review", "height_clean": "+height_clean_final", "height_domain_cap": "height_domain_cap_bad"}
+    names = {
+        "height_raw": "+height",
+        "height_phys_bad": "height_phys_bad",
+        "height_iqr_bad": "height_iqr_bad",
+        "height_lisa": "lisa_flag",
+        "height_needs_review": "needs_review",
+        "height_clean": "+height_clean_final",
+        "height_domain_cap": "height_domain_cap_bad",
+    }
     return _counters(b, names)
 
 
 def summary(a: DataFrame, b: DataFrame) -> DataFrame:
     """A row for each source: counter names in one column, counts in the other."""
-    names_a = {"a_gkh_min_phys_bad": "gkh_floor_count_min_phys_bad", "a_gkh_max_phys_bad": "gkh_floor_count_max_phys_bad", "a_gkh_min_gt_max": "gkh_min_gt_max", "a_area_phys_bad": "area_sq_m_phys_bad", "a_area_small": "area_sq_m_small_flag"}
-    names_b = {"b_height_clean": "+height_clean_final", "b_stairs_clean": "+stairs_clean", "b_afh_clean": "+avg_floor_height_clean", "b_stairs_phys_bad": "stairs_phys_bad", "b_afh_phys_bad": "avg_floor_height_phys_bad"}
+    names_a = {
+        "a_gkh_min_phys_bad": "gkh_floor_count_min_phys_bad",
+        "a_gkh_max_phys_bad": "gkh_floor_count_max_phys_bad",
+        "a_gkh_min_gt_max": "gkh_min_gt_max",
+        "a_area_phys_bad": "area_sq_m_phys_bad",
+        "a_area_small": "area_sq_m_small_flag",
+    }
+    names_b = {
+        "b_height_clean": "+height_clean_final",
+        "b_stairs_clean": "+stairs_clean",
+        "b_afh_clean": "+avg_floor_height_clean",
+        "b_stairs_phys_bad": "stairs_phys_bad",
+        "b_afh_phys_bad": "avg_floor_height_phys_bad",
+    }
     rows = []
     for df, total, names in ((a, "a_rows", names_a), (b, "b_rows", names_b)):
         one = _counters(df, names).withColumnRenamed("rows", total)
-        rows.append(one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(c).cast("long").alias("n")) for c in one.columns])).alias("x")).select("x.counter", "x.n"))
+        rows.append(
+            one.select(
+                F.explode(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(c).cast("long").alias("n")) for c in one.columns])).alias("x")
+            ).select("x.counter", "x.n")
+        )
     return rows[0].unionByName(rows[1])
 
 

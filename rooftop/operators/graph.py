@@ -20,7 +20,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         near = both.join(labels.withColumnRenamed("v", "u"), "u").groupBy("v").agg(F.min("label").alias("near"))
         hop = labels.join(near, "v").select("v", "label", F.least("label", "near").alias("to"))
         jump = labels.select(F.col("v").alias("to"), F.col("label").alias("beyond"))
-        step = written(hop.join(jump, "to", "left").select("v", F.col("label").alias("old"), F.least("to", F.coalesce("beyond", "to")).alias("label")), "labels")
+        step = written(
+            hop.join(jump, "to", "left").select("v", F.col("label").alias("old"), F.least("to", F.coalesce("beyond", "to")).alias("label")),
+            "labels",
+        )
         labels = step.select("v", "label")
         if step.where("old <> label").isEmpty():
             return labels

@@ -40,12 +40,25 @@ def pair_metrics(pairs: DataFrame, inter: Column) -> DataFrame:
     """idx_a, idx_b, inter_area, area_a, area_b, iou, overlap_a, overlap_b of pairs with a common area."""
     pairs = pairs.withColumn("inter_area", inter).where("inter_area > 0")
     i, a, b = F.col("inter_area"), F.col("area_a"), F.col("area_b")
-    return pairs.select("idx_a", "idx_b", "inter_area", "area_a", "area_b", ratio(i, a + b - i).alias("iou"), ratio(i, a).alias("overlap_a"), ratio(i, b).alias("overlap_b"))
+    return pairs.select(
+        "idx_a",
+        "idx_b",
+        "inter_area",
+        "area_a",
+        "area_b",
+        ratio(i, a + b - i).alias("iou"),
+        ratio(i, a).alias("overlap_a"),
+        ratio(i, b).alias("overlap_b"),
+    )
 
 
 def strong_pairs(pairs: DataFrame, iou: float = 0.3, overlap: float = 0.8) -> DataFrame:
     """Pairs with a large enough share, and which of the three shares it is."""
-    flags = {"strong_by_iou": flag(F.col("iou") >= iou), "strong_by_a": flag(F.col("overlap_a") >= overlap), "strong_by_b": flag(F.col("overlap_b") >= overlap)}
+    flags = {
+        "strong_by_iou": flag(F.col("iou") >= iou),
+        "strong_by_a": flag(F.col("overlap_a") >= overlap),
+        "strong_by_b": flag(F.col("overlap_b") >= overlap),
+    }
     return pairs.withColumns(flags).where("strong_by_iou or strong_by_a or strong_by_b")
 
 
@@ -73,7 +86,9 @@ def membership(a: DataFrame, b: DataFrame, strong: DataFrame) -> DataFrame:
     Nodes are 2 * row_idx for the register and 2 * row_idx + 1 for the survey.
     """
     labels = graph.connected_components(strong.select((F.col("idx_a") * 2).alias("u"), (F.col("idx_b") * 2 + 1).alias("v")))
-    nodes = a.select(F.lit("A").alias("source"), "row_idx", (F.col("row_idx") * 2).alias("node")).unionByName(b.select(F.lit("B").alias("source"), "row_idx", (F.col("row_idx") * 2 + 1).alias("node")))
+    nodes = a.select(F.lit("A").alias("source"), "row_idx", (F.col("row_idx") * 2).alias("node")).unionByName(
+        b.select(F.lit("B").alias("source"), "row_idx", (F.col("row_idx") * 2 + 1).alias("node"))
+    )
     return nodes.join(labels, nodes["node"] == labels["v"], "left").select("source", "row_idx", F.coalesce("label", "node").alias("label"))
 
 
@@ -100,8 +115,15 @@ def component_table(members: DataFrame, compat: bool = False) -> DataFrame:
     of = lambda s: ordered(F.collect_list(F.when(F.col("source") == s, F.col("row_idx"))), compat)
     table = members.groupBy("label").agg(of("A").alias("a_idxs"), of("B").alias("b_idxs"))
     table = table.withColumns({"n_a": F.size("a_idxs"), "n_b": F.size("b_idxs")})
-    some = table.withColumn("__key", F.when(F.col("n_a") > 0, F.array_min("a_idxs")).otherwise(F.array_min("b_idxs"))).withColumn("__only_b", F.col("n_a") == 0)
-    with_a, only_b = statistics.numbered(some.where("not __only_b"), "__key", "component_id"), statistics.numbered(some.where("__only_b"), "__key", "component_id")
+    some = table.withColumn(
+        "__key",
+        F.when(F.col("n_a") > 0, F.array_min("a_idxs")).otherwise(F.array_min("b_idxs")),
+    ).withColumn("__only_b", F.col("n_a") == 0)
+    with_a, only_b = statistics.numbered(
+        some.where("not __only_b"),
+        "__key",
+        "component_id",
+    ), statistics.numbered(some.where("__only_b"), "__key", "component_id")
     first = with_a.agg(F.count(F.lit(1)).alias("__first"))
     only_b = only_b.crossJoin(F.broadcast(first)).withColumn("component_id", F.col("component_id") + F.col("__first")).drop("__first")
     both = with_a.unionByName(only_b)
@@ -111,7 +133,12 @@ def component_table(members: DataFrame, compat: bool = False) -> DataFrame:
 def component_metrics(components: DataFrame, members: DataFrame, strong: DataFrame) -> DataFrame:
     """Adds max_iou, mean_iou, max_overlap_a, max_overlap_b; null for components without a pair."""
     a = members.where("source = 'A'").select(F.col("row_idx").alias("idx_a"), "label")
-    sums = strong.join(a, "idx_a").groupBy("label").agg(F.max("iou").alias("max_iou"), F.avg("iou").alias("mean_iou"), F.max("overlap_a").alias("max_overlap_a"), F.max("overlap_b").alias("max_overlap_b"))
+    sums = strong.join(a, "idx_a").groupBy("label").agg(
+        F.max("iou").alias("max_iou"),
+        F.avg("iou").alias("mean_iou"),
+        F.max("overlap_a").alias("max_overlap_a"),
+        F.max("overlap_b").alias("max_overlap_b"),
+    )
     return components.join(sums, "label", "left")
 
 
@@ -129,13 +156,17 @@ def address_validation(components: DataFrame, members: DataFrame, a: DataFrame,
     Numbers in common match; numbers on both sides but none in common conflict. A missing number is no number; with
     compat it is the number ''.
     """
-    house = a.select(F.lit("A").alias("source"), "row_idx", F.col("house_a").alias("house")).unionByName(b.select(F.lit("B").alias("source"), "row_idx", F.col("house_b").alias("house")))
+    house = a.select(F.lit("A").alias("source"), "row_idx", F.col("house_a").alias("house")).unionByName(
+        b.select(F.lit("B").alias("source"), "row_idx", F.col("house_b").alias("house"))
+    )
     house = house if compat else house.where("house <> ''")
     of = lambda s: F.collect_set(F.when(F.col("source") == s, F.col("house")))
     sets = members.join(house, ["source", "row_idx"]).groupBy("label").agg(of("A").alias("__a"), of("B").alias("__b"))
     out = components.join(sets, "label", "left")
     known, common = flag((F.size("__a") > 0) & (F.size("__b") > 0)), flag(F.arrays_overlap("__a", "__b"))
-    return out.withColumns({"address_match_strong": known & common, "address_match_weak": known & common, "address_conflict": known & ~common}).drop("__a", "__b")
+    return out.withColumns(
+        {"address_match_strong": known & common, "address_match_weak": known & common, "address_conflict": known & ~common}
+    ).drop("__a", "__b")
 
 
 def review_flags(components: DataFrame, iou: float = 0.4) -> DataFrame:
@@ -153,8 +184,17 @@ def component_geometry(components: DataFrame, members: DataFrame, a: DataFrame,
     number = F.row_number().over(Window.partitionBy("label").orderBy("row_idx")) - 1
     parts, most = parts.select("label", number.alias("n"), "wkt"), UNION_PARTS
     while True:  # unions of a few, then unions of these: no row holds a whole large component
-        lists = parts.groupBy("label", F.floor(F.col("n") / most).alias("n")).agg(F.sort_array(F.collect_list(F.struct(F.col("n").alias("o"), "wkt"))).alias("g"))
+        lists = parts.groupBy("label", F.floor(F.col("n") / most).alias("n")).agg(
+            F.sort_array(F.collect_list(F.struct(F.col("n").alias("o"), "wkt"))).alias("g")
+        )
         texts = F.transform("g", lambda x: x["wkt"])
-        parts = written(lists.select("label", "n", F.when(F.size("g") == 1, F.get(texts, F.lit(0))).otherwise(shapes.union_of(F.when(F.size("g") > 1, texts))).alias("wkt")), "unions")
+        parts = written(
+            lists.select(
+                "label",
+                "n",
+                F.when(F.size("g") == 1, F.get(texts, F.lit(0))).otherwise(shapes.union_of(F.when(F.size("g") > 1, texts))).alias("wkt"),
+            ),
+            "unions",
+        )
         if parts.where("n > 0").isEmpty():
             return components.join(parts.select("label", F.col("wkt").alias(column)), "label", "left")

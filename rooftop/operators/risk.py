@@ -25,7 +25,12 @@ def dense_development(points: DataFrame, settings: config.Settings = config.Sett
     limits = statistics.with_quantiles(df, {f"__{c}": (c, settings.dense_quantile) for c in columns}, ranks)
     limits = limits.withColumns({n: flag(F.col(c) >= F.col(f"__{c}")) for c, n in columns.items()}).drop(*[f"__{c}" for c in columns])
     ranked = written(statistics.with_rank_pct(limits, {c: f"__r_{c}" for c in columns}, ranks), "ranked")
-    ranked = ranked.withColumns({"dense_area": F.col("dense_by_neighbors") | F.col("dense_by_coverage"), "dense_score": F.col("__r_neighbors_250m") * 0.5 + F.col("__r_coverage_ratio_250m") * 0.5})
+    ranked = ranked.withColumns(
+        {
+            "dense_area": F.col("dense_by_neighbors") | F.col("dense_by_coverage"),
+            "dense_score": F.col("__r_neighbors_250m") * 0.5 + F.col("__r_coverage_ratio_250m") * 0.5,
+        }
+    )
     return ranked.drop(*[f"__r_{c}" for c in columns])
 
 
@@ -39,7 +44,14 @@ def eco_risk(df: DataFrame) -> DataFrame:
     df = df.withColumns({"footprint_area_m2": F.when(area > 0, area), "__height": F.col("height_final_full")})
     df = statistics.with_quantiles(df, {"__area": ("footprint_area_m2", 0.5), "__middle": ("height_final_full", 0.5)})
     filled = {"footprint_area_m2": F.coalesce("footprint_area_m2", "__area", F.lit(1.0)), "__height": F.coalesce("__height", "__middle", F.lit(0.0))}
-    df = df.withColumns({**filled, "dense_score_norm": clip(F.coalesce("dense_score", F.lit(0.0)), 0.0, 1.0), "__raw": F.coalesce("n_a", F.lit(0)) + F.coalesce("n_b", F.lit(0)), "match_risk_score": mapped(F.col("match_type"), config.MATCH_RISK, 0.5)})
+    df = df.withColumns(
+        {
+            **filled,
+            "dense_score_norm": clip(F.coalesce("dense_score", F.lit(0.0)), 0.0, 1.0),
+            "__raw": F.coalesce("n_a", F.lit(0)) + F.coalesce("n_b", F.lit(0)),
+            "match_risk_score": mapped(F.col("match_type"), config.MATCH_RISK, 0.5),
+        }
+    )
     df = written(df.drop("__area", "__middle"), "filled")
     df = statistics.with_rank_pct(df, {"__height": "height_score", "footprint_area_m2": "footprint_score", "__raw": "component_complexity_score"})
     df = df.withColumn("urban_complexity_score", F.col("match_risk_score") * 0.7 + F.col("component_complexity_score") * 0.3)

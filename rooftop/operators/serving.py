@@ -61,16 +61,31 @@ def eco_class(level: Column) -> Column:
 
 def paint(layer: DataFrame, by: str = "density") -> DataFrame:
     """Adds paint_class, paint_colour and paint_label (of the legend) of the chosen layer, and elevation."""
-    chosen = {"confidence": confidence_class(F.col("confidence_score")), "density": density_class(F.col("dense_score")), "eco_risk": eco_class(F.col("eco_risk_level"))}[by]
+    chosen = {
+        "confidence": confidence_class(F.col("confidence_score")),
+        "density": density_class(F.col("dense_score")),
+        "eco_risk": eco_class(F.col("eco_risk_level")),
+    }[by]
     layer = layer.withColumn("paint_class", chosen)
-    return layer.withColumns({"paint_colour": mapped(F.col("paint_class"), COLOURS[by], None), "paint_label": mapped(F.col("paint_class"), LEGENDS[by], None), "elevation": F.coalesce("height_final_full", F.lit(0.0))})
+    return layer.withColumns(
+        {
+            "paint_colour": mapped(F.col("paint_class"), COLOURS[by], None),
+            "paint_label": mapped(F.col("paint_class"), LEGENDS[by], None),
+            "elevation": F.coalesce("height_final_full", F.lit(0.0)),
+        }
+    )
 
 
 def insight(layer: DataFrame) -> DataFrame:
     """Adds insight_level, insight_title, insight_text; the first condition that holds decides."""
     dense, sure, level = F.coalesce("dense_score", F.lit(0.0)), F.coalesce("confidence_score", F.lit(0.0)), F.coalesce("eco_risk_level", F.lit("medium"))
-    which = F.when(dense >= 0.7, "dense").when(sure < 0.3, "unsure").when(level == "high", "risk").when((level == "medium") | (dense >= 0.4), "middle").otherwise("good")
-    return layer.withColumns({f"insight_{n}": mapped(which, {k: v[i] for k, v in INSIGHTS.items()}, None) for i, n in enumerate(("level", "title", "text"))})
+    which = F.when(dense >= 0.7, "dense").when(sure < 0.3, "unsure").when(level == "high", "risk").when(
+        (level == "medium") | (dense >= 0.4),
+        "middle",
+    ).otherwise("good")
+    return layer.withColumns(
+        {f"insight_{n}": mapped(which, {k: v[i] for k, v in INSIGHTS.items()}, None) for i, n in enumerate(("level", "title", "text"))}
+    )
 
 
 def match_label(kind: Column) -> Column:
@@ -81,7 +96,15 @@ def tooltip(layer: DataFrame) -> DataFrame:
     """Adds the tooltip's texts: height with one decimal, scores in whole per cent, a dash for nulls."""
     percent = lambda c: F.coalesce(F.concat(F.round(F.col(c) * 100, 0).cast("int").cast("string"), F.lit("%")), F.lit("—"))
     height = F.concat(F.round("height_final_full", 1).cast("decimal(12,1)").cast("string"), F.lit(" м"))
-    return layer.withColumns({"tip_height": F.coalesce(height, F.lit("—")), "tip_confidence": percent("confidence_score"), "tip_density": percent("dense_score"), "tip_match": match_label(F.col("match_type")), "tip_risk": F.coalesce("eco_risk_level", F.lit("—"))})
+    return layer.withColumns(
+        {
+            "tip_height": F.coalesce(height, F.lit("—")),
+            "tip_confidence": percent("confidence_score"),
+            "tip_density": percent("dense_score"),
+            "tip_match": match_label(F.col("match_type")),
+            "tip_risk": F.coalesce("eco_risk_level", F.lit("—")),
+        }
+    )
 
 
 def search(rows: DataFrame, text: str, column: str = "address", order: str = "row_idx", limit: int = SEARCH_ROWS) -> DataFrame:

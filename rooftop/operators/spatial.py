@@ -34,7 +34,10 @@ def box_join(a: DataFrame, b: DataFrame, size: float = 64.0) -> DataFrame:
     box = ("minx", "miny", "maxx", "maxy")
     a, b = (df.withColumnsRenamed({c: f"{s}_{c}" for c in box}) for df, s in ((a, "a"), (b, "b")))
     for_a, for_b = (
-        df.where(F.col(f"{s}_minx").isNotNull()).select("*", _cells(F.col(f"{s}_minx"), F.col(f"{s}_maxx"), size).alias(f"{s}_gx")).select("*", _cells(F.col(f"{s}_miny"), F.col(f"{s}_maxy"), size).alias(f"{s}_gy"))
+        df.where(F.col(f"{s}_minx").isNotNull()).select(
+            "*",
+            _cells(F.col(f"{s}_minx"), F.col(f"{s}_maxx"), size).alias(f"{s}_gx"),
+        ).select("*", _cells(F.col(f"{s}_miny"), F.col(f"{s}_maxy"), size).alias(f"{s}_gy"))
         for df, s in ((a, "a"), (b, "b"))
     )
     x, y = F.greatest("a_minx", "b_minx"), F.greatest("a_miny", "b_miny")
@@ -50,9 +53,25 @@ def radius_pairs(points: DataFrame, radius: float, payload: list[str] = ()) -> D
     Cells are as wide as the radius; one side is copied to the nine cells around it.
     """
     cell = [F.floor(F.col(c) / radius) for c in ("cx", "cy")]
-    here = points.where("cx is not null and cy is not null").select(F.col("row_idx").alias("id"), F.col("cx").alias("x"), F.col("cy").alias("y"), cell[0].alias("gx"), cell[1].alias("gy"))
-    near = points.where("cx is not null and cy is not null").select(F.col("row_idx").alias("other"), F.col("cx").alias("ox"), F.col("cy").alias("oy"), *[F.col(p).alias(f"other_{p}") for p in payload], cell[0].alias("hx"), cell[1].alias("hy"))
-    near = near.select("*", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)])).alias("i")).select("*", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)])).alias("j"))
+    here = points.where("cx is not null and cy is not null").select(
+        F.col("row_idx").alias("id"),
+        F.col("cx").alias("x"),
+        F.col("cy").alias("y"),
+        cell[0].alias("gx"),
+        cell[1].alias("gy"),
+    )
+    near = points.where("cx is not null and cy is not null").select(
+        F.col("row_idx").alias("other"),
+        F.col("cx").alias("ox"),
+        F.col("cy").alias("oy"),
+        *[F.col(p).alias(f"other_{p}") for p in payload],
+        cell[0].alias("hx"),
+        cell[1].alias("hy"),
+    )
+    near = near.select(
+        "*",
+        F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)])).alias("i"),
+    ).select("*", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)])).alias("j"))
     near = near.withColumns({"hx": F.col("hx") + F.col("i"), "hy": F.col("hy") + F.col("j")}).drop("i", "j")
     d2 = (F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox")) + (F.col("y") - F.col("oy")) * (F.col("y") - F.col("oy"))
     found = here.join(near, (F.col("gx") == F.col("hx")) & (F.col("gy") == F.col("hy")) & (F.col("id") != F.col("other")) & (d2 <= radius * radius))
@@ -61,9 +80,17 @@ def radius_pairs(points: DataFrame, radius: float, payload: list[str] = ()) -> D
 
 def neighbour_sums(points: DataFrame, radius: float, area: str = "footprint_area_m2") -> DataFrame:
     """Adds the number of neighbours within radius and the sum of their areas, 0 for none."""
-    sums = radius_pairs(points, radius, [area]).groupBy("id").agg(F.count(F.lit(1)).alias("neighbors_250m"), F.sum(f"other_{area}").alias("neighbor_footprint_sum_250m"))
+    sums = radius_pairs(points, radius, [area]).groupBy("id").agg(
+        F.count(F.lit(1)).alias("neighbors_250m"),
+        F.sum(f"other_{area}").alias("neighbor_footprint_sum_250m"),
+    )
     out = points.join(sums.withColumnRenamed("id", "row_idx"), "row_idx", "left")
-    return out.withColumns({"neighbors_250m": F.coalesce("neighbors_250m", F.lit(0)), "neighbor_footprint_sum_250m": F.coalesce("neighbor_footprint_sum_250m", F.lit(0.0))})
+    return out.withColumns(
+        {
+            "neighbors_250m": F.coalesce("neighbors_250m", F.lit(0)),
+            "neighbor_footprint_sum_250m": F.coalesce("neighbor_footprint_sum_250m", F.lit(0.0)),
+        }
+    )
 
 
 def with_islands(points: DataFrame, radius: float) -> DataFrame:
@@ -88,7 +115,14 @@ def local_moran(points: DataFrame, radius: float) -> DataFrame:
     i = F.try_divide((F.col("n") - 1) * F.col("z") * F.col("lag"), F.col("ss"))
     high, above = F.col("z") > 0, F.col("lag") > 0
     quad = F.when(high & above, 1).when(~high & above, 2).when(~high & ~above, 3).when(high & ~above, 4)
-    return out.select("row_idx", "z", F.coalesce("k", F.lit(0)).alias("k"), "lag", i.alias("lisa_I"), F.when(F.col("lag").isNotNull(), quad).alias("lisa_quad"))
+    return out.select(
+        "row_idx",
+        "z",
+        F.coalesce("k", F.lit(0)).alias("k"),
+        "lag",
+        i.alias("lisa_I"),
+        F.when(F.col("lag").isNotNull(), quad).alias("lisa_quad"),
+    )
 
 
 def _picks(rng: np.random.Generator, permutations: int, k: int, m: int) -> Iterator[np.ndarray]:
@@ -195,7 +229,10 @@ def _far_pairs(left: DataFrame, pool: DataFrame, width: float, want: int) -> Dat
     """
     part = width / 8
     parts = pool.withColumns({"px": F.floor(F.col("train_x") / part), "py": F.floor(F.col("train_y") / part)})
-    boxes = parts.groupBy("px", "py").agg(F.count(F.lit(1)).alias("n"), *[f(f"train_{c}").alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)])
+    boxes = parts.groupBy("px", "py").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(f"train_{c}").alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)],
+    )
     boxes = boxes.withColumns({"gx": F.floor(F.col("px") / 8), "gy": F.floor(F.col("py") / 8)})
     side = lambda f: [f(F.col(f"min_{c}"), F.col(f"max_{c}"), F.col(f"query_{c}")) for c in "xy"]
     dx, dy = side(_apart)
@@ -215,11 +252,26 @@ def nearest(queries: DataFrame, train: DataFrame, k: int, cell: float, target: s
     that matter are opened. Rounds are written, and end when no query is left. Cells are at most `cell` wide at first,
     less where points are dense. All k nearest are exact.
     """
-    point = lambda df, s: df.where("cx is not null and cy is not null").select(F.col("row_idx").alias(f"{s}_idx"), F.col("cx").alias(f"{s}_x"), F.col("cy").alias(f"{s}_y"), *([F.col(target).alias("y")] if s == "train" else []))
+    point = lambda df, s: df.where("cx is not null and cy is not null").select(
+        F.col("row_idx").alias(f"{s}_idx"),
+        F.col("cx").alias(f"{s}_x"),
+        F.col("cy").alias(f"{s}_y"),
+        *([F.col(target).alias("y")] if s == "train" else []),
+    )
     left, pool = written(point(queries, "query"), "queries"), written(point(train, "train"), "pool")
-    at = pool.agg(F.count(F.lit(1)).alias("n"), (F.max("train_x") - F.min("train_x")).alias("w"), (F.max("train_y") - F.min("train_y")).alias("h")).first()
+    at = pool.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.max("train_x") - F.min("train_x")).alias("w"),
+        (F.max("train_y") - F.min("train_y")).alias("h"),
+    ).first()
     want, done = min(k, max(0, at.n - exclude_self)), None
-    empty = left.select(F.col("query_idx").alias("row_idx"), F.lit(0).cast("long").alias("train_idx"), F.lit(0.0).alias("d"), F.lit(0.0).alias("y"), F.lit(1).alias("place")).limit(0)
+    empty = left.select(
+        F.col("query_idx").alias("row_idx"),
+        F.lit(0).cast("long").alias("train_idx"),
+        F.lit(0.0).alias("d"),
+        F.lit(0.0).alias("y"),
+        F.lit(1).alias("place"),
+    ).limit(0)
     if not want:
         return empty
     width = min(cell, max(cell / 64, math.sqrt(max(at.w, 1.0) * max(at.h, 1.0) * want / at.n)))
@@ -229,9 +281,17 @@ def nearest(queries: DataFrame, train: DataFrame, k: int, cell: float, target: s
         dx, dy = F.col("query_x") - F.col("train_x"), F.col("query_y") - F.col("train_y")
         pairs = pairs.where(F.col("query_idx") != F.col("train_idx")) if exclude_self else pairs
         place = F.row_number().over(Window.partitionBy("query_idx").orderBy("d", "train_idx"))
-        found = pairs.select("query_idx", "train_idx", F.sqrt(dx * dx + dy * dy).alias("d"), "y").withColumn("place", place).where(F.col("place") <= want)
+        found = pairs.select(
+            "query_idx",
+            "train_idx",
+            F.sqrt(dx * dx + dy * dy).alias("d"),
+            "y",
+        ).withColumn("place", place).where(F.col("place") <= want)
         last = F.max(F.when(F.col("place") == want, F.col("d"))).over(Window.partitionBy("query_idx"))
-        sure = written(found.withColumn("last", last).where(F.col("last") <= width).select(F.col("query_idx").alias("row_idx"), "train_idx", "d", "y", "place"), "nearest")
+        sure = written(
+            found.withColumn("last", last).where(F.col("last") <= width).select(F.col("query_idx").alias("row_idx"), "train_idx", "d", "y", "place"),
+            "nearest",
+        )
         done = sure if done is None else done.unionByName(sure)
         left = written(left.join(sure.where("place = 1").select(F.col("row_idx").alias("query_idx")), "query_idx", "left_anti"), "queries")
         width, first = width * 4, False

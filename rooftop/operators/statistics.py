@@ -76,7 +76,9 @@ def with_iqr_flags(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFra
     columns = [c for c in columns if c in df.columns]
     df = with_quantiles(df, {f"{c}_{q}": (c, p) for c in columns for q, p in (("q1", 0.25), ("q3", 0.75))})
     df = df.withColumns({f"{c}_iqr": F.col(f"{c}_q3") - F.col(f"{c}_q1") for c in columns})
-    df = df.withColumns({f"{c}_{n}": f for c in columns for n, f in (("lower_fence", F.col(f"{c}_q1") - k * F.col(f"{c}_iqr")), ("upper_fence", F.col(f"{c}_q3") + k * F.col(f"{c}_iqr")))})
+    df = df.withColumns(
+        {f"{c}_{n}": f for c in columns for n, f in (("lower_fence", F.col(f"{c}_q1") - k * F.col(f"{c}_iqr")), ("upper_fence", F.col(f"{c}_q3") + k * F.col(f"{c}_iqr")))}
+    )
     return df.withColumns({f"{c}_iqr_bad": flag((F.col(c) < F.col(f"{c}_lower_fence")) | (F.col(c) > F.col(f"{c}_upper_fence"))) for c in columns})
 
 

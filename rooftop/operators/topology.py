@@ -20,13 +20,25 @@ def diagnostics(df: DataFrame, column: str = "geometry", metric: bool = False) -
     flat = F.col("__s").isNull() & F.col("__d.geom_type").isNotNull()  # points and lines
     area = F.when(flat, F.lit(0.0)).otherwise(geometry.area(F.col("__s") if metric else geometry.to_metres(F.col("__s"))))
     report = ["is_empty", "is_valid", "valid_reason", "geom_type"]
-    df = df.select("row_idx", F.col("__w").isNull().alias("is_missing"), *[f"__d.{c}" for c in report], area.alias("area_m2"), geometry.wrong_orientation(F.col("__s")).alias("wrong_ring_orientation"))
+    df = df.select(
+        "row_idx",
+        F.col("__w").isNull().alias("is_missing"),
+        *[f"__d.{c}" for c in report],
+        area.alias("area_m2"),
+        geometry.wrong_orientation(F.col("__s")).alias("wrong_ring_orientation"),
+    )
     df = df.withColumn("zero_area", ~F.col("is_empty") & flag(F.col("area_m2") <= 1e-9))
     return df.withColumn("needs_attention", F.col("is_missing") | F.col("is_empty") | ~F.col("is_valid") | F.col("zero_area"))
 
 
 def counters(report: DataFrame) -> DataFrame:
-    return report.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("is_valid")).alias("invalid"), F.count_if("is_empty").alias("empty"), F.count_if("zero_area").alias("zero_area"), F.count_if("wrong_ring_orientation").alias("wrong_orientation"))
+    return report.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("is_valid")).alias("invalid"),
+        F.count_if("is_empty").alias("empty"),
+        F.count_if("zero_area").alias("zero_area"),
+        F.count_if("wrong_ring_orientation").alias("wrong_orientation"),
+    )
 
 
 def repair(df: DataFrame, column: str = "geometry") -> DataFrame:

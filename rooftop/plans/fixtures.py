@@ -29,7 +29,8 @@ BLD_A = """
   case when c_custkey % 19 = 0 then null when c_custkey % 71 = 0 then 12e0 else 40e0 + (c_custkey*37 % 3000) end as area_sq_m,
   case when c_custkey % 7 = 0 then null when c_custkey % 67 = 0 then 0e0 else 1e0 + c_custkey % 12 end as gkh_floor_count_min,
   case when c_custkey % 7 = 0 then null else 1e0 + (c_custkey*3) % 14 end as gkh_floor_count_max,
-  case when c_custkey % 10 = 0 then null else concat('ул. Тёплая, д. ', cast(c_custkey % 40 as varchar(20)), case when c_custkey % 6 = 0 then 'а' else '' end) end as gkh_address
+  case when c_custkey % 10 = 0 then null else concat('ул. Тёплая, д. ', cast(c_custkey % 40 as varchar(20)),
+  case when c_custkey % 6 = 0 then 'а' else '' end) end as gkh_address
  from customer"""
 
 
@@ -46,7 +47,11 @@ def buildings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def with_wkt(df: DataFrame, name: str = "geom_wkt") -> DataFrame:
     """Adds the rectangle as WKT; every fourth ring runs clockwise."""
-    corner = lambda dx, dy: F.concat_ws(" ", (F.col("x0") + F.col("w") * dx).cast("bigint"), (F.col("y0") + F.col("h") * dy).cast("bigint"))
+    corner = lambda dx, dy: F.concat_ws(
+        " ",
+        (F.col("x0") + F.col("w") * dx).cast("bigint"),
+        (F.col("y0") + F.col("h") * dy).cast("bigint"),
+    )
     ccw = F.array(*[corner(*c) for c in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
     ring = F.when(F.col("row_idx") % 4 == 0, F.reverse(ccw)).otherwise(ccw)
     return df.withColumn(name, F.concat(F.lit("POLYGON (("), F.array_join(ring, ", "), F.lit("))")))

@@ -43,7 +43,15 @@ def located(df: DataFrame, metric: bool = False) -> DataFrame:
     df = df.withColumn("__s", shapes if metric else geometry.to_metres(shapes))
     s = F.col("__s")
     area = geometry.area(s)
-    return df.withColumns({"geom_wkt": geometry.write_wkt(s), **geometry.box(s), "area": F.when(area > 0, area), "perimeter": geometry.perimeter(s), **geometry.centroid(s)}).drop("__s")
+    return df.withColumns(
+        {
+            "geom_wkt": geometry.write_wkt(s),
+            **geometry.box(s),
+            "area": F.when(area > 0, area),
+            "perimeter": geometry.perimeter(s),
+            **geometry.centroid(s),
+        }
+    ).drop("__s")
 
 
 def clean_sources(a: DataFrame, b: DataFrame, settings: config.Settings) -> tuple[DataFrame, DataFrame]:
@@ -59,14 +67,29 @@ def spatial_matching(a: DataFrame, b: DataFrame, settings: config.Settings) -> t
     return strong, members, matching.component_geometry(table, members, a, b, "geometry")
 
 
-def height_recovery(components: DataFrame, members: DataFrame, a: DataFrame, b: DataFrame, settings: config.Settings, enable_ml: bool = True, metric: bool = False) -> tuple[DataFrame, DataFrame]:
+def height_recovery(
+    components: DataFrame,
+    members: DataFrame,
+    a: DataFrame,
+    b: DataFrame,
+    settings: config.Settings,
+    enable_ml: bool = True,
+    metric: bool = False,
+) -> tuple[DataFrame, DataFrame]:
     df = heights.select_height(heights.member_lists(components, members, a, b), settings)
     df = heights.baseline_features(heights.pipeline_flags(df, settings.review_confidence), members, a, b)
     df = located(df, metric).withColumn("row_idx", F.col("component_id"))
     return learning.fill_heights(written(df, "heights"), settings, enable_ml)
 
 
-def run(spark: SparkSession, path_a: str, path_b: str, settings: config.Settings = config.Settings(), enable_ml: bool = True, metric: bool = False) -> Result:
+def run(
+    spark: SparkSession,
+    path_a: str,
+    path_b: str,
+    settings: config.Settings = config.Settings(),
+    enable_ml: bool = True,
+    metric: bool = False,
+) -> Result:
     """All stages over two CSV sources. metric: their coordinates are metres already."""
     a, b = tables.load_sources(spark, path_a, path_b)
     (a, a_before, a_after), (b, b_before, b_after) = (topology.run(x, metric=metric) for x in (a, b))

@@ -22,7 +22,13 @@ def features(layer: DataFrame) -> DataFrame:
     """feature: one GeoJSON text a row; nulls among the properties are kept."""
     names = [c for c in layer.columns if c != "geometry"]
     properties = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}) if names else F.lit("{}")
-    body = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), F.coalesce(geometry_json(F.col("geometry")), F.lit("null")), F.lit("}"))
+    body = F.concat(
+        F.lit('{"type":"Feature","properties":'),
+        properties,
+        F.lit(',"geometry":'),
+        F.coalesce(geometry_json(F.col("geometry")), F.lit("null")),
+        F.lit("}"),
+    )
     return layer.select(body.alias("feature"))
 
 

@@ -9,8 +9,29 @@ from rooftop.functions.values import no_nan
 from rooftop.session import written
 
 #: Columns that the pipeline reads, with their types; others pass through as text.
-A_SCHEMA = {"id": "string", "geometry": "string", "area_sq_m": "double", "gkh_floor_count_min": "double", "gkh_floor_count_max": "double", "gkh_address": "string", "address": "string"}
-B_SCHEMA = {"id": "string", "geometry": "string", "wkt": "string", "height": "double", "stairs": "double", "avg_floor_height": "double", "name_street": "string", "number": "string", "district": "string", "locality": "string", "purpose_of_building": "string", "type": "string"}
+A_SCHEMA = {
+    "id": "string",
+    "geometry": "string",
+    "area_sq_m": "double",
+    "gkh_floor_count_min": "double",
+    "gkh_floor_count_max": "double",
+    "gkh_address": "string",
+    "address": "string",
+}
+B_SCHEMA = {
+    "id": "string",
+    "geometry": "string",
+    "wkt": "string",
+    "height": "double",
+    "stairs": "double",
+    "avg_floor_height": "double",
+    "name_street": "string",
+    "number": "string",
+    "district": "string",
+    "locality": "string",
+    "purpose_of_building": "string",
+    "type": "string",
+}
 #: Texts that stand for a missing value.
 NULLS = ["", "NA", "N/A", "nan", "NaN", "null", "NULL", "None"]
 
@@ -24,14 +45,24 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     split = {"__f": F.col("_metadata.file_path"), "__b": F.col("_metadata.file_block_start"), "__m": F.monotonically_increasing_id()}
     placed = written(raw.drop(*[c for c in raw.columns if c in ("_c0", "Unnamed: 0", "")]).withColumns(split), "csv")
     before = F.sum("n").over(Window.orderBy("__f", "__b").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file split
-    offsets = placed.groupBy("__f", "__b").agg(F.count(F.lit(1)).alias("n"), F.min("__m").alias("__lo")).select("__f", "__b", "__lo", F.coalesce(before, F.lit(0)).alias("__o"))
+    offsets = placed.groupBy("__f", "__b").agg(F.count(F.lit(1)).alias("n"), F.min("__m").alias("__lo")).select(
+        "__f",
+        "__b",
+        "__lo",
+        F.coalesce(before, F.lit(0)).alias("__o"),
+    )
     placed = placed.join(F.broadcast(offsets), ["__f", "__b"])
     return placed.withColumn("row_idx", F.col("__o") + F.col("__m") - F.col("__lo")).drop("__m", "__f", "__b", "__o", "__lo")
 
 
 def ensure_columns(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Casts the columns of a schema and adds missing ones as nulls; missing texts and numbers that can't be read are null."""
-    found = {c: F.when(~F.trim(F.col(c)).isin(NULLS), F.col(c)) if t == "string" else F.expr(f"try_cast(`{c}` as {t})") for c, t in schema.items() if c in df.columns}
+    found = {
+        c: F.when(
+            ~F.trim(F.col(c)).isin(NULLS),
+            F.col(c),
+        ) if t == "string" else F.expr(f"try_cast(`{c}` as {t})") for c, t in schema.items() if c in df.columns
+    }
     missing = {c: F.lit(None).cast(t) for c, t in schema.items() if c not in df.columns}
     return no_nan(df.withColumns({**found, **missing}))
 

@@ -16,4 +16,7 @@ def flagged(stream: DataFrame) -> DataFrame:
 def fault_counts(stream: DataFrame, time: str = "ts", width: str = "10 minutes", late: str = "30 minutes", column: str = "height") -> DataFrame:
     """Rows and physical faults by window; rows later than late are left out."""
     rows = flagged(stream).withWatermark(time, late)
-    return rows.groupBy(F.window(time, width).alias("w")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(f"{column}_phys_bad").alias("faults")).select("w.start", "w.end", "rows", "faults")
+    return rows.groupBy(F.window(time, width).alias("w")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(f"{column}_phys_bad").alias("faults"),
+    ).select("w.start", "w.end", "rows", "faults")
