@@ -9,7 +9,7 @@ from rooftop.functions.values import flag
 from rooftop.session import written
 
 #: Distinct values that one task may put in order; more are dealt to ranges that are ordered in parallel.
-ONE_TASK = 200_000
+ONE_TASK = 1_000_000
 
 
 def in_ranges(counts: DataFrame) -> DataFrame:
@@ -29,8 +29,9 @@ def value_ranks(df: DataFrame, column: str, most: int = ONE_TASK) -> DataFrame:
     counts = written(counts, "values")
     earlier = lambda w: w.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     if counts.count() <= most:
-        every = Window.partitionBy()
-        return counts.select("v", "c", F.sum("c").over(every).alias("n"), F.coalesce(F.sum("c").over(earlier(every)), F.lit(0)).alias("before"))
+        n = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+        before = F.coalesce(F.sum("c").over(earlier(Window.partitionBy())), F.lit(0))
+        return counts.select("v", "c", F.lit(n).cast("long").alias("n"), before.alias("before"))
     dealt, lower = in_ranges(counts), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = dealt.groupBy("part").agg(F.sum("c").alias("own"))  # a row for each range
     sums = sums.select("part", F.coalesce(F.sum("own").over(lower), F.lit(0)).alias("offset"), F.sum("own").over(Window.partitionBy()).alias("n"))
