@@ -245,5 +245,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """op6's columns for each row of docs."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row of docs; null and empty texts have no tokens.
+
+    Repeated rows and ids are encoded each, a null id stays null; an empty table gives no rows.
+    """
     return digests(docs, public_tokenizers.path(RANKS))

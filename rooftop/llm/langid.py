@@ -188,6 +188,10 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_co
     return train(sample.column("text").to_pylist(), sample.column("lang").to_pylist())
 
 
+#: Columns that identify adds; columns of these names in its input are replaced.
+ADDED = ("lang_pred", "score", "accepted")
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Adds lang_pred, score and accepted to docs, without a shuffle.
 
@@ -196,7 +200,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """
     common.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "accepted")]
+    names = [c for c in docs.columns if c not in ADDED]
     docs = docs.select(*names)
     at = names.index(text_col)
 
@@ -224,5 +228,11 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_langid(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the operator accepts, with their columns as they are."""
-    return identify(docs, fit(docs)).where("accepted").select(*docs.columns)
+    """Documents that the operator accepts, with their columns as they are, whatever their names.
+
+    Each row is judged by its text alone, so repeated rows and ids stay together. Null texts and texts without letters
+    go; an empty table gives no rows.
+    """
+    own = {c: f"__own_{c}" for c in docs.columns if c in ADDED}
+    kept = identify(docs.withColumnsRenamed(own), fit(docs)).where("accepted").drop(*ADDED)
+    return kept.withColumnsRenamed({new: c for c, new in own.items()}).select(*docs.columns)

@@ -126,7 +126,9 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_words, log_score (sum of the natural logs of the words' scores), mean_log_score of every document.
+    """doc_id, n_words, mean_log_score, log_score (sum of the natural logs of the words' scores) of every document.
+
+    Texts of unlike lengths are compared by the mean; the sum grows with a text.
 
     Counts cover all documents. A word's score is count / count of its context for the longest n-gram that occurs
     at least `least` times, times alpha for each step back; a single word's is its count / all words. Words are
@@ -200,8 +202,8 @@ def score_documents(
         mean = [s / k if k else None for s, k in zip(lone, n.tolist(), strict=True)]
         ids = pa.concat_arrays([x.values for x in rows.column("ids")])
         return pa.table(
-            [ids, pa.array(n, pa.int64()), pa.array(lone, pa.float64()), pa.array(mean, pa.float64())],
-            ["doc_id", "n_words", "log_score", "mean_log_score"],
+            [ids, pa.array(n, pa.int64()), pa.array(mean, pa.float64()), pa.array(lone, pa.float64())],
+            ["doc_id", "n_words", "mean_log_score", "log_score"],
         )
 
     # As many partitions as groups at least, so that what a task reads stays the size of a chunk.
@@ -211,7 +213,7 @@ def score_documents(
     totals = blocks.repartition(parts, "bucket").groupBy("bucket").applyInArrow(total, _TOTALS)
     return docs.groupBy("chunk").cogroup(totals.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(
         score,
-        "doc_id long, n_words long, log_score double, mean_log_score double",
+        "doc_id long, n_words long, mean_log_score double, log_score double",
     )
 
 

@@ -121,6 +121,10 @@ def test_stages_of_languages_and_tokens_keep_each_row(spark):
     got = collections.Counter((r.doc_id, r.text) for r in langid.stage_langid(spark, docs, "").collect())
     predicted = [(i, t, *(x[0] for x in model.predict(__import__("pyarrow").array([t], "string")))) for i, t, _ in rows]
     assert got == collections.Counter((i, t) for i, t, lang, score in predicted if lang != "und" and score >= model.least)
+    clash = docs.selectExpr("*", "cast(doc_id as string) as score", "true as accepted", "n_chars as lang_pred")
+    same = langid.stage_langid(spark, clash, "")
+    assert same.columns == clash.columns and collections.Counter((r.doc_id, r.text) for r in same.collect()) == got
+    assert same.where("not score <=> cast(doc_id as string) or not accepted").count() == 0
     assert got[(None, rows[1][1])] == 1 and got[rows[0][:2]] == 2 and got[(7, "the ing er " * 30_000)] == 1 and not {(5, None), (5, ""), (6, "12 34")} & set(got)
     content = open(public_tokenizers.path(bpe.RANKS), "rb").read()
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={__import__("base64").b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}, special_tokens={})
