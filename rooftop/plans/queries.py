@@ -712,7 +712,13 @@ def knn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.knn_features(b, b.where("height is not null"), 5, 100.0, "height").select("row_idx", *_r("knn_height_mean", "knn_dist_mean"))
 
 
-@query()
+@query(f"""{FIX}, grp as (select concat(cast(floor((x0 + w/2)/200) as bigint), '_', cast(floor((y0 + h/2)/200) as bigint)) as spatial_group, count(*) as size from bld_b group by 1),
+ ord as (select *, row_number() over (order by size desc, spatial_group) as i from grp),
+ deal as (select 0::bigint as i, ''::varchar as spatial_group, 0::bigint as size, 0::bigint as fold, list_resize([]::bigint[], least(5, count(*)), 0) as loads from ord
+  union all select o.i, o.spatial_group, o.size, list_position(loads, list_min(loads)) - 1,
+  list_concat(list_concat(loads[:list_position(loads, list_min(loads)) - 1], [list_min(loads) + o.size]), loads[list_position(loads, list_min(loads)) + 1:])
+  from deal d join ord o on o.i = d.i + 1)
+ select spatial_group, size, fold::int as fold from deal where i > 0""")
 def spatial_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.folds(learning.spatial_groups(buildings(spark, sf_dir)[1], 200.0), 5)
 
