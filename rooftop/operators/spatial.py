@@ -21,30 +21,44 @@ from rooftop.session import scratch_path, written
 BLOCK, DRAWS, SLICE = 1 << 22, 1 << 22, 1000
 
 
-def _cells(low: Column, high: Column, size: float) -> Column:
+def _cells(low: Column, high: Column, size: Column) -> Column:
     return F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
 
 
+def _leveled(df: DataFrame, s: str, size: float) -> DataFrame:
+    """Rows with a box, and the level of the grid whose cells are as wide as the box: 0 up to size, one more for each doubling."""
+    wide = F.greatest(F.col(f"{s}_maxx") - F.col(f"{s}_minx"), F.col(f"{s}_maxy") - F.col(f"{s}_miny"), F.lit(size))
+    return df.where(F.col(f"{s}_minx").isNotNull()).withColumn(f"{s}_level", F.ceil(F.log2(wide / size)).cast("int"))
+
+
 def box_join(a: DataFrame, b: DataFrame, size: float = 64.0) -> DataFrame:
     """Rows of a and b whose boxes touch. Both need minx, miny, maxx, maxy and no other column in common.
 
     Boxes go to all grid cells that they touch; an equi-join on the cell finds the pairs, and a pair counts only in
-    the cell of its boxes' common lower corner, so no distinct follows. Rows with null boxes join nothing.
+    the cell of its boxes' common lower corner, so no distinct follows. Cells double in width from level to level: a pair
+    meets on the level of its larger box, so that a box is in four cells at most of each level that the other side
+    has, however large it is. Rows with null boxes join nothing.
     """
     box = ("minx", "miny", "maxx", "maxy")
-    a, b = (df.withColumnsRenamed({c: f"{s}_{c}" for c in box}) for df, s in ((a, "a"), (b, "b")))
-    for_a, for_b = (
-        df.where(F.col(f"{s}_minx").isNotNull()).select(
-            "*",
-            _cells(F.col(f"{s}_minx"), F.col(f"{s}_maxx"), size).alias(f"{s}_gx"),
-        ).select("*", _cells(F.col(f"{s}_miny"), F.col(f"{s}_maxy"), size).alias(f"{s}_gy"))
-        for df, s in ((a, "a"), (b, "b"))
-    )
-    x, y = F.greatest("a_minx", "b_minx"), F.greatest("a_miny", "b_miny")
+    a, b = (_leveled(df.withColumnsRenamed({c: f"{s}_{c}" for c in box}), s, size) for df, s in ((a, "a"), (b, "b")))
+    # A few dozen levels at most, since each doubles the width.
+    levels_a, levels_b = (sorted(r[0] for r in df.select(f"{s}_level").distinct().collect()) for df, s in ((a, "a"), (b, "b")))
+
+    def celled(df: DataFrame, s: str, others: list[int]) -> DataFrame:
+        own = F.col(f"{s}_level")
+        larger = F.filter(F.array(*map(F.lit, others)).cast("array<int>"), lambda n: n > own)
+        df = df.withColumn(f"{s}_at", F.explode(F.concat(F.array(own), larger)))
+        width = F.pow(F.lit(2.0), F.col(f"{s}_at")) * size
+        df = df.withColumn(f"{s}_gx", _cells(F.col(f"{s}_minx"), F.col(f"{s}_maxx"), width))
+        return df.withColumn(f"{s}_gy", _cells(F.col(f"{s}_miny"), F.col(f"{s}_maxy"), width))
+
+    for_a, for_b = celled(a, "a", levels_b), celled(b, "b", levels_a)
+    x, y, width = F.greatest("a_minx", "b_minx"), F.greatest("a_miny", "b_miny"), F.pow(F.lit(2.0), F.col("a_at")) * size
     touch = (x <= F.least("a_maxx", "b_maxx")) & (y <= F.least("a_maxy", "b_maxy"))
-    once = (F.col("a_gx") == F.floor(x / size)) & (F.col("a_gy") == F.floor(y / size))
-    found = for_a.join(for_b, (F.col("a_gx") == F.col("b_gx")) & (F.col("a_gy") == F.col("b_gy")) & touch & once)
-    return found.drop("a_gx", "a_gy", "b_gx", "b_gy")
+    once = (F.col("a_gx") == F.floor(x / width)) & (F.col("a_gy") == F.floor(y / width))
+    same = (F.col("a_at") == F.col("b_at")) & (F.col("a_gx") == F.col("b_gx")) & (F.col("a_gy") == F.col("b_gy"))
+    found = for_a.join(for_b, same & (F.col("a_at") == F.greatest("a_level", "b_level")) & touch & once)
+    return found.drop(*[f"{s}_{c}" for s in "ab" for c in ("level", "at", "gx", "gy")])
 
 
 def radius_pairs(points: DataFrame, radius: float, payload: list[str] = ()) -> DataFrame:

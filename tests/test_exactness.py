@@ -240,3 +240,14 @@ def test_vector_tiles_round_trip(spark, tmp_path):
             assert ("score" in p) == (p["component_id"] == 1)
     one = next(r for r in tiles if r.z == 11)
     assert mvt.read_vector_tile(spark, f"{tmp_path}/tiles", 11, one.x, one.y) == bytes(one.tile) and mvt.read_vector_tile(spark, f"{tmp_path}/tiles", 11, 0, 0) is None
+
+
+def test_boxes_of_all_sizes_meet_once(spark):
+    rnd = random.Random(3)
+    box = lambda i, w: (i, (x := rnd.uniform(-500, 500)), (y := rnd.uniform(-500, 500)), x + w * rnd.random(), y + w * rnd.random())
+    a = [box(i, rnd.choice([0, 20, 64, 500, 1e6])) for i in range(150)] + [(900, None, None, None, None), (901, 0.0, 0.0, 64.0, 64.0)]
+    b = [box(i, rnd.choice([0, 20, 300])) for i in range(150)] + [(902, 64.0, 64.0, 128.0, 128.0), (903, -1e9, -1e9, 1e9, 1e9)]
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} long, minx double, miny double, maxx double, maxy double")
+    got = sorted((r.ia, r.ib) for r in spatial.box_join(frame(a, "ia"), frame(b, "ib")).collect())
+    assert got == sorted((p[0], q[0]) for p in a for q in b if p[1] is not None and p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
+    assert spatial.box_join(frame(a, "ia"), frame([], "ib")).count() == 0
