@@ -313,3 +313,89 @@ def test_whole_pipeline_equals_its_parts_by_brute_force(spark, tmp_path):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}, special_tokens={})
     want = collections.Counter((i, len(ids := library.encode_ordinary(t)), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, t in mixed)
     assert collections.Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == want
+
+
+def test_mix_equals_brute_force_word_by_word(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from rooftop.llm import mix
+
+    rnd, block = random.Random(21), 8
+    rows = [(i if i % 17 else None, " ".join(f"w{rnd.randrange(99)}" for _ in range(rnd.choice([0, 1, 3, 40, 130]))), rnd.choice(["a", "b", "c", None])) for i in range(160)] + [(7, "tiny", "d")]
+    docs = spark.createDataFrame([(i, t, None, s, len(t), "clash") for i, t, s in rows], DOCS).repartition(3)
+    found, slots = mix.mixed(docs, block=block)
+    got = collections.Counter((r.source, r.doc_id, r.content, r.start, r.taken) for r in found.collect())
+    # the order of a source's documents: what Spark's hashes say, then by hand
+    n = docs.count()
+    keyed = docs.select("doc_id", "source", "text", common.content().alias("content")).withColumns({"bucket": F.pmod(F.xxhash64("doc_id", "content"), F.lit(math.isqrt(n))), "h": F.xxhash64("doc_id", F.lit(mix.SEED))}).collect()
+    sources, want = collections.defaultdict(list), collections.Counter()
+    for r in keyed:
+        sources[r.source].append((r.bucket, r.h, (r.doc_id is not None, r.doc_id or 0), bytes(r.content), len(r.text.split()), r.doc_id))
+    names = [*sorted(s for s in sources if s is not None), None]
+    sizes = {s: sum(d[4] for d in sources[s]) for s in names}
+    per, full = 0.0, set()
+    weights = {s: 1 + i % 3 for i, s in enumerate(names)}
+    while True:  # targets
+        per = (sum(sizes.values()) - sum(3 * sizes[s] for s in full)) / sum(w for s, w in weights.items() if s not in full)
+        more = {s for s in names if s not in full and per * weights[s] > 3 * sizes[s]}
+        if not more:
+            break
+        full |= more
+    dealt = collections.Counter(r.source if not r.none else None for r in slots.collect())
+    for s in names:
+        target = 3.0 * sizes[s] if s in full else per * weights[s]
+        whole, number, cut, blocks, a, b = mix.plan(s, sizes[s], target, block)
+        assert dealt[s] == number
+        words = []  # of the source's stream: how often each is taken
+        for d in sorted(sources[s]):
+            words += [whole] * d[4]
+        for j in range(number):
+            k = (a * j + b) % blocks * block
+            for i in range(k, min(k + (cut if j == number - 1 else block), len(words))):
+                words[i] += 1
+        assert sum(words) == round(target)
+        at = 0
+        for d in sorted(sources[s]):
+            want[s, d[5], d[3], at, sum(words[at : at + d[4]])] += 1
+            at += d[4]
+    assert got == want
+
+
+@pytest.mark.parametrize("leaves", [16, 7])
+def test_shards_equal_a_k_d_tree_by_hand(spark, leaves):
+    from rooftop.llm import shard
+
+    rnd = random.Random(13)
+    rows = [(i, "".join(rnd.choice("abcé ß" if i % 3 else "ab ") for _ in range(rnd.randint(90, 400)))) for i in range(400)]
+    rows += [(900 + i, rows[i][1]) for i in range(30)] + [(2000 + i, "one text of many copies, long enough to weigh " * 3) for i in range(60)]
+    docs = frame(spark, rows)
+    keyed = [(r.doc_id, r["size"], r.crc, (r.k0, r.k1, r.k2)) for r in shard._located(docs, "doc_id", "text", leaves).collect()]
+    widest = [max(1, max(r[3][i] for r in keyed) - min(r[3][i] for r in keyed)) for i in range(3)]
+    want = collections.Counter()
+
+    def split(part, share, first):
+        if share == 1 or not part:
+            want.update((r[0], r[1], r[2], first) for r in part)
+            return
+        ends = [(min(r[3][i] for r in part), max(r[3][i] for r in part)) for i in range(3)]
+        dim = max(range(3), key=lambda i: ((ends[i][1] - ends[i][0]) / widest[i], -i))
+        half = share // 2
+        goal, below = sum(r[1] for r in part) * half / share, 0
+        weight = collections.Counter()
+        for r in part:
+            weight[r[3][dim]] += r[1]
+        cut = ends[dim][1]
+        if ends[dim][0] < ends[dim][1]:
+            for key in sorted(weight):
+                if below + weight[key] >= goal:
+                    cut = key if abs(below + weight[key] - goal) <= abs(below - goal) else key - 1
+                    break
+                below += weight[key]
+        split([r for r in part if r[3][dim] <= cut], half, first)
+        split([r for r in part if r[3][dim] > cut], share - half, first + half)
+
+    split(keyed, leaves, 0)
+    got = shard.kd_tree_shards(docs, leaves).collect()
+    assert collections.Counter((r.doc_id, r["size"], r.crc, r.shard) for r in got) == want
