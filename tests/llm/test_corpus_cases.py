@@ -399,3 +399,52 @@ def test_shards_equal_a_k_d_tree_by_hand(spark, leaves):
     split(keyed, leaves, 0)
     got = shard.kd_tree_shards(docs, leaves).collect()
     assert collections.Counter((r.doc_id, r["size"], r.crc, r.shard) for r in got) == want
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir(SF), reason="no test data")
+def test_extraction_equals_another_parser_on_sf001(spark):
+    from html.parser import HTMLParser
+
+    from rooftop.llm import extract
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.parts = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            self.parts += [" "] * (tag not in ("b", "i", "a", "em", "strong", "span"))
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            self.parts += [" "] * (tag not in ("b", "i", "a", "em", "strong", "span"))
+
+        def handle_data(self, data):
+            self.parts += [data] * (self.inside > 0)
+
+    pages = common.table(spark, SF, "pages").collect()
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in extract.op7_extract(spark, SF).collect()}
+    assert len(got) == len(pages)
+    for r in pages:
+        parser = Article()
+        parser.feed(r.html or "")
+        text = " ".join("".join(parser.parts).split())
+        assert got[r.page_id] == (r.url, text, len(text))
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir(SF), reason="no test data")
+def test_languages_of_held_out_rows_on_sf001(spark):
+    import zlib
+
+    docs = {r.doc_id: (r.text, r.lang) for r in common.table(spark, SF, "documents").collect()}
+    got = langid.op9_langid(spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    held = [r for r in got if r.held_out and docs[r.doc_id][1] is not None and r.lang_pred != "und"]
+    assert len(held) > 100 and sum(r.lang_pred == docs[r.doc_id][1] for r in held) >= 0.98 * len(held)
+    letters = lambda t: any(c.isalpha() for c in t or "")
+    assert all((r.lang_pred == "und") == (not letters(docs[r.doc_id][0])) and 0 <= r.score <= 1 for r in got)
