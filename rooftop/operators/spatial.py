@@ -92,24 +92,33 @@ def radius_pairs(points: DataFrame, radius: float, payload: list[str] = ()) -> D
     return found.select("id", "other", d2.alias("d2"), *[f"other_{p}" for p in payload])
 
 
+def radius_sums(points: DataFrame, radius: float, value: str | None = None) -> DataFrame:
+    """row_idx, n, s of points with a place: the neighbours within radius and the sum of their values, 0 for none.
+
+    Points of one place are one row with their count and sum when neighbours are paired, so a place with many points
+    costs no more than another.
+    """
+    here = points.where("cx is not null and cy is not null")
+    here = here.select("row_idx", "cx", "cy", F.coalesce(value, F.lit(0.0)).alias("v") if value else F.lit(0.0).alias("v"))
+    places = here.groupBy("cx", "cy").agg(F.min("row_idx").alias("row_idx"), F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
+    places = written(places, "places")
+    sums = radius_pairs(places, radius, ["n", "s"]).groupBy(F.col("id").alias("row_idx")).agg(F.sum("other_n").alias("on"), F.sum("other_s").alias("os"))
+    sums = places.join(sums, "row_idx", "left").drop("row_idx")
+    n, s = F.col("n") - 1 + F.coalesce("on", F.lit(0)), F.col("s") - F.col("v") + F.coalesce("os", F.lit(0.0))
+    return here.join(sums, ["cx", "cy"]).select("row_idx", n.alias("n"), s.alias("s"))
+
+
 def neighbour_sums(points: DataFrame, radius: float, area: str = "footprint_area_m2") -> DataFrame:
     """Adds the number of neighbours within radius and the sum of their areas, 0 for none."""
-    sums = radius_pairs(points, radius, [area]).groupBy("id").agg(
-        F.count(F.lit(1)).alias("neighbors_250m"),
-        F.sum(f"other_{area}").alias("neighbor_footprint_sum_250m"),
-    )
-    out = points.join(sums.withColumnRenamed("id", "row_idx"), "row_idx", "left")
-    return out.withColumns(
-        {
-            "neighbors_250m": F.coalesce("neighbors_250m", F.lit(0)),
-            "neighbor_footprint_sum_250m": F.coalesce("neighbor_footprint_sum_250m", F.lit(0.0)),
-        }
-    )
+    sums = radius_sums(points, radius, area).select("row_idx", F.col("n").alias("__n"), F.col("s").alias("__s"))
+    out = points.join(sums, "row_idx", "left")
+    known = {"neighbors_250m": F.coalesce("__n", F.lit(0)), "neighbor_footprint_sum_250m": F.coalesce("__s", F.lit(0.0))}
+    return out.withColumns(known).drop("__n", "__s")
 
 
 def with_islands(points: DataFrame, radius: float) -> DataFrame:
     """Adds is_island: no other point within radius."""
-    linked = radius_pairs(points, radius).select(F.col("id").alias("row_idx"), F.lit(True).alias("__near")).distinct()
+    linked = radius_sums(points, radius).where("n > 0").select("row_idx", F.lit(True).alias("__near"))
     return points.join(linked, "row_idx", "left").withColumn("is_island", F.col("__near").isNull()).drop("__near")
 
 
@@ -124,8 +133,8 @@ def local_moran(points: DataFrame, radius: float) -> DataFrame:
     subset = subset.crossJoin(F.broadcast(mean)).select("row_idx", "cx", "cy", (F.col("height_z") - F.col("mean")).alias("z"))
     subset = written(subset, "moran")
     scale = subset.agg(F.sum(F.col("z") * F.col("z")).alias("ss"), F.count(F.lit(1)).alias("n"))
-    lags = radius_pairs(subset, radius, ["z"]).groupBy("id").agg(F.count(F.lit(1)).alias("k"), F.avg("other_z").alias("lag"))
-    out = subset.select("row_idx", "z").join(lags.withColumnRenamed("id", "row_idx"), "row_idx", "left").crossJoin(F.broadcast(scale))
+    lags = radius_sums(subset, radius, "z").where("n > 0").select("row_idx", F.col("n").alias("k"), (F.col("s") / F.col("n")).alias("lag"))
+    out = subset.select("row_idx", "z").join(lags, "row_idx", "left").crossJoin(F.broadcast(scale))
     i = F.try_divide((F.col("n") - 1) * F.col("z") * F.col("lag"), F.col("ss"))
     high, above = F.col("z") > 0, F.col("lag") > 0
     quad = F.when(high & above, 1).when(~high & above, 2).when(~high & ~above, 3).when(high & ~above, 4)
@@ -288,6 +297,9 @@ def nearest(queries: DataFrame, train: DataFrame, k: int, cell: float, target: s
     ).limit(0)
     if not want:
         return empty
+    # Of points at one place only the first by id can be among the nearest.
+    first = F.row_number().over(Window.partitionBy("train_x", "train_y").orderBy("train_idx"))
+    pool = written(pool.withColumn("__n", first).where(F.col("__n") <= want + exclude_self).drop("__n"), "pool")
     width = min(cell, max(cell / 64, math.sqrt(max(at.w, 1.0) * max(at.h, 1.0) * want / at.n)))
     first = True
     while left.limit(1).count():

@@ -251,3 +251,16 @@ def test_boxes_of_all_sizes_meet_once(spark):
     got = sorted((r.ia, r.ib) for r in spatial.box_join(frame(a, "ia"), frame(b, "ib")).collect())
     assert got == sorted((p[0], q[0]) for p in a for q in b if p[1] is not None and p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
     assert spatial.box_join(frame(a, "ia"), frame([], "ib")).count() == 0
+
+
+def test_neighbours_of_points_at_one_place(spark):
+    rnd = random.Random(4)
+    points = [(i, rnd.uniform(0, 300), rnd.uniform(0, 300), rnd.choice([None, 1.0, 7.0])) for i in range(60)] + [(100 + i, 50.0, 50.0, float(i)) for i in range(40)] + [(900, None, 2.0, 3.0), (901, 1e6, 0.0, 3.0)]
+    df = spark.createDataFrame(points, "row_idx long, cx double, cy double, footprint_area_m2 double")
+    got = {r.row_idx: r for r in spatial.neighbour_sums(df, 60.0).collect()}
+    islands = {r.row_idx: r.is_island for r in spatial.with_islands(df, 60.0).collect()}
+    assert got.keys() == islands.keys() == {p[0] for p in points}
+    for i, x, y, _ in points:
+        near = [p for p in points if x is not None and p[1] is not None and p[0] != i and math.hypot(p[1] - x, p[2] - y) <= 60]
+        assert got[i].neighbors_250m == len(near) and got[i].neighbor_footprint_sum_250m == pytest.approx(sum(p[3] or 0 for p in near))
+        assert islands[i] == (not near)
