@@ -225,7 +225,8 @@ a as (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) as p from h),
 rt as (select least(greatest(coalesce((sum((k - n * p) * (k - n * p)) - sum(n * p * (1 - p))) / nullif(sum(n * (n - 1) * p * (1 - p)), 0), 0),
   {RHO_MIN}), {RHO_MAX}) as rho from t, a),
 dp as (select d.*, (t.k - d.k + (1 / rho - 1) * p) / (t.n - d.n + 1 / rho - 1) as parent from d join t using (suffix), a, rt),
-rd as (select least(greatest(coalesce((sum((k - n * parent) * (k - n * parent)) - sum(n * parent * (1 - parent))) / nullif(sum(n * (n - 1) * parent * (1 - parent)), 0), 0), {RHO_MIN}), {RHO_MAX}) as rho from dp),
+rd as (select least(greatest(coalesce((sum((k - n * parent) * (k - n * parent)) - sum(n * parent * (1 - parent))) / nullif(sum(n * (n - 1) * parent * (1 - parent)), 0), 0), {RHO_MIN}),
+  {RHO_MAX}) as rho from dp),
 hp as (select h.*, (dp.k - h.k + (1 / rho - 1) * parent) / (dp.n - h.n + 1 / rho - 1) as p from h join dp using (suffix, domain), rd),
 rh as (select least(greatest(coalesce((sum((k - n * p) * (k - n * p)) - sum(n * p * (1 - p))) / nullif(sum(n * (n - 1) * p * (1 - p)), 0), 0),
   {RHO_MIN}), {RHO_MAX}) as rho from hp),
