@@ -98,8 +98,10 @@ HEIGHT = LISTS + """, hr as (select r.*, coalesce(nh, 0) as nh, case when nh = 1
   join mb using (label) left join ma using (label)),
  hs as (select *, case when nh = 1 then abs(hb - expected) <= 3e0 end as ok_b, case when nh > 0 then hb >= lo and hb <= hi end as agree from hr),
  sel as (select *, case when nh = 0 then (lo + hi)/2 else hb end as height_final,
-  case when nh = 1 and ok_b and coalesce(agree, true) then 'B_direct_high' when nh = 1 and not agree then 'B_conflict_with_A' when nh = 1 then 'B_direct_medium' when nh > 1 and not agree then 'B_weighted_conflict_with_A' when nh > 1 then 'B_weighted' when lo is not null and hi is not null then 'A_range_only' else 'unknown' end as height_source,
-  case when nh = 1 and ok_b and agree then 0.95e0 when nh = 1 and ok_b and agree is null then 0.9e0 when nh = 1 and not agree then 0.6e0 when nh = 1 then 0.8e0 when nh > 1 and not agree then 0.55e0 when nh > 1 then 0.75e0 when lo is not null and hi is not null then 0.45e0 else 0e0 end as confidence_score from hs)"""
+  case when nh = 1 and ok_b and coalesce(agree, true) then 'B_direct_high' when nh = 1 and not agree then 'B_conflict_with_A' when nh = 1 then 'B_direct_medium'
+  when nh > 1 and not agree then 'B_weighted_conflict_with_A' when nh > 1 then 'B_weighted' when lo is not null and hi is not null then 'A_range_only' else 'unknown' end as height_source,
+  case when nh = 1 and ok_b and agree then 0.95e0 when nh = 1 and ok_b and agree is null then 0.9e0 when nh = 1 and not agree then 0.6e0 when nh = 1 then 0.8e0
+  when nh > 1 and not agree then 0.55e0 when nh > 1 then 0.75e0 when lo is not null and hi is not null then 0.45e0 else 0e0 end as confidence_score from hs)"""
 FLAGS = HEIGHT + """, flg as (select *, height_source = 'unknown' or height_final is null as needs_ml,
   needs_review or height_source in ('B_conflict_with_A', 'B_weighted_conflict_with_A') or confidence_score < 0.65 as needs_visual_review from sel)"""
 POINTS = FLAGS + """, pts as (select f.*, coalesce(b.x0 + b.w/2, a.x0 + a.w/2) as cx, coalesce(b.y0 + b.h/2, a.y0 + a.h/2) as cy, coalesce(b.w,
@@ -532,8 +534,10 @@ COMPAT = f"""{FIX}{REVIEW}{LISTS}, lb as (select label, list(hc order by row_idx
   from comp r left join hb using (label) left join mb using (label) left join ma using (label)),
  hd as (select *, n = 1 and abs(h - expected) <= 3e0 as ok, case when n > 0 then h >= lo and h <= hi end as agree from hc)
  select component_id, round(case when n > 0 then h else (lo + hi)/2 end, 6) as height_final,
-  case when n = 1 and ok and agree is null then 'B_direct_high' when n = 1 then 'B_direct_medium' when n > 1 then 'B_weighted' when lo is not null and hi is not null then 'A_range_only' else 'unknown' end as height_source,
-  case when n = 1 and ok and agree is null then 0.9e0 when n = 1 then 0.8e0 when n > 1 then 0.75e0 when lo is not null and hi is not null then 0.45e0 else 0e0 end as confidence_score from hd"""
+  case when n = 1 and ok and agree is null then 'B_direct_high' when n = 1 then 'B_direct_medium' when n > 1 then 'B_weighted'
+  when lo is not null and hi is not null then 'A_range_only' else 'unknown' end as height_source,
+  case when n = 1 and ok and agree is null then 0.9e0 when n = 1 then 0.8e0 when n > 1 then 0.75e0 when lo is not null and hi is not null then 0.45e0 else 0e0 end as confidence_score
+  from hd"""
 
 
 @query(COMPAT)
