@@ -125,6 +125,13 @@ def give_back() -> None:
         trim(0)
 
 
+def then_give_back(work: Callable[..., pa.Table], *tables: pa.Table) -> pa.Table:
+    """What work makes of a group's tables; freed memory goes back to the system."""
+    out = work(*tables)
+    give_back()
+    return out
+
+
 def bucketed_offsets(rows: DataFrame, group: list[str], bucket: str, weight: Column) -> DataFrame:
     """For each group and bucket: the sum of weight in the group's earlier buckets."""
     sums = rows.groupBy(*group, bucket).agg(F.sum(weight).alias("own"))

@@ -89,21 +89,23 @@ def _texts(rows: pa.Table) -> list[bytes]:
     return out
 
 
-def ngrams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For n = 1 to order: the hash of the n-gram that ends at each word, 0 where a text has fewer before; where texts begin."""
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and where each text's begin, and the end."""
     some = [hashed(group) for group in grouped(texts)]
-    words = np.concatenate([w for w, _ in some]) if some else np.zeros(0, np.uint64)
-    at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(a) for _, a in some]))]) if some else np.zeros(1, np.int64)
-    if not len(words):
-        return [words] * order, at
-    place = np.arange(len(words)) - np.repeat(at[:-1], np.diff(at))
-    out, total = [words], words * _PLACE[0]
+    if not some:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    return np.concatenate([w for w, _ in some]), np.concatenate([[0], np.cumsum(np.concatenate([np.diff(a) for _, a in some]))])
+
+
+def ngrams(words: np.ndarray, at: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """For n = 1 to order, one after the other: the hash of the n-gram that ends at each word, 0 where a text has fewer before."""
+    yield words
+    place, total = np.arange(len(words)) - np.repeat(at[:-1], np.diff(at)), words * _PLACE[0]
     for n in range(2, order + 1):
         total = total[1:] + words[: len(words) - n + 1] * _PLACE[n - 1] if len(words) >= n else total[:0]
         keys = np.concatenate([np.zeros(len(words) - len(total), np.uint64), mix(total + np.uint64(n))])
         keys[place < n - 1] = 0
-        out.append(keys)
-    return out, at
+        yield keys
 
 
 def chunk_size(size: int, least: int) -> int:
@@ -146,10 +148,10 @@ def score_documents(
     docs = docs.select(F.xxhash64("doc_id", "text").alias("hash"), "doc_id", "text")
     docs = docs.mapInArrow(common.tidy(lambda x: _packed(x, chunks)), "chunk int, ids array<long>, sizes array<int>, body binary")
 
-    def count(rows: pa.Table) -> pa.Table:
+    def counted(rows: pa.Table) -> pa.Table:
         out = []
         chunk = rows.column("chunk")[0].as_py()
-        for n, keys in enumerate(ngrams(_texts(rows), order)[0], 1):
+        for n, keys in enumerate(ngrams(*words_of(_texts(rows)), order), 1):
             distinct, counts = np.unique(keys[n - 1 :] if n > 1 else keys, return_counts=True)
             edges = np.searchsorted(distinct, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist() + [len(distinct)]
             out += [
@@ -164,7 +166,7 @@ def score_documents(
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], ["bucket", "ngram", "chunk", "keys", "counts"])
 
-    def total(rows: pa.Table) -> pa.Table:
+    def totalled(rows: pa.Table) -> pa.Table:
         out, bucket, kind = [], rows.column("bucket")[0].as_py(), rows.column("ngram").to_numpy()
         for n in range(1, order + 1):
             mine = rows.take(np.flatnonzero(kind == n))
@@ -179,21 +181,22 @@ def score_documents(
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
         return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], ["bucket", "ngram", "chunk", "counts"])
 
-    def score(rows: pa.Table, totals: pa.Table) -> pa.Table:
-        grams, at = ngrams(_texts(rows), order)
+    def scored(rows: pa.Table, totals: pa.Table) -> pa.Table:
+        own, at = words_of(_texts(rows))
         totals = totals.sort_by([("ngram", "ascending"), ("bucket", "ascending")])
-        kind, seen = totals.column("ngram").to_numpy(), []
-        for n, keys in enumerate(grams, 1):
+        kind, logs, shorter = totals.column("ngram").to_numpy(), np.zeros(0), np.zeros(0)
+        for n, keys in enumerate(ngrams(own, at, order), 1):
             _, place = np.unique(keys[n - 1 :] if n > 1 else keys, return_inverse=True)
             mine = [unpack(x.as_py(), np.uint64) for x in totals.column("counts").take(np.flatnonzero(kind == n))]
-            full = np.zeros(len(keys))
-            full[len(keys) - len(place) :] = np.concatenate(mine)[place] if mine else 0
-            seen.append(np.where(keys == 0, 0, full) if n > 1 else full)
-        logs = np.log(alpha) * (order - 1) + np.log(seen[0] / max(words, 1)) if len(grams[0]) else np.zeros(0)
-        for n in range(2, order + 1):
-            context = np.concatenate([[1.0], seen[n - 2][:-1]]) if len(grams[0]) else np.zeros(0)
-            use = seen[n - 1] >= least
-            logs[use] = np.log(alpha) * (order - n) + np.log(seen[n - 1][use] / context[use])
+            seen = np.zeros(len(keys))
+            seen[len(keys) - len(place) :] = np.concatenate(mine)[place] if mine else 0
+            if n == 1:
+                logs = np.log(alpha) * (order - 1) + np.log(seen / max(words, 1))
+            else:
+                use = np.flatnonzero((seen >= least) & (keys != 0))
+                logs[use] = np.log(alpha) * (order - n) + np.log(seen[use] / shorter[use - 1])
+                seen[keys == 0] = 0
+            shorter = seen
         # where a text has too few words before, no step back was made
         before = np.arange(len(logs)) - np.repeat(at[:-1], np.diff(at))
         logs -= np.log(alpha) * np.maximum(order - 1 - before, 0)
@@ -206,6 +209,16 @@ def score_documents(
             ["doc_id", "n_words", "mean_log_score", "log_score"],
         )
 
+    # Workers live on: what a group took is given back after it.
+    def count(rows: pa.Table) -> pa.Table:
+        return common.then_give_back(counted, rows)
+
+    def total(rows: pa.Table) -> pa.Table:
+        return common.then_give_back(totalled, rows)
+
+    def score(rows: pa.Table, totals: pa.Table) -> pa.Table:
+        return common.then_give_back(scored, rows, totals)
+
     # As many partitions as groups at least, so that what a task reads stays the size of a chunk.
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), chunks)
     docs = docs.repartition(parts, "chunk")
