@@ -93,9 +93,12 @@ def match_label(kind: Column) -> Column:
 
 
 def tooltip(layer: DataFrame) -> DataFrame:
-    """Adds the tooltip's texts: height with one decimal, scores in whole per cent, a dash for nulls."""
+    """Adds the tooltip's texts: height with one decimal, scores in whole per cent, a dash for nulls.
+
+    A height is rounded as ten times its value: sums leave the last bit of a half open, and the product closes it.
+    """
     percent = lambda c: F.coalesce(F.concat(F.round(F.col(c) * 100, 0).cast("int").cast("string"), F.lit("%")), F.lit("—"))
-    height = F.concat(F.round("height_final_full", 1).cast("decimal(12,1)").cast("string"), F.lit(" м"))
+    height = F.concat((F.round(F.col("height_final_full") * 10, 0) / 10).cast("decimal(12,1)").cast("string"), F.lit(" м"))
     return layer.withColumns(
         {
             "tip_height": F.coalesce(height, F.lit("—")),

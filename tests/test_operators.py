@@ -61,6 +61,11 @@ def test_insight_cascade_and_labels(spark):
     assert [r.tip_match for r in rows[:3]] == [serving.MATCH_LABELS["N:N"], "odd", "—"] and rows[0].tip_height == "2.3 м" and rows[0].tip_density == "—"
 
 
+def test_height_half_whose_last_bit_is_off(spark):
+    df = spark.createDataFrame([(27.849999999999998, "27.9 м"), (27.85, "27.9 м"), (27.84, "27.8 м"), (0.05, "0.1 м"), (12.0, "12.0 м"), (None, "—")], "height_final_full double, want string")
+    df = df.withColumns({"confidence_score": F.lit(0.5), "dense_score": F.lit(0.5), "match_type": F.lit("1:1"), "eco_risk_level": F.lit("low")})
+    assert all(r.tip_height == r.want for r in serving.tooltip(df).collect())
+
 
 def test_components_of_random_graphs(spark):
     rnd = random.Random(1)
