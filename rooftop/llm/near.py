@@ -272,6 +272,18 @@ def _by_shingle(docs: DataFrame, reps: DataFrame, some: DataFrame, given: Limits
     return lists.groupBy("g").applyInArrow(lambda t: _lists(t, given), "a long, b long").distinct()
 
 
+def _apart(placed: DataFrame) -> DataFrame:
+    """rep, n, comp of all members (key, rep, n, comp) of the components that share a bucket with another one.
+
+    A bucket's members collapse to its components before any join: what is joined doesn't grow with a component's
+    members times their buckets.
+    """
+    held = common.written(placed.select("key", "comp").distinct(), "held")
+    mixed = held.groupBy("key").agg(F.count(F.lit(1)).alias("comps")).where("comps > 1").select("key")
+    comps = held.join(mixed, "key", "left_semi").select("comp").distinct()
+    return placed.select("rep", "n", "comp").distinct().join(comps, "comp", "left_semi").select("rep", "n", "comp")
+
+
 def components(links: DataFrame) -> DataFrame:
     """v, label of every end of a link a, b: the smallest id that it reaches.
 
@@ -352,8 +364,7 @@ def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         ),
         "placed",
     )
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    some = common.written(placed.join(mixed, "key", "left_semi").select("rep", "n", "comp").distinct(), "mixed")
+    some = common.written(_apart(placed), "mixed")
     rest = _by_shingle(docs, reps, some, given).join(star, ["a", "b"], "left_anti")
     more = confirmed(docs, reps, common.written(rest, "rest"), percent)
     if more.limit(1).count():

@@ -448,3 +448,22 @@ def test_languages_of_held_out_rows_on_sf001(spark):
     assert len(held) > 100 and sum(r.lang_pred == docs[r.doc_id][1] for r in held) >= 0.98 * len(held)
     letters = lambda t: any(c.isalpha() for c in t or "")
     assert all((r.lang_pred == "und") == (not letters(docs[r.doc_id][0])) and 0 <= r.score <= 1 for r in got)
+
+
+def test_buckets_collapse_to_components_before_they_are_joined(spark, monkeypatch):
+    rows = {}
+    write = common.written
+
+    def seen(df, name):
+        out = write(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(common, "written", seen)
+    large = [(k, r, 9, 0) for k in range(20) for r in range(50)]
+    alone = [(k, 100 + k, 9, 100 + k) for k in range(3)]
+    same = [(30, 200, 9, 200), (30, 201, 9, 200), (31, 200, 9, 200)]
+    placed = spark.createDataFrame(large + alone + same, "key long, rep long, n long, comp long")
+    got = {(r.rep, r.comp) for r in near._apart(placed).collect()}
+    assert got == {(r, 0) for r in range(50)} | {(100 + k, 100 + k) for k in range(3)}
+    assert rows == {"held": 25}  # a row for each bucket and component, not for each bucket and member
